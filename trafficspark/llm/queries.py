@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trafficspark.llm import language_id
+from trafficspark.llm.common import crc_bucket
+from trafficspark.llm.mixing import mix
+from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
 
 
@@ -19,11 +24,28 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(crc_bucket(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"))
+    model = language_id.fit(docs.where("not held_out"))
+    return language_id.predict(docs, model, keep=("held_out",))
+
+
+def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language_id": op5_language_id,
+    "op6_token_binary": op6_token_binary,
+    "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
 }
 
