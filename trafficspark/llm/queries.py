@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficspark.llm import language_id
+from trafficspark.llm import decontamination, language_id, oracles
 from trafficspark.llm.common import crc_bucket
+from trafficspark.llm.line_dedup import dedup_lines
 from trafficspark.llm.mixing import mix
 from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
@@ -24,6 +25,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_lines(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return left.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(crc_bucket(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"))
     model = language_id.fit(docs.where("not held_out"))
@@ -43,10 +54,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_token_binary": op6_token_binary,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": oracles.DECONTAMINATION,
+    "op4_line_dedup": oracles.LINE_DEDUP,
+}
