@@ -11,6 +11,7 @@ from trafficspark.llm import decontamination, language_id, oracles
 from trafficspark.llm.common import crc_bucket
 from trafficspark.llm.line_dedup import dedup_lines
 from trafficspark.llm.mixing import mix
+from trafficspark.llm.suffix_dedup import remove_repeats
 from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
 
@@ -45,6 +46,11 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_token_binary": op6_token_binary,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
 }
