@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trafficspark.llm import decontamination, language_id, oracles
 from trafficspark.llm.common import crc_bucket
+from trafficspark.llm.jaccard_join import join_groups
 from trafficspark.llm.line_dedup import dedup_lines
 from trafficspark.llm.mixing import mix
 from trafficspark.llm.suffix_dedup import remove_repeats
@@ -30,6 +31,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = dedup_lines(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
@@ -61,6 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_token_binary": op6_token_binary,
