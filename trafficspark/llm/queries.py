@@ -11,6 +11,7 @@ from trafficspark.llm import decontamination, language_id, oracles
 from trafficspark.llm.common import crc_bucket
 from trafficspark.llm.jaccard_join import join_groups
 from trafficspark.llm.line_dedup import dedup_lines
+from trafficspark.llm.lm_scoring import lm_scores
 from trafficspark.llm.mixing import mix
 from trafficspark.llm.suffix_dedup import remove_repeats
 from trafficspark.llm.token_binary import token_binary
@@ -27,6 +28,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text", (crc_bucket(F.col("doc_id"), 10) == 0).alias("held_out")))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
