@@ -79,3 +79,19 @@ pairs as (
 select doc_id, item_id, n_windows::bigint as n_windows, item_windows::bigint as item_windows
 from pairs join sizes using (item_id) where n_windows >= least(2, item_windows)
 """
+
+BM25 = """
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) as term from documents),
+counts as (select doc_id, term, count(*) as n from words group by doc_id, term),
+lengths as (select d.doc_id, coalesce(sum(c.n), 0)::double as size from (select doc_id from documents) d left join counts c using (doc_id) group by d.doc_id),
+total as (select count(*)::double as docs, avg(size) as mean from lengths),
+frequency as (select term, count(*)::double as df from counts group by term),
+scores as (
+  select q.doc_id as query_id, c.doc_id,
+    round(sum(q.n * ln(1 + (docs - df + 0.5) / (df + 0.5)) * c.n * 2.2e0 / (c.n + 1.2e0 * (0.25e0 + 0.75e0 * size / mean))), 6) as score
+  from counts q join counts c using (term) join frequency using (term) join lengths l on l.doc_id = c.doc_id cross join total
+  where q.doc_id % 20 = 0 group by q.doc_id, c.doc_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scores)
+select query_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficspark.llm import decontamination, language_id, oracles
+from trafficspark.llm.bm25_search import top_k
 from trafficspark.llm.common import crc_bucket
 from trafficspark.llm.jaccard_join import join_groups
 from trafficspark.llm.line_dedup import dedup_lines
@@ -61,6 +62,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return top_k(docs, docs.where("doc_id % 20 = 0"), query_id_col="doc_id")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_token_binary": op6_token_binary,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_bm25_search": op8_bm25_search,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
 }
@@ -84,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracles.DECONTAMINATION,
     "op4_line_dedup": oracles.LINE_DEDUP,
+    "op8_bm25_search": oracles.BM25,
 }
