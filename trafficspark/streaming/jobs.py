@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trafficspark.operators.runlog import failure_alarm
 from trafficspark.sources.decode import decode_states
 from trafficspark.sources.tables import DATE_COLUMNS, with_partitions
 
@@ -29,7 +28,11 @@ def hourly_counts_stream(df: DataFrame, *, entity: str, time: str, watermark: st
     return once.groupBy("hour").agg(F.count(F.lit(1)).alias("flight_count")).select(F.col("hour.start").cast("timestamp_ntz").alias("hour_start"), "flight_count")
 
 
-def failure_alarm_stream(events: DataFrame, *, time: str = "created_at", watermark: str = "10 minutes", **options) -> DataFrame:
-    """Alarm windows of a stream of run events, each once the watermark has passed it."""
+def failure_alarm_stream(events: DataFrame, *, time: str = "created_at", watermark: str = "10 minutes", window: str = "5 minutes", threshold: int = 3) -> DataFrame:
+    """window_start, failures of a stream of run events: windows with `threshold` failures, once the watermark has passed.
+
+    Runs that succeed move the watermark on too, so failures are counted, not filtered, before the windows close.
+    """
     timed = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
-    return failure_alarm(timed, time=time, **options)
+    counted = timed.groupBy(F.window(time, window).alias("w")).agg(F.sum((F.col("status") == "failed").cast("long")).alias("failures"))
+    return counted.where(F.col("failures") >= threshold).select(F.col("w.start").alias("window_start"), "failures")
