@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficspark.functions.scalars import to_epoch
+from trafficspark.sources.shared import importable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; naive times are UTC throughout, so the session's time zone is set to it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,10 +1,12 @@
-"""The folder that driver and executors share."""
+"""What driver and executors share: a folder and this package."""
 
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", f"file://{own}")
     spark.sparkContext.setCheckpointDir(own)
     return f"file://{own}"
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did; on a cluster, ship it with --py-files."""
+    home = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *paths])
