@@ -17,9 +17,11 @@ from trafficspark.llm.mixing import mix
 from trafficspark.llm.suffix_dedup import remove_repeats
 from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
+from trafficspark.sources.shared import importable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
