@@ -66,15 +66,29 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = wordpieces.load(path)
-        self.cache = wordpieces.PieceCache(self.encode_all)
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.cache = wordpieces.PieceCache(self.encode_pieces)
+        #: whether an id ends a piece, as its token says
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith("</w>")
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; the library gets many at a time, and the tokens that end a piece tell where to part."""
+        out: list[bytes] = []
+        lines = [pieces[i : i + 256] for i in range(0, len(pieces), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(p) for p in lines], add_special_tokens=False), strict=True):
+            ids = np.asarray(e.ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(line):
+                raise ValueError("the tokenizer's pieces don't end in tokens that say so")
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return out
 
     def ids(self, text: str) -> bytes:
         if wordpieces.is_plain(text):
             return b"".join(self.cache.of(wordpieces.PIECE.findall(text.lower())))
-        return self.encode_all([text])[0]
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _encoders: dict[str, Encoder] = {}

@@ -48,6 +48,6 @@ class PieceCache:
             pass
         if len(self.known) > self.limit:
             self.known = {}
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        new = list(set(pieces).difference(self.known))
         self.known.update(zip(new, self.make(new), strict=True))
         return list(map(self.known.__getitem__, pieces))
