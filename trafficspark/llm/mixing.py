@@ -136,12 +136,13 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
     decided = decide(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    keys = decided.select(F.col("source").alias("__mix_source"), F.col("doc_id").alias("__mix_id"), F.col("size").alias("__mix_size"), F.col("n").alias("__mix_n"), F.col("copies").alias("__mix_copies"))
-    sized = docs.withColumn("__mix_words", common.word_count(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__mix_id")) & F.col(source_col).eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size"))
-    joined = sized.join(keys.where("__mix_copies > 0"), same)
-    alone = joined.where("__mix_n = 1")
-    turn = F.row_number().over(Window.partitionBy("__mix_source", "__mix_id", "__mix_size").orderBy(F.xxhash64(text_col)))
-    share = F.floor(F.col("__mix_copies") / F.col("__mix_n")) + (turn <= F.col("__mix_copies") % F.col("__mix_n")).cast("long")
-    several = joined.where("__mix_n > 1").withColumn("__mix_copies", share).where("__mix_copies > 0")
-    return alone.unionByName(several).withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "__mix_copies"))).select(*docs.columns)
+    keys = decided.where("copies > 0").select("source", "doc_id", "size", "n", "copies")
+    # The row travels as one column, so no column of docs can clash with those of the decision.
+    sized = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col).alias("of_source"), F.col(id_col).alias("of_id"), common.word_count(F.col(text_col)).alias("of_size"), F.xxhash64(text_col).alias("hash"))
+    same = F.col("of_id").eqNullSafe(F.col("doc_id")) & F.col("of_source").eqNullSafe(F.col("source")) & (F.col("of_size") == F.col("size"))
+    joined = sized.join(keys, same).select("row", "hash", "source", "doc_id", "size", "n", "copies")
+    alone = joined.where("n = 1").select("row", "copies")
+    turn = F.row_number().over(Window.partitionBy("source", "doc_id", "size").orderBy("hash"))
+    share = F.floor(F.col("copies") / F.col("n")) + (turn <= F.col("copies") % F.col("n")).cast("long")
+    several = joined.where("n > 1").select("row", share.alias("copies")).where("copies > 0")
+    return alone.unionByName(several).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
