@@ -177,3 +177,39 @@ def test_kde_equals_direct_sum(spark):
 def test_box_stats(spark):
     row = agg.box_stats(spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]], "v double"), "v").first()
     assert (row.q1, row.median, row.q3, row.whisker_high, row.n_outliers) == (2.25, 3.5, 4.75, 5.0, 1)
+
+
+def test_run_events_are_appended_and_folded(spark, tmp_path):
+    root = str(tmp_path / "log")
+    kind = "run_id int, seq int, created_at timestamp_ntz, window_start timestamp_ntz, window_end timestamp_ntz, status string, record_count int"
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    runlog.append_run_events(spark.createDataFrame([(1, 1, at(1), at(0), at(1), "pending", None), (2, 2, at(2), at(1), at(2), "pending", None)], kind), root)
+    runlog.append_run_events(spark.createDataFrame([(1, 3, None, None, None, "success", 9)], kind), root)
+    state = runlog.run_state(spark.read.parquet(root))
+    assert [(r.run_id, r.status, r.record_count) for r in runlog.latest_runs(state, 5).collect()] == [(2, "pending", None), (1, "success", 9)]
+    assert [r.run_id for r in runlog.runs_in_range(state, "2024-01-01 00:30:00", "2024-01-01 02:00:00").collect()] == [2]
+    assert runlog.run_by_id(state, 1).count() == runlog.runs_by_status(state, "success").count() == 1
+
+
+def test_models_and_training_runs_are_kept(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    df, _, _ = training(spark)
+    fit = model.fit_ols(df, ["a", "b"], "y")
+    model.save_model(fit, ["a", "b"], str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model")).transform(df).select("prediction").collect()
+    assert len(again) == 60
+    for i in range(2):
+        model.log_training_run(spark, str(tmp_path / "runs"), {"window_days": 14, "mae": 0.5 + i})
+    assert sorted(r.entries["mae"] for r in spark.read.parquet(str(tmp_path / "runs")).collect()) == ["0.5", "1.5"]
+
+
+def test_coefficients_rank_by_size(spark):
+    table = spark.createDataFrame([("a", 1.0), ("b", -3.0), ("intercept", 99.0)], "term string, coefficient double")
+    assert [(r.term, r.sign) for r in model.coefficient_rank(table).collect()] == [("b", -1), ("a", 1)]
+
+
+def test_keys_keep_series_apart(spark):
+    both = hours(spark, 30).withColumn("k", F.lit("x")).unionByName(hours(spark, 26).withColumn("k", F.lit("y")))
+    counts = {r.k: r["count"] for r in features.hourly_features(both, keys=("k",)).groupBy("k").count().collect()}
+    assert counts == {"x": 6, "y": 2}
