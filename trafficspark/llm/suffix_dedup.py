@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficspark.llm import common
@@ -135,54 +135,71 @@ def repeated_offsets(rights: list[bytes], lefts: list[bytes], length: int) -> li
     return list(zip(start_member.tolist(), start.tolist(), (end - 1).tolist(), strict=True))
 
 
+def same_row(left: DataFrame, right: DataFrame) -> Column:
+    """Join condition on doc_id (null equals null) and mark, alike wherever it is used, so that a shuffle of texts is made once."""
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["mark"] == right["mark"])
+
+
 def find_repeats(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, mark, start, end: stretches of bytes covered by strings of `length` bytes that start elsewhere too."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [part[0] for text in batch.column(0).to_pylist() for part in anchors(text, length)]
+            if found:
+                grams, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], ["gram", "n"])
+
+    several = docs.select("bytes").mapInArrow(count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
-            parts, rows = [], []
+            parts, rows, names = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 for part in anchors(text, length):
                     parts.append(part)
                     rows.append(np.full(len(part[0]), i))
+                    names += [xxhash.xxh3_128_digest(text[lo : hi + length], pos - lo) for pos, lo, hi in zip(*(c.tolist() for c in part[1:]), strict=True)]
             if parts:
                 at = pa.array(np.concatenate(rows))
                 found = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *found], ["doc_id", "mark", "gram", "pos", "lo", "hi"])
-
-    placed = common.stored(docs.mapInArrow(scan, f"doc_id {kind}, mark long, gram long, pos long, lo long, hi long"), "anchors")
-    several = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    by_doc = placed.join(several, "gram").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("gram", "pos", "lo", "hi")).alias("anchors"))
+                hashes = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *found, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], ["doc_id", "mark", "gram", "pos", "lo", "hi", "h1", "h2"])
+
+    placed = docs.mapInArrow(scan, f"doc_id {kind}, mark long, gram long, pos long, lo long, hi long, h1 long, h2 long")
+    held = common.stored(placed.join(several, "gram"), "anchors")
+
+    # Contexts (all bytes of an anchor's windows) by their hash: those that occur again repeat in all their windows.
+    me = F.struct("doc_id", "mark", "pos", "lo", "hi")
+    distinct = held.groupBy("gram", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("rep"))
+    distinct = common.stored(distinct, "contexts")
+    groups = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    whole = held.join(distinct.where("n > 1").select("gram", "h1", "h2"), ["gram", "h1", "h2"]).select("doc_id", "mark", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
+    # One of each context goes on to be compared with the others of its gram.
+    ours = distinct.select("gram", "rep.*").join(groups, "gram")
+    by_doc = ours.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("gram", "pos", "lo", "hi", "m")).alias("anchors"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for i, held in enumerate(batch.column(3).to_pylist()):
-                text = texts[i]
-                n = len(held)
+            seen: set = set()
+            for doc_id, mark, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (doc_id, mark) in seen:  # repeated rows stand next to each other, or their contexts equal each other and are met as such
+                    continue
+                seen.add((doc_id, mark))
+                n = len(found)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array([i] * n)), batch.column(1).take(pa.array([i] * n)), *(pa.array([a[c] for a in held], pa.int64()) for c in ("gram", "pos", "lo", "hi")),
-                        pa.array([text[a["lo"] : a["pos"]][::-1] for a in held], pa.binary()), pa.array([text[a["pos"] : a["hi"] + length] for a in held], pa.binary()),
+                        pa.array([doc_id] * n, batch.schema.field(0).type), pa.array([mark] * n, pa.int64()), *(pa.array([x[c] for x in found], pa.int64()) for c in ("gram", "pos", "m")),
+                        pa.array([text[x["lo"] : x["pos"]][::-1] for x in found], pa.binary()), pa.array([text[x["pos"] : x["hi"] + length] for x in found], pa.binary()),
                     ],
-                    ["doc_id", "mark", "gram", "pos", "lo", "hi", "left", "right"],
+                    ["doc_id", "mark", "gram", "pos", "m", "left", "right"],
                 )
 
-    same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["mark"] == by_doc["mark"])
-    joined = docs.join(by_doc, same).select(docs["doc_id"], docs["mark"], "bytes", "anchors")
-    around = common.stored(joined.mapInArrow(contexts, f"doc_id {kind}, mark long, gram long, pos long, lo long, hi long, left binary, right binary"), "contexts")
-
-    h1, h2 = F.xxhash64("left", "right"), F.xxhash64(F.lit(7), "right", "left")
-    named = around.withColumn("h1", h1).withColumn("h2", h2)
-    me = F.struct("doc_id", "mark", "pos")
-    distinct = named.groupBy("gram", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("rep"))
-    groups = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m"))
-    told = common.stored(distinct.join(groups, "gram").where("n > 1 or m > 1"), "groups")
-    # Equal contexts: all their windows repeat.
-    whole = named.select("gram", "h1", "h2", "doc_id", "mark", "lo", "hi").join(told.where("n > 1").select("gram", "h1", "h2"), ["gram", "h1", "h2"]).select("doc_id", "mark", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
-    # One of each context goes on, where its windows aren't known to repeat all or others may equal them.
-    ours = named.join(told.where("m > 1").select("gram", "h1", "h2", "n", "m", "rep"), ["gram", "h1", "h2"]).where(me.eqNullSafe(F.col("rep"))).dropDuplicates(["gram", "h1", "h2"])
+    joined = docs.join(by_doc, same_row(docs, by_doc)).select(docs["doc_id"], docs["mark"], docs["bytes"], by_doc["anchors"])
+    around = joined.mapInArrow(contexts, f"doc_id {kind}, mark long, gram long, pos long, m long, left binary, right binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, held, types = None, [], None
@@ -207,7 +224,7 @@ def find_repeats(docs: DataFrame, length: int) -> DataFrame:
 
     spans = f"doc_id {kind}, mark long, start long, end long"
     columns = ["gram", "doc_id", "mark", "pos", "left", "right"]
-    partly = ours.where(F.col("m") <= GROUP).select(columns).repartition("gram").sortWithinPartitions("gram", "right").mapInArrow(compare, spans)
+    partly = around.where(F.col("m") <= GROUP).select(columns).repartition("gram").sortWithinPartitions("gram", "right").mapInArrow(compare, spans)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,10 +234,10 @@ def find_repeats(docs: DataFrame, length: int) -> DataFrame:
                 at = pa.array([i] * len(starts))
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(2).take(at), pa.array(starts), pa.array(rolling(data, length).view(np.int64)), pa.array(rolling(data, length, 1).view(np.int64))], ["doc_id", "mark", "start", "w1", "w2"])
 
-    single = ours.where(F.col("m") > GROUP).select(columns).mapInArrow(windows, f"doc_id {kind}, mark long, start long, w1 long, w2 long")
+    single = around.where(F.col("m") > GROUP).select(columns).mapInArrow(windows, f"doc_id {kind}, mark long, start long, w1 long, w2 long")
     twice = single.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
     hot = single.join(twice, ["w1", "w2"]).select("doc_id", "mark", "start", (F.col("start") + length).alias("end"))
-    if told.where(F.col("m") > GROUP).isEmpty():
+    if groups.where(F.col("m") > GROUP).isEmpty():
         return whole.unionByName(partly)
     return whole.unionByName(partly).unionByName(hot)
 
@@ -236,8 +253,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     whole = docs.select(F.col(id_col).alias("doc_id"), common.binary_large(F.col(text_col)).alias("bytes")).select("doc_id", F.xxhash64("bytes").alias("mark"), "bytes")
     kind = whole.schema["doc_id"].dataType.simpleString()
-    spans = find_repeats(whole, length).groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = whole.join(spans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left").select("doc_id", "bytes", "spans")
+    spans = find_repeats(whole, length).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    joined = whole.join(spans, same_row(whole, spans), "left").select(whole["doc_id"], whole["bytes"], spans["spans"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
