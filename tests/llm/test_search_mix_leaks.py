@@ -25,8 +25,8 @@ def brute_bm25(docs, asked, k):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("k, shard, long", [(3, 8192, 256), (10, 5, 2), (1, 7, 1)])
-def test_top_k_equals_brute_force(spark, monkeypatch, k, shard, long):
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_top_k_equals_brute_force(spark, monkeypatch, k):
     df = cases.table(spark)
     docs = [(r.doc_id, r.text) for r in df.collect()]
     asked = df.where("doc_id % 5 = 0").dropDuplicates(["doc_id"])
@@ -35,7 +35,6 @@ def test_top_k_equals_brute_force(spark, monkeypatch, k, shard, long):
     got = bm25_search.top_k(df, asked, query_id_col="doc_id", k=k).collect()
     exact = brute_bm25(docs, [(r.doc_id, r.text) for r in asked.collect()], k)
     assert sorted(((r.query_id, r.rank, r.doc_id, round(r.score, 5)) for r in got), key=str) == sorted(((q, i, d, round(s, 5)) for q, i, d, s in exact), key=str)
-    assert shard and long
 
 
 def test_pruned_shard_equals_full_scores(monkeypatch):
@@ -150,9 +149,8 @@ def test_slots_must_agree(spark):
     bench = spark.createDataFrame([(1, "add 5 and 5 to get twice the sum")], "item_id long, text string")
     hit = lambda t: decontamination.matches(cases.table(spark, [(7, t, "en", "s")]), bench).count()
     assert hit("add 9 and 9 to get twice the sum") == 1
-    # Windows with both numbers don't match; the last one, which holds only one of them, still does.
-    n = lambda t: decontamination.matches(cases.table(spark, [(7, t, "en", "s")]), bench).first().n_windows
-    assert n("add 9 and 9 to get twice the sum") > n("add 9 and 4 to get twice the sum")
+    # Both windows of the item hold both numbers.
+    assert hit("add 9 and 4 to get twice the sum") == 0
 
 
 def test_names_and_units(spark):
