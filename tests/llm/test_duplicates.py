@@ -60,7 +60,7 @@ def test_groups_equal_brute_force(spark, k, num, den):
 
 
 def test_groups_of_chains_in_rounds_of_pivots(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "REGION", 3)
+    monkeypatch.setattr(jaccard_join, "CELL", 3)
     rng = random.Random(3)
     text = cases.words(rng, 120)
     some = []

@@ -1,16 +1,18 @@
 """Exact n-gram Jaccard join by pivots and triangle-inequality windows, with its groups as components.
 
 Jaccard distance is a metric, but most texts are at distance 1 from each other, where distances to pivots tell
-nothing. So pivots are placed where they are near: documents whose sets may reach the threshold share one of
-their first shingles in a fixed order (rarest known first), and each such shingle opens a region around a pivot
-document. Then, region by region: distances of all members to the pivot; those within the radius are linked to
-it; a member not linked can only reach linked ones whose distance to the pivot is within the radius of its own
-(the window), so only it and those boundary members go on to the next pivot of the region. Regions small
-enough for one task end there, with the same windows around every further pivot; larger ones get another round.
+nothing. So pivots are placed where they are near: sets that may reach the threshold share some of their first
+shingles in a fixed order (frequent ones last), each such shingle opens a region, and regions with members in common join to cells.
+A cell that one task can take is compared there, around one pivot after the other: members whose distances to a
+pivot differ by more than the radius can't be linked (the window), nor need those be that links already join. A
+larger cell first gets rounds on the cluster: in each of its regions, the distances of all members to a pivot;
+those within the radius are linked to it; a member not linked can only reach linked ones whose distance is
+within the radius of its own, so only it and those boundary members go on, and form smaller cells.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +23,11 @@ from pyspark.sql import functions as F
 from trafficspark.llm import common
 from trafficspark.llm.components import components
 
-#: Members of a region that one task takes; larger regions get another round of pivots.
-REGION = 4096
-#: Shingles kept as frequent, at most; they come last in order, and any order gives the same links.
-FREQUENT = 100_000
+#: Members of a cell that one task takes; larger cells get a round of pivots.
+CELL = 4096
+ROUNDS = 3
+#: Shingles known as frequent, at most; they come last in order, and any order gives the same links.
+FREQUENT = 200_000
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -48,9 +51,16 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
     return np.unique(h)
 
 
+def meetings(n: int) -> int:
+    """Shared first shingles that are asked for, of sets of n: more of them cost longer prefixes and tell apart
+    documents that have no more than a passage in common."""
+    return 1 + n // 20
+
+
 def prefix_size(n: int, num: int, den: int) -> int:
-    """First shingles of a set of n of which one must be shared by any set at the threshold."""
-    return n - -(-num * n // den) + 1
+    """First shingles of a set of n among which any two sets at the threshold share `meetings` of the smaller:
+    they share num / den of the larger at least, so at most n - that are missing before."""
+    return min(n, n - -(-num * n // den) + meetings(n))
 
 
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, float]:
@@ -60,34 +70,37 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, floa
     return den * both >= num * union, 1 - both / union
 
 
-class Region:
-    """Links among the members of a region, by pivots in turn; pairs already joined by links aren't compared."""
+class Cell:
+    """Links among the members of a cell, by pivots in turn; pairs already joined by links aren't looked at."""
 
     def __init__(self, sets: list[np.ndarray], num: int, den: int):
-        self.sets, self.num, self.den = sets, num, den
-        self.sizes = np.array([len(s) for s in sets])
-        self.group = np.arange(len(sets))
+        self.num, self.den, self.sizes = num, den, np.array([len(s) for s in sets])
+        values, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.mark = np.zeros(len(values), bool)
 
     def links(self) -> Iterator[tuple[int, int]]:
-        m, radius = len(self.sets), 1 - self.num / self.den
-        known: list[np.ndarray] = []
+        m, radius = len(self.sizes), 1 - self.num / self.den
+        group, known = np.arange(m), []
         for p in range(m - 1):
-            rest = np.arange(p + 1, m)
             size = self.sizes[p]
-            rest = rest[(self.group[rest] != self.group[p]) & (self.den * np.minimum(self.sizes[rest], size) >= self.num * np.maximum(self.sizes[rest], size))]
+            fits = (group != group[p]) & (self.den * np.minimum(self.sizes, size) >= self.num * np.maximum(self.sizes, size))
+            fits[: p + 1] = False
             for d in known:
-                rest = rest[~(np.abs(d[rest] - d[p]) > radius + 1e-9)]  # unknown distances (nan) stay
-            if not len(rest):
+                fits &= np.abs(d - d[p]) <= radius + 1e-9
+            if not fits.any():
                 continue
-            d = np.full(m, np.nan)
-            d[p] = 0
-            for y in rest:
-                near, d[y] = linked(self.sets[p], self.sets[y], self.num, self.den)
-                if near:
+            mine = self.ids[self.starts[p] : self.starts[p + 1]]
+            self.mark[mine] = True
+            both = np.add.reduceat(self.mark[self.ids], self.starts[:-1], dtype=np.int64)
+            self.mark[mine] = False
+            union = self.sizes + size - both
+            if len(known) < 16:
+                known.append(1 - both / union)
+            for y in np.flatnonzero(fits & (self.den * both >= self.num * union)):
+                if group[y] != group[p]:
                     yield p, int(y)
-                    self.group[self.group == self.group[y]] = self.group[p]
-            if len(known) < 8:
-                known.append(d)
+                    group[group == group[y]] = group[p]
 
 
 def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -114,30 +127,33 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     sets = common.stored(whole.mapInArrow(summary, f"doc_id {kind}, n long, set_id long, check long"), "sets")
     classes = sets.where("n > 0").groupBy("set_id", "check", "n").agg(F.min("doc_id").alias("rep"))
 
-    # Frequent shingles: each task reports those it met several times.
+    # Each task reports shingles that it met in several texts; those with 1 / FREQUENT of all reports or more count
+    # as frequent, of which there are FREQUENT at most.
     def frequent_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: list[np.ndarray] = []
-        held = 0
+        found: list[np.ndarray] = []
+        size = 0
+
+        def report() -> pa.RecordBatch:
+            value, count = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
+            some = count >= 4
+            return pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), pa.array(count[some], pa.int64())], ["shingle", "n"])
+
         for batch in batches:
-            for t in batch.column(1).to_pylist():
-                counts.append(shingles(t, words))
-                held += len(counts[-1])
-                if held > 8_000_000:
-                    yield from report(counts)
-                    counts, held = [], 0
-        yield from report(counts)
-
-    def report(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if found:
-            value, count = np.unique(np.concatenate(found), return_counts=True)
-            some = count >= 8
-            yield pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), pa.array(count[some], pa.int64())], ["shingle", "n"])
-
-    top = whole.mapInArrow(frequent_here, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
-    common_ids = top["shingle"].to_numpy().astype(np.int64).view(np.uint64)
-    turn = np.argsort(common_ids)
+            for t in batch.column(0).to_pylist():
+                found.append(shingles(t, words))
+                size += len(found[-1])
+                if size > 8_000_000:
+                    yield report()
+                    found, size = [], 0
+        yield report()
+
+    reported = common.stored(whole.select("bytes").mapInArrow(frequent_here, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
+    all_reported = reported.agg(F.sum("n")).first()[0] or 0
+    top = reported.where(F.col("n") * FREQUENT >= all_reported).toPandas().sort_values(["n", "shingle"], ascending=[False, True])
+    often = top["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+    turn = np.argsort(often)
     # In order: all others by hash, then the frequent ones, the least frequent first.
-    shared = docs.sparkSession.sparkContext.broadcast((common_ids[turn], (np.uint64(1 << 63) + np.uint64(len(turn)) - turn.astype(np.uint64))))
+    shared = docs.sparkSession.sparkContext.broadcast((often[turn], np.uint64(1 << 63) + np.uint64(len(turn)) - turn.astype(np.uint64)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -160,14 +176,41 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             if regions:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["region", "set_id", "n"])
 
-    opened = common.stored(whole.select("bytes").mapInArrow(prefixes, "region long, set_id long, n int"), "prefixes")
-    several = opened.groupBy("region").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("region")
-    regions = common.stored(opened.join(several, "region").distinct(), "regions")
-    # Regions with the same members are one.
-    named = regions.groupBy("region").agg(F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("m"))
-    once = named.groupBy("sum", "m").agg(F.min("region").alias("region")).select("region", "m")
-    regions = common.stored(regions.join(once, "region"), "regions")
+    def openings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in prefixes(batches):
+            region, n = np.unique(batch.column(0).to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(n)], ["region", "rows"])
 
+    texts_only = whole.select("bytes")
+    several = texts_only.mapInArrow(openings, "region long, rows long").groupBy("region").agg(F.sum("rows").alias("rows")).where("rows > 1").select("region")
+    opened = texts_only.mapInArrow(prefixes, "region long, set_id long, n int")
+    regions = common.stored(opened.join(several, "region").distinct(), "regions")
+    # A set at the threshold to another of m >= its own num / den meets it in meetings(m) regions; sets that meet
+    # any others in fewer are out, and regions that they leave with one member too.
+    least = 1 + F.floor(F.ceil(F.col("n") * num / F.lit(den) - 1e-9) / 20)
+    for _ in range(3):
+        shared_regions = regions.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
+        met = regions.join(shared_regions, "region")
+        enough = met.groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= least).select("set_id")
+        regions = common.stored(met.join(enough, "set_id"), "regions")
+    shared_regions = regions.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
+    regions = regions.join(shared_regions, "region").select("region", "set_id", "n")
+    def celled(regions: DataFrame) -> DataFrame:
+        """regions (region, set_id, n) with cell and m, its number of members; regions of one member are dropped."""
+        heads = regions.groupBy("region").agg(F.min("set_id").alias("head"), F.max("set_id").alias("other")).where("head < other").select("region", "head")
+        linked_regions = common.stored(regions.join(heads, "region"), "members")
+        cells = components(linked_regions.where("set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b")), "cells")
+        sized = cells.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+        named = cells.join(sized, "component").select(F.col("node").alias("set_id"), F.col("component").alias("cell"), "m")
+        return common.stored(linked_regions.select("region", "set_id", "n").join(named, "set_id"), "regions")
+
+    # Linked sets are of like sizes: strata one step of num / den wide, each set in its own and the next, so that
+    # any two within a step meet, split regions (and the cells that they make up) by size.
+    step = math.log(den / num) * (1 + 1e-9) if num < den else 0.0
+    own = F.floor(F.log(F.col("n").cast("double")) / step).cast("long") if step else F.col("n").cast("long")
+    strata = F.array(own, own + 1) if step else F.array(own)
+    regions = regions.withColumn("stratum", F.explode(strata)).select(F.xxhash64("region", "stratum").alias("region"), "set_id", "n")
+    regions = celled(regions)
     active = regions.select("set_id").distinct()
     reps = sets.where("n > 0").groupBy("set_id", "check").agg(F.min("doc_id").alias("doc_id")).join(active, "set_id")
     one = whole.join(reps, "doc_id").groupBy("set_id", "check", "doc_id").agg(F.min("bytes").alias("bytes"))
@@ -188,15 +231,15 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     radius = 1 - num / den
     found: DataFrame | None = None
     small: DataFrame | None = None
-    first = True
-    while True:
-        large = regions if first else regions.where(F.col("m") > REGION)
-        if not first:
-            part = regions.where(F.col("m") <= REGION)
-            small = part if small is None else small.unionByName(part)
-            if large.isEmpty():
-                break
-        first = False
+    for turn in range(ROUNDS + 1):
+        # Cells that stay large after some rounds are split into their regions.
+        cell = F.when(F.col("m") <= CELL, F.col("cell")).otherwise(F.col("region"))
+        ready = regions.where((F.col("m") <= CELL) | F.lit(turn == ROUNDS))
+        part = ready.select(cell.alias("cell"), "set_id").distinct()
+        small = part if small is None else small.unionByName(part)
+        large = regions.where(F.col("m") > CELL).select("region", "set_id", "n")
+        if turn == ROUNDS or large.isEmpty():
+            break
         pivots = large.groupBy("region").agg(F.min(F.struct("set_id", "n")).alias("p")).select("region", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n"))
         members = large.join(pivots, "region").where("set_id <> pivot")
         fits = F.least("n", "pivot_n") * den >= F.greatest("n", "pivot_n") * num
@@ -212,31 +255,30 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         told = common.stored(members.join(by_pair, ["set_id", "pivot"], "left").withColumn("near", F.coalesce("near", F.lit(False))).withColumn("distance", F.coalesce("distance", apart)), "told")
         edge = told.where("not near").groupBy("region").agg(F.min("distance").alias("edge"))
         stay = told.join(edge, "region").where(~F.col("near") | (F.col("distance") + radius + 1e-9 >= F.col("edge"))).select("region", "set_id", "n")
-        stay = common.stored(stay, "stay")
-        named = stay.groupBy("region").agg(F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        once = named.groupBy("sum", "m").agg(F.min("region").alias("region")).select("region", "m")
-        regions = common.stored(stay.join(once, "region"), "regions")
+        regions = celled(common.stored(stay, "stay"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, reps, held, rep_type = None, [], [], None
+        cell, reps, held, rep_type = None, [], [], None
 
         def decide() -> Iterator[pa.RecordBatch]:
-            pairs = list(Region(held, num, den).links())
+            pairs = list(Cell(held, num, den).links()) if len(held) > 1 else []
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in pairs], rep_type), pa.array([reps[j] for _, j in pairs], rep_type)], ["a", "b"])
 
         for batch in batches:
             rep_type = batch.schema.field("rep").type
             for r, rep, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if r != region:
+                if r != cell:
                     yield from decide()
-                    region, reps, held = r, [], []
+                    cell, reps, held = r, [], []
                 reps.append(rep)
                 held.append(shingles(text, words))
         yield from decide()
 
-    members = small.join(texts, "set_id").select("region", "rep", "bytes").repartition("region").sortWithinPartitions("region", "rep")
-    found = found.unionByName(members.mapInArrow(finish, f"a {kind}, b {kind}"))
+    # A cell of one round may bear the name of one of another; such cells are compared together.
+    members = small.distinct().join(texts, "set_id").select("cell", "rep", "bytes").repartition("cell").sortWithinPartitions("cell", "rep")
+    ended = members.mapInArrow(finish, f"a {kind}, b {kind}")
+    found = ended if found is None else found.unionByName(ended)
     groups = components(found)
     labelled = classes.join(groups, F.col("rep") == F.col("node"), "left").select("set_id", "check", F.coalesce("component", "rep").alias("component_id"))
     some = sets.where("n > 0").join(labelled, ["set_id", "check"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
