@@ -3,10 +3,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from trafficspark.llm import gated_lm, language_id, queries
+from trafficspark.llm import gated_lm, language_id, lm_scoring, queries
 from trafficspark.llm.lm_scoring import lm_scores
 
 
@@ -109,3 +110,31 @@ def test_probabilities_add_up():
     state = np.repeat(np.random.default_rng(2).normal(size=(1, 4)).astype(np.float32), shape.head + 2, axis=0)
     targets = np.array([*range(shape.head), shape.head, shape.inputs - 1])
     assert abs(np.exp(gated_lm.token_logs(shape, gated_lm.start(shape), state, targets)).sum() - 1) < 1e-5
+
+
+def test_every_token_of_long_documents_is_learned(spark, monkeypatch):
+    shape = gated_lm.Shape(hidden=4, classes=3, width=3, buckets=4, steps=8)
+    texts = [cases.prose(i, 500 + 37 * i) for i in range(6)] + ["", "one"]
+    counts = Counter(w for t in texts for w in t.encode().lower().split())
+    frequent = pd.DataFrame({"word": [b"", *counts], "c": [len(texts), *counts.values()]})
+    vocabulary = lm_scoring.Vocabulary(shape, frequent, sum(counts.values()) + len(texts), len(frequent))
+    learned = []
+    averaged = lm_scoring.averaged
+    monkeypatch.setattr(lm_scoring, "averaged", lambda rows: (learned.append(rows.agg(F.sum("n")).first()[0]), averaged(rows))[1])
+    lm_scoring.fit(cases.table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).select("doc_id", F.encode("text", "UTF-8").alias("bytes")), shape, vocabulary)
+    assert learned[-1] == vocabulary.tokens
+
+
+def test_training_carries_the_state_through_whole_documents():
+    shape = gated_lm.Shape(hidden=5, classes=2, width=3, buckets=4, steps=7)
+    rng = np.random.default_rng(1)
+    docs = [np.append(rng.integers(1, shape.inputs, n), 0) for n in (0, 1, 6, 7, 8, 40, 3, 90)]
+    w = gated_lm.start(shape)
+    trainer = gated_lm.Trainer(shape, w, 0.0, lanes=3)
+    for d in docs:
+        trainer.learn(d)
+    trainer.finish()
+    assert trainer.tokens == sum(map(len, docs)) and not trainer.loads.any()
+    # At rate 0 the loss of the pass is that of each document alone, from its start to its only end.
+    alone = -sum(gated_lm.token_logs(shape, w, gated_lm.run_steps(shape, w, np.append(0, d[:-1])[:, None], np.zeros((1, 5), np.float32), 0)[:, 0], d).sum() for d in docs)
+    assert abs(trainer.loss - alone) < 1e-3

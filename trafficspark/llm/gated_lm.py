@@ -10,6 +10,7 @@ so every document is scored whole. An end token before a document resets the sta
 from __future__ import annotations
 
 import heapq
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,12 +106,16 @@ def token_logs(shape: Shape, w: dict[str, np.ndarray], states: np.ndarray, targe
     return logs
 
 
-def gradients(shape: Shape, w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-    """Gradients of the mean loss over one window (backpropagation ends at its start), the last state, the loss."""
-    h, n = shape.hidden, targets.size
+def gradients(shape: Shape, w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, end: int, known: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+    """Gradients of the mean loss over one window (backpropagation ends at its start), the last state, the loss.
+
+    known, of the targets' shape, is False where a lane has run out; those places count for nothing.
+    """
+    h = shape.hidden
     trace: list = []
     states = run_steps(shape, w, inputs, state, end, trace)
-    flat_states, flat_targets = states.reshape(n, h), targets.reshape(n)
+    told = np.arange(targets.size) if known is None else np.flatnonzero(known)
+    n, flat_states, flat_targets = len(told), states.reshape(-1, h)[told], targets.reshape(-1)[told]
     kinds = classes_of(shape, flat_targets)
     logs = log_softmax(flat_states @ w["to_class"] + w["class_bias"])
     loss = -logs[np.arange(n), kinds].sum()
@@ -133,6 +138,10 @@ def gradients(shape: Shape, w: dict[str, np.ndarray], inputs: np.ndarray, target
             d /= n
             g["to_word"][c], g["word_bias"][c] = flat_states[rows].T @ d, d.sum(axis=0)
             d_states[rows] += d @ w["to_word"][c].T
+    if known is not None:
+        d_all = np.zeros((targets.size, h), d_states.dtype)
+        d_all[told] = d_states
+        d_states = d_all
     d_states = d_states.reshape(states.shape)
     d_gates = np.empty((*inputs.shape, 3 * h), np.float32)
     d_next = np.zeros_like(state)
@@ -149,40 +158,75 @@ def gradients(shape: Shape, w: dict[str, np.ndarray], inputs: np.ndarray, target
     ids = inputs.reshape(-1)
     order = np.argsort(ids, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], np.diff(ids[order]) > 0)))
-    g["gates"][ids[order][first]] = np.add.reduceat(d_gates.reshape(n, -1)[order], first, axis=0)
+    g["gates"][ids[order][first]] = np.add.reduceat(d_gates.reshape(len(ids), -1)[order], first, axis=0)
     return g, states[-1], loss / n
 
 
 class Trainer:
-    """Adam over truncated backpropagation windows of a stream of tokens dealt to lanes."""
+    """Adam over truncated backpropagation windows of whole documents dealt to lanes.
 
-    def __init__(self, shape: Shape, weights: dict[str, np.ndarray], rate: float):
-        self.shape, self.w, self.rate, self.count = shape, {k: v.copy() for k, v in weights.items()}, rate, 0
+    A lane takes one document after the other, each from its first token to its end, and its state goes on from
+    window to window. A window runs once every lane can fill it; `finish` runs what is left, with the lanes that have
+    tokens, and at a rate in proportion to those.
+    """
+
+    def __init__(self, shape: Shape, weights: dict[str, np.ndarray], rate: float, end: int = 0, lanes: int = 64):
+        self.shape, self.w, self.rate, self.count, self.end = shape, {k: v.copy() for k, v in weights.items()}, rate, 0, end
         self.mean = {k: np.zeros_like(v) for k, v in weights.items()}
         self.square = {k: np.zeros_like(v) for k, v in weights.items()}
-
-    def learn(self, stream: np.ndarray, end: int, lanes: int = 64) -> float:
-        """One pass over tokens whose documents each close with `end`; the mean loss."""
-        steps = self.shape.steps
-        lanes = max(1, min(lanes, len(stream) // (2 * steps)))
-        rows = (len(stream) - 1) // lanes
-        if rows < 1:
-            return 0.0
-        inputs = np.concatenate(([end], stream[:-1]))[: rows * lanes].reshape(lanes, rows).T
-        targets = stream[: rows * lanes].reshape(lanes, rows).T
-        state, total, n = np.zeros((lanes, self.shape.hidden), np.float32), 0.0, 0
-        for at in range(0, rows, steps):
-            g, state, loss = gradients(self.shape, self.w, inputs[at : at + steps], targets[at : at + steps], state, end)
-            total, n = total + loss, n + 1
-            self.count += 1
-            norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-            scale = min(1.0, 1.0 / max(norm, 1e-9))
-            for k, x in g.items():
-                x *= scale
-                self.mean[k] += 0.1 * (x - self.mean[k])
-                self.square[k] += 0.01 * (x * x - self.square[k])
-                self.w[k] -= self.rate * (self.mean[k] / (1 - 0.9**self.count)) / (np.sqrt(self.square[k] / (1 - 0.99**self.count)) + 1e-7)
-        return total / max(n, 1)
+        #: tokens learned, and the sum of their losses
+        self.tokens, self.loss = 0, 0.0
+        self.queues: list[deque[np.ndarray]] = [deque() for _ in range(lanes)]
+        self.loads, self.last = np.zeros(lanes, np.int64), np.full(lanes, end)
+        self.state = np.zeros((lanes, shape.hidden), np.float32)
+
+    def learn(self, document: np.ndarray) -> None:
+        """Takes a whole document, which closes with `end`."""
+        lane = int(self.loads.argmin())
+        self.queues[lane].append(document)
+        self.loads[lane] += len(document)
+        while self.loads.min() >= self.shape.steps:
+            self.step()
+
+    def finish(self) -> None:
+        """Learns all tokens that wait in the lanes."""
+        while self.loads.any():
+            self.step()
+
+    def taken(self, lane: int, most: int) -> np.ndarray:
+        """The next tokens of a lane, `most` of them or all that it has."""
+        queue, parts = self.queues[lane], []
+        while queue and most:
+            part = queue.popleft()
+            if len(part) > most:
+                queue.appendleft(part[most:])
+            parts.append(part[:most])
+            most -= len(parts[-1])
+        return np.concatenate(parts)
+
+    def step(self) -> None:
+        steps, live = self.shape.steps, np.flatnonzero(self.loads)
+        parts = [self.taken(i, steps) for i in live]
+        sizes = np.array([len(p) for p in parts])
+        targets = np.full((int(sizes.max()), len(live)), self.end)
+        for i, part in enumerate(parts):
+            targets[: len(part), i] = part
+        known = np.arange(len(targets))[:, None] < sizes
+        inputs = np.concatenate((self.last[None, live], targets[:-1]))
+        g, state, loss = gradients(self.shape, self.w, inputs, targets, self.state[live], self.end, None if known.all() else known)
+        # A lane that ran out did so at the end of a document, where the next one resets the state.
+        self.state[live], self.last[live] = state, targets[-1]
+        self.loads[live] -= sizes
+        n = int(sizes.sum())
+        self.tokens, self.loss, self.count = self.tokens + n, self.loss + float(loss) * n, self.count + 1
+        rate = self.rate * n / (steps * len(self.loads))
+        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        scale = min(1.0, 1.0 / max(norm, 1e-9))
+        for k, x in g.items():
+            x *= scale
+            self.mean[k] += 0.1 * (x - self.mean[k])
+            self.square[k] += 0.01 * (x * x - self.square[k])
+            self.w[k] -= rate * (self.mean[k] / (1 - 0.9**self.count)) / (np.sqrt(self.square[k] / (1 - 0.99**self.count)) + 1e-7)
 
 
 def score_documents(shape: Shape, w: dict[str, np.ndarray], documents: list[np.ndarray], end: int, lanes: int = 512) -> np.ndarray:

@@ -3,7 +3,7 @@
 Word counts of all training documents are summed by word over the cluster. The most frequent words (a bounded
 number: a word with 1/n of all tokens or more, of which there are n at most) go to every task; the counts of all
 other words meet the documents in a join. The recurrent model starts from a bounded sample and then every task
-goes on training on its own documents, a window of each, and the weights are averaged.
+goes on training on its own documents, all tokens of each, and the weights are averaged.
 """
 
 from __future__ import annotations
@@ -102,9 +102,9 @@ def averaged(rows: DataFrame) -> np.ndarray | None:
     return (sum(np.frombuffer(w, np.float32).astype(np.float64) * k for w, k in zip(found["weights"], n, strict=True)) / n.sum()).astype(np.float32)
 
 
-def fit(train: DataFrame, shape: Shape, vocabulary: Vocabulary, *, sample_docs: int = 2000, passes: int = 3, window: int = 64, rate: float = 0.01) -> dict[str, np.ndarray]:
+def fit(train: DataFrame, shape: Shape, vocabulary: Vocabulary, *, sample_docs: int = 2000, passes: int = 3, rate: float = 0.01) -> dict[str, np.ndarray]:
     """Weights from doc_id, bytes: first from about `sample_docs` documents, drawn alike from all rows, in one task;
-    then all tasks train on `window` tokens of every document, and their weights are averaged by tokens."""
+    then all tasks train on every token of all their documents, and their weights are averaged by tokens."""
     spark = train.sparkSession
     vocab = spark.sparkContext.broadcast(vocabulary)
 
@@ -114,11 +114,12 @@ def fit(train: DataFrame, shape: Shape, vocabulary: Vocabulary, *, sample_docs:
             ids += [v.token_ids(v.places(words_of(t))) for t in batch.column("bytes").to_pylist()]
         if ids:
             trainer = gated_lm.Trainer(shape, gated_lm.start(shape), rate)
-            stream = np.concatenate(ids)
             for i in range(passes):
                 trainer.rate = rate / (1 + i)
-                trainer.learn(stream, 0)
-            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([len(stream)], pa.int64()), pa.array([0], pa.int64())], ["weights", "n", "task"])
+                for document in ids:
+                    trainer.learn(document)
+                trainer.finish()
+            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([trainer.tokens], pa.int64()), pa.array([0], pa.int64())], ["weights", "n", "task"])
 
     # The end's count is the number of training documents.
     share = sample_docs / max(1.0, float(vocabulary.counts[0]))
@@ -131,24 +132,15 @@ def fit(train: DataFrame, shape: Shape, vocabulary: Vocabulary, *, sample_docs:
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        v, trainer, held, size, n = vocab.value, gated_lm.Trainer(shape, gated_lm.unflat(shape, begun.value), rate / (2 * passes)), [], 0, 0
+        v, trainer = vocab.value, gated_lm.Trainer(shape, gated_lm.unflat(shape, begun.value), rate / (2 * passes))
         for batch in batches:
-            for place, text in zip(batch.column("place").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
-                words = words_of(text)
-                at = place % max(1, len(words) - window + 1)
-                held.append(v.token_ids(v.places(words[at : at + window])))
-                size += len(held[-1])
-                if size >= 100_000:
-                    trainer.learn(np.concatenate(held), 0)
-                    held, n, size = [], n + size, 0
-        if held:
-            trainer.learn(np.concatenate(held), 0)
-            n += size
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([n], pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())], ["weights", "n", "task"])
+            for text in batch.column("bytes").to_pylist():
+                trainer.learn(v.token_ids(v.places(words_of(text))))
+        trainer.finish()
+        if trainer.tokens:
+            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([trainer.tokens], pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())], ["weights", "n", "task"])
 
-    each = train.select("bytes", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40)).alias("place"))
-    final = averaged(common.stored(each.mapInArrow(go_on, "weights binary, n long, task long"), "weights"))
+    final = averaged(common.stored(train.select("bytes").mapInArrow(go_on, "weights binary, n long, task long"), "weights"))
     return gated_lm.unflat(shape, weights if final is None else final)
 
 
