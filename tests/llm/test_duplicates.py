@@ -72,6 +72,38 @@ def test_groups_of_chains_in_rounds_of_pivots(spark, monkeypatch):
     assert got == brute_groups(docs, 2, 85, 100)
 
 
+def test_blocks_bound_every_cell_and_pair_members_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CELL", 40)
+    members = {1: range(200), 2: range(200), 3: range(190, 215)}
+    rows = [(r, i) for r, ids in members.items() for i in ids]
+    cells = defaultdict(list)
+    for r in jaccard_join.block_pairs(spark.createDataFrame(rows, "region long, set_id long")).collect():
+        cells[r.cell].append((r.set_id, r.side))
+    assert max(map(len, cells.values())) < 2 * 40
+    met = Counter((a, b) for c in cells.values() for a, x in c for b, y in c if a < b and not (x and x == y))
+    assert met == Counter((a, b) for ids in (members[1], members[3]) for a in ids for b in ids if a < b)
+
+
+def test_groups_of_one_template_below_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CELL", 8)
+    sizes = []
+    block_pairs = jaccard_join.block_pairs
+
+    def spied(regions):
+        cells = block_pairs(regions)
+        sizes.append((regions.groupBy("region").count().agg({"count": "max"}).first()[0], cells.groupBy("cell").count().agg({"count": "max"}).first()[0]))
+        return cells
+
+    monkeypatch.setattr(jaccard_join, "block_pairs", spied)
+    common_words = " ".join(f"c{i}" for i in range(92))
+    some = [(i, f"{common_words} " + " ".join(f"u{i}x{j}" for j in range(8)), "en", "s") for i in range(60)]
+    some += [(100 + i, some[i][1].replace("x0", "y0"), "en", "s") for i in range(0, 60, 7)]
+    docs = [(r[0], r[1]) for r in some]
+    got = Counter(tuple(r) for r in jaccard_join.join_groups(cases.table(spark, some), words=1, num=90, den=100).select("doc_id", "n_shingles", "component_id").collect())
+    assert got == brute_groups(docs, 1, 90, 100)
+    assert len(sizes) == 1 and sizes[0][0] > 2 * sizes[0][1]
+
+
 def test_groups_of_nothing(spark):
     assert jaccard_join.join_groups(cases.empty(spark)).count() == 0
 

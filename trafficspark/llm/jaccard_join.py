@@ -7,7 +7,9 @@ A cell that one task can take is compared there, around one pivot after the othe
 pivot differ by more than the radius can't be linked (the window), nor need those be that links already join. A
 larger cell first gets rounds on the cluster: in each of its regions, the distances of all members to a pivot;
 those within the radius are linked to it; a member not linked can only reach linked ones whose distance is
-within the radius of its own, so only it and those boundary members go on, and form smaller cells.
+within the radius of its own, so only it and those boundary members go on, and form smaller cells. Where rounds
+take off little, as in texts of one template, whose members all lie just beyond the radius, a region is dealt in
+blocks, and each pair of blocks is a cell of its own.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from trafficspark.llm.components import components
 
 #: Members of a cell that one task takes; larger cells get a round of pivots.
 CELL = 4096
-ROUNDS = 3
+#: A round that leaves more than this share of the members of large cells is the last one.
+SHRINKS = 0.75
 #: Shingles known as frequent, at most; they come last in order, and any order gives the same links.
 FREQUENT = 200_000
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -71,10 +74,12 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, floa
 
 
 class Cell:
-    """Links among the members of a cell, by pivots in turn; pairs already joined by links aren't looked at."""
+    """Links among the members of a cell, by pivots in turn; pairs already joined by links aren't looked at, nor are
+    pairs of one side (0 is on no side)."""
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+    def __init__(self, sets: list[np.ndarray], num: int, den: int, sides: list[int] | None = None):
         self.num, self.den, self.sizes = num, den, np.array([len(s) for s in sets])
+        self.sides = np.array(sides) if sides else np.zeros(len(sets), np.int64)
         values, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
         self.mark = np.zeros(len(values), bool)
@@ -86,6 +91,8 @@ class Cell:
             size = self.sizes[p]
             fits = (group != group[p]) & (self.den * np.minimum(self.sizes, size) >= self.num * np.maximum(self.sizes, size))
             fits[: p + 1] = False
+            if self.sides[p]:
+                fits &= self.sides != self.sides[p]
             for d in known:
                 fits &= np.abs(d - d[p]) <= radius + 1e-9
             if not fits.any():
@@ -103,6 +110,24 @@ class Cell:
                     group[group == group[y]] = group[p]
 
 
+def block_pairs(regions: DataFrame) -> DataFrame:
+    """cell, set_id, side from region, set_id: cells of about CELL members at most in which any two of a region meet.
+
+    A region that fits is one cell, without sides. A larger one is dealt in blocks of half a cell; each block and
+    each pair of blocks is a cell, the pair's blocks being its sides 1 and 2, so that two members are compared in
+    one cell of the region only. Regions with the same members are taken once.
+    """
+    member = F.xxhash64("set_id", F.lit(7))
+    sums = [F.count(F.lit(1)).alias("r"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("sum"), F.bit_xor(member).alias("xor")]
+    once = regions.groupBy("region").agg(*sums).groupBy("r", "sum", "xor").agg(F.min("region").alias("region"))
+    blocks = F.when(F.col("r") <= CELL, 1).otherwise(F.ceil(F.col("r") * 2.2 / CELL)).cast("long")
+    dealt = regions.join(once.select("region", blocks.alias("blocks")), "region").withColumn("own", F.pmod(member, F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = F.when(F.col("blocks") == 1, F.col("region")).otherwise(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return met.select(cell.alias("cell"), "set_id", side.cast("int").alias("side"))
+
+
 def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
@@ -231,15 +256,19 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     radius = 1 - num / den
     found: DataFrame | None = None
     small: DataFrame | None = None
-    for turn in range(ROUNDS + 1):
-        # Cells that stay large after some rounds are split into their regions.
-        cell = F.when(F.col("m") <= CELL, F.col("cell")).otherwise(F.col("region"))
-        ready = regions.where((F.col("m") <= CELL) | F.lit(turn == ROUNDS))
-        part = ready.select(cell.alias("cell"), "set_id").distinct()
+    before = math.inf
+    while True:
+        part = regions.where(F.col("m") <= CELL).select("cell", "set_id", F.lit(0).alias("side")).distinct()
         small = part if small is None else small.unionByName(part)
         large = regions.where(F.col("m") > CELL).select("region", "set_id", "n")
-        if turn == ROUNDS or large.isEmpty():
+        left = large.count()
+        if not left:
+            break
+        if left > SHRINKS * before:
+            # Another round would take off little: what remains is compared block by block.
+            small = small.unionByName(block_pairs(large))
             break
+        before = left
         pivots = large.groupBy("region").agg(F.min(F.struct("set_id", "n")).alias("p")).select("region", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n"))
         members = large.join(pivots, "region").where("set_id <> pivot")
         fits = F.least("n", "pivot_n") * den >= F.greatest("n", "pivot_n") * num
@@ -258,25 +287,26 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         regions = celled(common.stored(stay, "stay"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, reps, held, rep_type = None, [], [], None
+        cell, reps, held, sides, rep_type = None, [], [], [], None
 
         def decide() -> Iterator[pa.RecordBatch]:
-            pairs = list(Cell(held, num, den).links()) if len(held) > 1 else []
+            pairs = list(Cell(held, num, den, sides).links()) if len(held) > 1 else []
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in pairs], rep_type), pa.array([reps[j] for _, j in pairs], rep_type)], ["a", "b"])
 
         for batch in batches:
             rep_type = batch.schema.field("rep").type
-            for r, rep, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for r, rep, text, side in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if r != cell:
                     yield from decide()
-                    cell, reps, held = r, [], []
+                    cell, reps, held, sides = r, [], [], []
                 reps.append(rep)
+                sides.append(side)
                 held.append(shingles(text, words))
         yield from decide()
 
     # A cell of one round may bear the name of one of another; such cells are compared together.
-    members = small.distinct().join(texts, "set_id").select("cell", "rep", "bytes").repartition("cell").sortWithinPartitions("cell", "rep")
+    members = small.distinct().join(texts, "set_id").select("cell", "rep", "bytes", "side").repartition("cell").sortWithinPartitions("cell", "rep")
     ended = members.mapInArrow(finish, f"a {kind}, b {kind}")
     found = ended if found is None else found.unionByName(ended)
     groups = components(found)
