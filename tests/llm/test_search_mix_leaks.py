@@ -145,6 +145,23 @@ def test_leaks(spark, text, found):
     assert decontamination.clean(df, bench).count() == 2 - found
 
 
+@pytest.mark.parametrize(
+    "item, other, alike",
+    [
+        ("Sort the numbers 4, 17, 3, 22, 8, 15 and 1 in order.", "Sort the numbers 5, 18, 2, 23, 9, 16 and 6 in order.", True),
+        ("Compute 12 + 45 - 7 * 3 / 9 + 81 - 6.", "Compute 13 + 45 - 7 * 3 / 9 + 81 - 6.", False),
+        ("Order these cities: Paris, London, Berlin, Madrid, Rome, Vienna, Prague, Oslo.", "Order these cities: Oslo, London, Berlin, Madrid, Rome, Vienna, Prague, Paris.", False),
+        ("Who wrote Hamlet?", "Who wrote Faust?", False),
+        ("一列火车每小时行驶六十公里问三小时行驶多少公里", "今天天气很好我们去公园散步吧", False),
+    ],
+)
+def test_items_without_a_counting_window_are_found_whole(spark, item, other, alike):
+    bench = spark.createDataFrame([(1, item), (2, "...")], "item_id long, text string")
+    df = cases.table(spark, [(7, item, "en", "s"), (8, "as they ask: " + item + " 以及 and so on", "en", "s"), (9, "well, " + other, "en", "s"), (10, "nothing of it", "en", "s")])
+    got = sorted((r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench).collect())
+    assert got == [(7, 1), (8, 1)] + [(9, 1)] * alike
+
+
 def test_slots_must_agree(spark):
     bench = spark.createDataFrame([(1, "add 5 and 5 to get twice the sum")], "item_id long, text string")
     hit = lambda t: decontamination.matches(cases.table(spark, [(7, t, "en", "s")]), bench).count()

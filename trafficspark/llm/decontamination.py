@@ -25,7 +25,9 @@ UNITS = (
 )
 #: A capital after a lower-case letter, digit, comma or semicolon and one space starts a name.
 NAME_START = r"([\p{Ll}\p{Nd},;]\s)(\p{Lu})"
-TOKEN = MARK + r"?[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*"
+#: Scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han): each letter is a token.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+TOKEN = MARK + rf"?[\p{{L}}\p{{M}}&&[^{UNSPACED}]]+|[\p{{L}}&&[{UNSPACED}]]\p{{M}}*|[0-9]+(?:[.,][0-9]+)*"
 #: Windows of benchmark items up to which they are sent to all tasks; beyond that, both sides are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -61,6 +63,15 @@ def windows_at(starts: Column, length: Column | int) -> Column:
     return F.when(F.col("has_values"), F.transform(starts, lambda i: window(i, held(i)))).otherwise(F.transform(starts, lambda i: window(i, none)))
 
 
+def exact_at(starts: Column, length: Column | int) -> Column:
+    """pos, key (hash of the tokens themselves, names without MARK) and no slots for each start, from column words."""
+    n = F.lit(length) if isinstance(length, int) else length
+    plain = F.transform("words", lambda t: F.translate(t, MARK, ""))
+    window = lambda p, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("exact"), n, F.slice(p, i, n)).alias("key"), F.array().cast("array<bigint>").alias("slots"))
+    # In an array of its own, plain is made once and not for each start.
+    return F.flatten(F.transform(F.array(plain), lambda p: F.transform(starts, lambda i: window(p, i))))
+
+
 def templated(rows: DataFrame, text: Column) -> DataFrame:
     """rows with typed (template), values (the token behind each placeholder, else null), has_values."""
     typed = rows.withColumn("words", tokens(text)).withColumn("typed", template(F.col("words")))
@@ -76,8 +87,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     """doc_id, item_id, n_windows (windows of the item found in the document), item_windows for each pair that shares a window.
 
     Windows hold `window` tokens; an item of min_literals tokens or more but less than that is one window. A
-    window counts if it holds min_literals tokens that are no placeholders. Null or empty texts, shorter
-    items and items without such a window match nothing. Rows that share an id count as one document or item.
+    window counts if it holds min_literals tokens that are no placeholders. An item without such a window, or of
+    fewer tokens, is found as a whole: by all its tokens, values included, and if it holds min_literals tokens
+    that are no placeholders also by its whole template. So an item of one word is found wherever the word is.
+    Texts without tokens match nothing. Rows that share an id count as one document or item.
     The first token of an item counts both as a word and, if capitalised, as a name, for a document may have
     it inside a sentence. Either table may be empty; other columns are ignored.
     """
@@ -85,23 +98,33 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     capital = F.col("item_text").rlike(r"^\s*\p{Lu}")
     forms = F.when(capital, F.array(F.col("item_text"), F.concat(F.lit("a "), F.ltrim("item_text")))).otherwise(F.array("item_text"))
     # The second form puts a word before the first one, which makes a capital there a name; it is dropped again.
-    both = items.select("item_id", F.posexplode(forms).alias("form", "form_text"))
+    both = items.select("item_id", "item_text", F.posexplode(forms).alias("form", "form_text"))
     parts = templated(both, F.col("form_text"))
     for c in ("words", "typed", "values"):
         parts = parts.withColumn(c, F.when(F.col("form") == 1, F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))).otherwise(F.col(c)))
     n = F.size("typed")
+    # Held, for filters that move below the templates would make them again for each of their tokens.
+    parts = parts.persist()
+    whole = parts.where(n > 0)
     parts = parts.withColumn("length", F.least(n, F.lit(window))).where(F.col("length") >= min_literals)
     starts = F.when(F.col("form") == 0, all_starts(n, F.col("length"))).otherwise(F.array(F.lit(1)))
-    literals = F.size(F.filter(F.slice("typed", F.col("w.pos"), F.col("length")), lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    wanted = parts.withColumn("w", F.explode(windows_at(starts, F.col("length")))).where(literals >= min_literals)
-    wanted = wanted.select("item_id", F.col("w.pos").alias("item_pos"), "length", "w.key", F.col("w.slots").alias("item_slots")).distinct().persist()
-    count, lengths = wanted.agg(F.count(F.lit(1)), F.collect_set("length")).first()
+    literals = lambda some: F.size(F.filter(some, lambda t: ~t.isin(NUMBER, NAME, UNIT)))
+    counting = parts.withColumn("w", F.explode(windows_at(starts, F.col("length")))).where(literals(F.slice("typed", F.col("w.pos"), F.col("length"))) >= min_literals)
+    # Items without a counting window, as one window at place 0.
+    rest = whole.join(counting.select("item_text").distinct(), "item_text", "left_anti").withColumn("length", n)
+    one = F.array(F.lit(1))
+    exact = rest.where("form = 0").withColumn("w", F.explode(exact_at(one, F.col("length"))))
+    alike = rest.where(literals(F.col("typed")) >= min_literals).withColumn("w", F.explode(windows_at(one, F.col("length"))))
+    kinds = [(counting, F.col("w.pos"), False), (exact, F.lit(0), True), (alike, F.lit(0), False)]
+    tables = [t.select("item_id", pos.alias("item_pos"), "length", F.lit(is_exact).alias("exact"), "w.key", F.col("w.slots").alias("item_slots")) for t, pos, is_exact in kinds]
+    wanted = tables[0].unionByName(tables[1]).unionByName(tables[2]).distinct().persist()
+    count, lengths, exact_lengths = wanted.agg(F.count(F.lit(1)), F.collect_set(F.when(~F.col("exact"), F.col("length"))), F.collect_set(F.when(F.col("exact"), F.col("length")))).first()
     sizes = wanted.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
 
     docs = templated(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text")), F.col("doc_text"))
     size = F.size("typed")
-    # `window` tokens always, shorter lengths only where such items exist.
-    each = [windows_at(all_starts(size, k), k) for k in sorted({window, *lengths})]
+    # `window` tokens always, other lengths only where such items exist.
+    each = [windows_at(all_starts(size, k), k) for k in sorted({window, *lengths})] + [exact_at(all_starts(size, k), k) for k in sorted(exact_lengths)]
     found = docs.select("doc_id", F.explode(F.concat(*each) if len(each) > 1 else each[0]).alias("w")).select("doc_id", "w.key", "w.slots")
     small = F.broadcast(wanted) if count <= BROADCAST_WINDOWS else wanted
     met = found.join(small, (found["key"] == small["key"]) & (found["slots"] == small["item_slots"]))
