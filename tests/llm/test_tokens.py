@@ -36,10 +36,36 @@ def test_every_prefix_equals_the_library(library):
         assert counter.table.prefixes(piece) == [len(ids(library, piece[:i])) for i in range(len(piece) + 1)]
 
 
+def test_runs_of_any_script_and_odd_white_space_equal_the_library(library):
+    import random
+
+    rng = random.Random(4)
+    odd = ["\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\n", " ", "a", "É", "e\u0301", "\u0301", "Σ", "ς", "İ", "ß", "你好", "🙂", "<|endoftext|>", "<|", "|>", "'s", "'", "9", "½", "ﬁ", "K", "\x00", "\u200d"]
+    counter, encoder = token_counts.counter(tokenizer_path()), token_binary.Encoder(tokenizer_path())
+    for _ in range(4000):
+        text = "".join(rng.choices(odd, k=rng.randrange(12)))
+        exact = ids(library, text)
+        assert counter.total(text) == len(exact) and encoder.ids(text) == np.asarray(exact, "<u4").tobytes(), text
+        cut = rng.randrange(len(text) + 1)
+        assert counter.of_prefix(text, cut) == len(ids(library, text[:cut])), (text, cut)
+
+
+def test_one_very_long_word_takes_memory_in_proportion(library):
+    import tracemalloc
+
+    word = "".join(np.random.default_rng(1).choice(list("etaoinshr"), 200_000))
+    counter = token_counts.counter(tokenizer_path())
+    tracemalloc.start()
+    got = counter.total(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == len(ids(library, word)) and peak < 100_000_000
+
+
 def test_budget_questions(spark, library):
     df = cases.table(spark)
     for r in token_counts.token_counts(df, tokenizer_path(), prefixes=True, budgets=(7,)).collect():
-        assert r.prefix_ends is None or (len(r.prefix_ends) == len(r.prefix_tokens) and (r.prefix_tokens or [0])[-1] == r.n_tokens)
+        assert len(r.prefix_ends) == len(r.prefix_tokens) and (r.prefix_tokens or [0])[-1] == r.n_tokens
     counter = token_counts.counter(tokenizer_path())
     for t in cases.texts():
         cut = counter.longest_prefix(t or "", 7)

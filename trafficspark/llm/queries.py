@@ -74,7 +74,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budgets=(2048,))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -61,34 +61,36 @@ def unpack(frames: list[bytes], n: int, decompressor) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
+#: Parts the ids of runs; no id of a vocabulary.
+BREAK = b"\xff\xff\xff\xff"
+
+
 class Encoder:
-    """Ids of whole texts as little-endian bytes; the library encodes each distinct piece once."""
+    """Ids of whole texts as little-endian bytes; each distinct run between white space, and in it each piece, is encoded once."""
 
     def __init__(self, path: str):
         self.tokenizer = wordpieces.load(path)
-        self.cache = wordpieces.PieceCache(self.encode_pieces)
-        #: whether an id ends a piece, as its token says
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.ends[i] = token.endswith("</w>")
+        self.model = self.tokenizer.model
+        self.pieces, self.runs = wordpieces.Cache(self.encode_pieces), wordpieces.Cache(self.encode_runs)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; the library gets many at a time, and the tokens that end a piece tell where to part."""
-        out: list[bytes] = []
-        lines = [pieces[i : i + 256] for i in range(0, len(pieces), 256)]
-        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(p) for p in lines], add_special_tokens=False), strict=True):
-            ids = np.asarray(e.ids, "<u4")
-            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cuts) != len(line):
-                raise ValueError("the tokenizer's pieces don't end in tokens that say so")
-            data = ids.tobytes()
-            out += [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
-        return out
+        """Ids of each piece by the library's model; a line feed stands for BREAK."""
+        return [BREAK if p == "\n" else np.array([t.id for t in self.model.tokenize(wordpieces.symbols(p))], "<u4").tobytes() for p in pieces]
+
+    def encode_runs(self, new: list[str]) -> list[bytes]:
+        """Ids of each run: those of its pieces; runs that aren't plain go through the whole tokenizer."""
+        pieces, others = wordpieces.pieces_of_runs(new)
+        data = b"".join(self.pieces.of(pieces))
+        cuts = (np.flatnonzero(np.frombuffer(data, "<u4") == 0xFFFFFFFF) * 4).tolist()
+        plain = [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts[:-1])], cuts, strict=True)] if cuts else []
+        if not others:
+            return plain
+        told = {r: np.array(e.ids, "<u4").tobytes() for r, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True)}
+        in_order = iter(plain)
+        return [told[r] if r in told else next(in_order) for r in new]
 
     def ids(self, text: str) -> bytes:
-        if wordpieces.is_plain(text):
-            return b"".join(self.cache.of(wordpieces.PIECE.findall(text.lower())))
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(self.runs.of(wordpieces.runs(text)))
 
 
 _encoders: dict[str, Encoder] = {}

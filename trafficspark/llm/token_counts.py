@@ -2,14 +2,18 @@
 
 Prefix dynamic programming over BPE: the encoding of a prefix ends in the one token whose pair with the last
 token of the shorter prefix is stable (BPE over the two tokens together gives back the two). `PrefixTable`
-fills this in from left to right, so each prefix costs one lookup of an earlier one. A document stores the
-running count at each piece's end; the table answers inside a piece.
+fills this in from left to right, so each prefix costs one lookup of an earlier one. A document has the running
+count at the end of each run between white space; the table answers inside a run.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,19 +21,16 @@ from pyspark.sql import functions as F
 from trafficspark.llm import wordpieces
 
 END = "</w>"
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level BPE: itself, or the next free one from 256 on."""
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
+RUN = re.compile(r"\S+")
 
 
 class PrefixTable:
-    """Counts for every prefix of every piece seen; `limit` prefixes are kept at most."""
+    """Counts for every prefix of a piece, in lists by place, so that memory is linear in its length.
 
-    def __init__(self, tokenizer, limit: int = 2_000_000):
+    Prefixes of up to `shared` symbols are kept for other pieces that begin alike, `limit` of them at most.
+    """
+
+    def __init__(self, tokenizer, limit: int = 500_000, shared: int = 24):
         import json
 
         model = json.loads(tokenizer.to_str())["model"]
@@ -41,16 +42,12 @@ class PrefixTable:
             body = t.removesuffix(END)
             key = body[-2:] + t[len(body) :]
             self.reach[key] = max(len(body), self.reach.get(key, 2))
-        self.symbol = byte_symbols()
-        self.limit = limit
+        self.limit, self.shared = limit, shared
         self.stable: dict[tuple[str, str], bool] = {}
         self.made: dict[str, tuple[str, str] | None] = {}
         self.edges: dict[tuple[str, int], list | None] = {}
-        self.clear()
-
-    def clear(self) -> None:
         #: prefix without word end: its last token and its count
-        self.open: dict[str, tuple[str, int]] = {"": ("", 0)}
+        self.open: dict[str, tuple[str, int]] = {}
 
     def parts(self, token: str) -> tuple[str, str] | None:
         """The last merge of BPE over the token alone: None for a single symbol; ("", "") if it stays in pieces."""
@@ -102,107 +99,110 @@ class PrefixTable:
             known = self.stable[key] = not any((q := rank.get((x, y), never)) < rx and q <= ry for x, rx in self.spine(left, 1) for y, ry in b if (x, y) in rank)
         return known
 
-    def last(self, prefix: str, end: str) -> tuple[str, int]:
-        """Last token and count of a prefix whose shorter prefixes are in the table."""
-        vocab, done, size = self.vocab, self.open, len(prefix)
-        for start in range(max(0, size - self.reach.get(prefix[-2:] + end, 2)), size):
-            token = prefix[start:] + end
-            if token in vocab:
-                before, count = done[prefix[:start]]
-                if self.fits(before, token):
-                    return token, count + 1
-        raise ValueError(f"no token ends {prefix!r}")
-
-    def fill(self, symbols: str) -> None:
-        done = self.open
-        if symbols in done:
-            return
-        if len(done) > self.limit:
-            self.clear()
-            done = self.open
-        known = len(symbols) - 1
-        while symbols[:known] not in done:
-            known -= 1
-        for i in range(known + 1, len(symbols) + 1):
-            done[symbols[:i]] = self.last(symbols[:i], "")
+    def last(self, symbols: str, size: int, end: str, tokens: list[str], counts: list[int]) -> tuple[str, int]:
+        """Last token and count of the first `size` symbols, from the last tokens and counts of all shorter prefixes."""
+        vocab = self.vocab
+        for start in range(max(0, size - self.reach.get(symbols[max(0, size - 2) : size] + end, 2)), size):
+            token = symbols[start:size] + end
+            if token in vocab and self.fits(tokens[start], token):
+                return token, counts[start] + 1
+        raise ValueError(f"no token ends {symbols[max(0, size - 50) : size]!r}")
+
+    def fill(self, symbols: str, size: int) -> tuple[list[str], list[int]]:
+        """Last token and count of the prefixes of 0 to `size` symbols, none of them at a word's end."""
+        tokens, counts = [""], [0]
+        if len(self.open) > self.limit:
+            self.open.clear()
+        for i in range(1, size + 1):
+            known = self.open.get(symbols[:i]) if i <= self.shared else None
+            if known is None:
+                known = self.last(symbols, i, "", tokens, counts)
+                if i <= self.shared:
+                    self.open[symbols[:i]] = known
+            tokens.append(known[0])
+            counts.append(known[1])
+        return tokens, counts
 
     def count(self, piece: str) -> int:
         """Tokens of a whole piece."""
-        return self.count_symbols(piece if piece.isascii() else "".join([self.symbol[b] for b in piece.encode()]))
+        return self.count_symbols(wordpieces.symbols(piece))
 
     def count_symbols(self, symbols: str) -> int:
-        self.fill(symbols[:-1])
-        return self.last(symbols, END)[1]
+        tokens, counts = self.fill(symbols, len(symbols) - 1)
+        return self.last(symbols, len(symbols), END, tokens, counts)[1]
 
     def prefixes(self, piece: str) -> list[int]:
         """Tokens of each prefix of the piece, by characters, as if the text ended there; the first is 0."""
-        return [0, *(self.count(piece[:i]) for i in range(1, len(piece) + 1))]
+        symbols = wordpieces.symbols(piece)
+        tokens, counts = self.fill(symbols, len(symbols) - 1)
+        ends = list(accumulate(map(len, piece if piece.isascii() else map(str.encode, piece))))
+        return [0, *(self.last(symbols, i, END, tokens, counts)[1] for i in ends)]
 
 
 class Counter:
-    """Counts for whole texts and their prefixes, by the pieces of the text."""
+    """Counts for whole texts and their prefixes, by the runs between white space and the pieces of each."""
 
     def __init__(self, path: str):
         self.tokenizer = wordpieces.load(path)
         self.table = PrefixTable(self.tokenizer)
-        self.cache = wordpieces.PieceCache(lambda new: [self.table.count(p) for p in new])
+        # A line feed, which closes each run, counts as -1.
+        self.pieces = wordpieces.Cache(lambda new: [-1 if p == "\n" else self.table.count(p) for p in new])
+        self.runs = wordpieces.Cache(self.of_runs)
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
 
-    def other_pieces(self, text: str) -> list[int]:
-        """Counts of the pieces of a text that isn't plain, split by the library; a special string is one token."""
-        import re
-
-        counts: list[int] = []
-        for part in re.split("(" + "|".join(map(re.escape, sorted(self.special))) + ")", text):
+    def of_runs(self, new: list[str]) -> list[int]:
+        pieces, others = wordpieces.pieces_of_runs(new)
+        counts = np.array(self.pieces.of(pieces), np.int64)
+        closed = counts < 0
+        sums = np.cumsum(np.where(closed, 0, counts))[closed]
+        plain = np.diff(sums, prepend=0).tolist()
+        if not others:
+            return plain
+        told, in_order = {r: self.of_other_run(r) for r in others}, iter(plain)
+        return [told[r] if r in told else next(in_order) for r in new]
+
+    def of_other_run(self, run: str) -> int:
+        """Count of a run that isn't plain, split by the library; a special string is one token."""
+        count = 0
+        for part in re.split("(" + "|".join(map(re.escape, sorted(self.special))) + ")", run):
             if part in self.special:
-                counts.append(1)
+                count += 1
             elif part:
-                pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(part))
-                counts.extend(self.table.count_symbols(p) for p, _ in pieces)
-        return counts
+                count += sum(self.table.count_symbols(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(part)))
+        return count
 
     def total(self, text: str) -> int:
-        if wordpieces.is_plain(text):
-            return sum(self.cache.of(wordpieces.PIECE.findall(text.lower())))
-        return sum(self.other_pieces(text))
-
-    def running(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ends of the pieces (in characters) and the count up to each; None if the text isn't plain."""
-        if not wordpieces.is_plain(text):
-            return None
-        low = text.lower()
-        ends, counts, so_far = [], [], 0
-        for m in wordpieces.PIECE.finditer(low):
-            so_far += self.cache.of([m.group()])[0]
-            ends.append(m.end())
-            counts.append(so_far)
-        return ends, counts
+        return sum(self.runs.of(wordpieces.runs(text)))
 
-    def of_prefix(self, text: str, cut: int, running: tuple[list[int], list[int]] | None = None) -> int:
-        """Tokens of text[:cut], from the stored counts of earlier pieces and the table for the piece that is cut."""
-        from bisect import bisect_right
+    def running(self, text: str) -> tuple[list[int], list[int]]:
+        """Ends of the runs (in characters) and the count of the prefix up to each."""
+        found = wordpieces.runs(text)
+        if len(found) == 1:
+            return [len(text)], self.runs.of(found)
+        return [m.end() for m in RUN.finditer(text)], list(accumulate(self.runs.of(found)))
 
-        running = running or self.running(text)
-        if running is None:
-            return self.total(text[:cut])
-        ends, counts = running
+    def of_prefix(self, text: str, cut: int, running: tuple[list[int], list[int]] | None = None) -> int:
+        """Tokens of text[:cut], from the stored counts of earlier runs and the table for the run that is cut."""
+        ends, counts = running or self.running(text)
         k = bisect_right(ends, cut)
-        # A cut can join nothing to an earlier piece; only the piece it goes through is split anew.
-        return (counts[k - 1] if k else 0) + self.total(text[ends[k - 1] if k else 0 : cut])
-
-    def longest_prefix(self, text: str, budget: int) -> int:
-        """Most characters of the text, up to a piece's end, that take `budget` tokens at most."""
-        from bisect import bisect_right
-
-        running = self.running(text)
-        if running is None:
-            low, high = 0, len(text)
-            while low < high:
-                mid = (low + high + 1) // 2
-                low, high = (mid, high) if self.total(text[:mid]) <= budget else (low, mid - 1)
-            return low
-        k = bisect_right(running[1], budget)
-        return len(text) if k == len(running[1]) else (running[0][k - 1] if k else 0)
+        # A cut can join nothing to an earlier run; only the run it goes through is split anew.
+        return (counts[k - 1] if k else 0) + sum(self.of_runs(wordpieces.runs(text[ends[k - 1] if k else 0 : cut])))
+
+    def longest_prefix(self, text: str, budget: int, running: tuple[list[int], list[int]] | None = None) -> int:
+        """Most characters of the text, up to the end of a piece (of a run, if that isn't plain), that take `budget` tokens at most."""
+        ends, counts = running or self.running(text)
+        k = bisect_right(counts, budget)
+        if k == len(counts):
+            return len(text)
+        at, so_far = (ends[k - 1], counts[k - 1]) if k else (0, 0)
+        run = text[at : ends[k]]
+        if wordpieces.is_plain(run.lstrip(" \t\n\v\f\r")):
+            low = run.lower()
+            places = list(wordpieces.PIECE.finditer(low))
+            inside = list(accumulate(self.pieces.of([m.group() for m in places])))
+            if more := bisect_right(inside, budget - so_far):
+                at += places[more - 1].end()
+        return at
 
 
 _counters: dict[str, Counter] = {}
@@ -217,11 +217,11 @@ def counter(path: str) -> Counter:
 def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048, prefixes: bool = False, budgets: tuple[int, ...] = ()) -> DataFrame:
     """Tokens of every whole text: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
-    `prefixes` adds prefix_ends and prefix_tokens (arrays: the end of each piece in characters, tokens up to
-    there; null for texts that only the library can split); each of `budgets` adds chars_<budget>, the length
-    of the longest prefix (to a piece's end) within that many tokens. A null text counts as empty: 0 bytes and
-    tokens. Repeated rows are counted each; null ids stay null; other columns are ignored. An empty table
-    gives an empty result. No shuffle: one pass over the texts.
+    `prefixes` adds prefix_ends and prefix_tokens (arrays: the end of each run between white space in characters,
+    tokens up to there); each of `budgets` adds chars_<budget>, the length of the longest prefix (to a piece's end)
+    within that many tokens. A null text counts as empty: 0 bytes and tokens. Very long texts and words take memory
+    in proportion to their length. Repeated rows are counted each; null ids stay null; other columns are ignored.
+    An empty table gives an empty result. No shuffle: one pass over the texts.
     """
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
     schema += ", prefix_ends array<int>, prefix_tokens array<int>" * prefixes + "".join(f", chars_{b} int" for b in budgets)
@@ -233,9 +233,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
             totals = [c.total(t) for t in texts]
             columns = [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(totals, pa.int64()), pa.array([n > limit for n in totals], pa.bool_())]
             if prefixes:
-                kept = [c.running(t) or (None, None) for t in texts]
+                kept = [c.running(t) for t in texts]
                 columns += [pa.array([k[i] for k in kept], pa.list_(pa.int32())) for i in (0, 1)]
-            columns += [pa.array([c.longest_prefix(t, b) for t in texts], pa.int32()) for b in budgets]
+            columns += [pa.array([len(t) if n <= b else c.longest_prefix(t, b) for t, n in zip(texts, totals, strict=True)], pa.int32()) for b in budgets]
             names = ["doc_id", "n_bytes", "n_tokens", "over_limit", *["prefix_ends", "prefix_tokens"] * prefixes, *(f"chars_{b}" for b in budgets)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
