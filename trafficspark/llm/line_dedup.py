@@ -42,6 +42,15 @@ def piece_keys(n: Column, pieces: int, prefix: Callable[[Column], Column], suffi
     return F.transform(F.sequence(F.lit(0), F.lit(2 * pieces - 1)), key)
 
 
+def half_keys(line: str, n: Column) -> list[Column]:
+    """piece_keys with two pieces, each key by itself: of the line as the longer and as the shorter of two, each half hashed."""
+    keys = []
+    for base in (n, n - 1):
+        half = F.floor(base / 2).cast("int")
+        keys += [F.xxhash64(base, F.lit(0), F.right(F.col(line), base - half)), F.xxhash64(base, F.lit(1), F.left(F.col(line), half))]
+    return keys
+
+
 def shared(keyed: DataFrame, ids: list[str]) -> DataFrame:
     """The distinct ids among rows whose key occurs more than once."""
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
@@ -66,10 +75,12 @@ def removals(lines: DataFrame) -> DataFrame:
     first: the place of its first occurrence; near: the place of the earliest line alike, if before that."""
     h1, h2 = pair_hash(F.col("line"))
     n = F.length("line")
-    halves = piece_keys(n, 2, lambda m: F.left("line", m), lambda m: F.right("line", m))
+    halves = half_keys("line", n)
+    names = [f"key{i}" for i in range(len(halves))]
     place = F.struct("doc_id", "line_no")
-    hashed = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), halves.alias("keys"))
-    distinct = common.stored(hashed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")), "lines")
+    hashed = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), *(k.alias(c) for k, c in zip(halves, names, strict=True)))
+    grouped = hashed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in names))
+    distinct = common.stored(grouped.select("h1", "h2", "first", "n", F.array(*names).alias("keys")), "lines")
 
     half_alike = common.stored(shared(distinct.select("h1", "h2", F.explode("keys").alias("key")), ["h1", "h2"]).join(distinct.select("h1", "h2", "first"), ["h1", "h2"]), "halves")
     few = half_alike.count() <= BROADCAST_ROWS
@@ -100,7 +111,7 @@ def removals(lines: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """doc_id, n_lines, n_removed and text (what is left) for every row of docs.
 
-    A line of min_chars characters or more goes if an equal line, or one within one edit, stands before it:
+    A line of min_chars characters or more, however long, goes if an equal line, or one within one edit, stands before it:
     in a lower doc_id or earlier in the same document, itself removed or not. Shorter lines always stay. A
     null text has 0 lines and stays null; an empty text is one empty line. Rows that share a doc_id hold
     their lines at the same places, so none of them removes the other's line of the same number. Null ids
