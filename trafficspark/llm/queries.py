@@ -61,7 +61,7 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages")
 
 
 def op8_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:

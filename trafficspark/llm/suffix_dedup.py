@@ -73,16 +73,19 @@ def window_anchor(hashes: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(back[: n - width + 1], ahead[width - 1 : n]) & POSITION).astype(np.int64)
 
 
-def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """hash, pos, lo, hi: each anchor and the first and last start of the windows it stands for, piece by piece."""
-    width = length - GRAM + 1
-    for at in range(0, max(0, len(text) - length + 1), PIECE):
-        data = np.frombuffer(text, np.uint8, min(PIECE + length - 1, len(text) - at), at)
+def anchors(text: bytes, lengths: tuple[int, ...]) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """For each length, piece by piece: hash (each length has its own), pos, lo, hi: anchors and the first and last start of the windows they stand for."""
+    for at in range(0, max(0, len(text) - min(lengths) + 1), PIECE):
+        data = np.frombuffer(text, np.uint8, min(PIECE + max(lengths) - 1, len(text) - at), at)
         hashes = rolling(data, GRAM)
-        place = window_anchor(hashes, width)
-        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        last = np.concatenate((first[1:] - 1, [len(place) - 1]))
-        yield hashes[place[first]].view(np.int64), place[first] + at, first + at, last + at
+        for length in lengths:
+            windows = min(PIECE, len(text) - at - length + 1)
+            if windows > 0:
+                place = window_anchor(hashes[: windows + length - GRAM], length - GRAM + 1)
+                first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+                last = np.concatenate((first[1:] - 1, [len(place) - 1]))
+                named = hashes[place[first]] ^ np.uint64(length * 0x9E3779B97F4A7C15 % (1 << 64))
+                yield length, (named.view(np.int64), place[first] + at, first + at, last + at)
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -140,47 +143,50 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["mark"] == right["mark"])
 
 
-def find_repeats(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, mark, start, end: stretches of bytes covered by strings of `length` bytes that start elsewhere too."""
+def find_repeats(docs: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """doc_id, mark, length, start, end: for each length, stretches of bytes covered by strings of so many bytes that start elsewhere too."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [part[0] for text in batch.column(0).to_pylist() for part in anchors(text, length)]
+            found = [part[0] for text in batch.column(0).to_pylist() for _, part in anchors(text, lengths)]
             if found:
                 grams, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], ["gram", "n"])
 
+    # Written, so that the join has nothing but its two sides in its stage and can be dealt anew where a gram is hot.
     several = docs.select("bytes").mapInArrow(count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
+    several = common.stored(several, "grams")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            parts, rows, names = [], [], []
+            parts, rows, sizes, names = [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
-                for part in anchors(text, length):
+                for length, part in anchors(text, lengths):
                     parts.append(part)
                     rows.append(np.full(len(part[0]), i))
+                    sizes.append(np.full(len(part[0]), length, np.int32))
                     names += [xxhash.xxh3_128_digest(text[lo : hi + length], pos - lo) for pos, lo, hi in zip(*(c.tolist() for c in part[1:]), strict=True)]
             if parts:
                 at = pa.array(np.concatenate(rows))
                 found = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
                 hashes = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *found, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], ["doc_id", "mark", "gram", "pos", "lo", "hi", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(sizes)), *found, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], ["doc_id", "mark", "length", "gram", "pos", "lo", "hi", "h1", "h2"])
 
-    placed = docs.mapInArrow(scan, f"doc_id {kind}, mark long, gram long, pos long, lo long, hi long, h1 long, h2 long")
+    placed = docs.mapInArrow(scan, f"doc_id {kind}, mark long, length int, gram long, pos long, lo long, hi long, h1 long, h2 long")
     held = common.stored(placed.join(several, "gram"), "anchors")
 
     # Contexts (all bytes of an anchor's windows) by their hash: those that occur again repeat in all their windows.
     me = F.struct("doc_id", "mark", "pos", "lo", "hi")
-    distinct = held.groupBy("gram", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("rep"))
+    distinct = held.groupBy("gram", "length", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("rep"))
     distinct = common.stored(distinct, "contexts")
-    groups = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    whole = held.join(distinct.where("n > 1").select("gram", "h1", "h2"), ["gram", "h1", "h2"]).select("doc_id", "mark", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
+    groups = common.stored(distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "groups")
+    whole = held.join(distinct.where("n > 1").select("gram", "h1", "h2"), ["gram", "h1", "h2"]).select("doc_id", "mark", "length", F.col("lo").alias("start"), (F.col("hi") + F.col("length")).alias("end"))
     # One of each context goes on to be compared with the others of its gram.
-    ours = distinct.select("gram", "rep.*").join(groups, "gram")
-    by_doc = ours.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("gram", "pos", "lo", "hi", "m")).alias("anchors"))
+    ours = distinct.select("gram", "length", "rep.*").join(groups, "gram")
+    by_doc = ours.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("gram", "length", "pos", "lo", "hi", "m")).alias("anchors"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,27 +198,27 @@ def find_repeats(docs: DataFrame, length: int) -> DataFrame:
                 n = len(found)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc_id] * n, batch.schema.field(0).type), pa.array([mark] * n, pa.int64()), *(pa.array([x[c] for x in found], pa.int64()) for c in ("gram", "pos", "m")),
-                        pa.array([text[x["lo"] : x["pos"]][::-1] for x in found], pa.binary()), pa.array([text[x["pos"] : x["hi"] + length] for x in found], pa.binary()),
+                        pa.array([doc_id] * n, batch.schema.field(0).type), pa.array([mark] * n, pa.int64()), *(pa.array([x[c] for x in found], k) for c, k in (("length", pa.int32()), ("gram", pa.int64()), ("pos", pa.int64()), ("m", pa.int64()))),
+                        pa.array([text[x["lo"] : x["pos"]][::-1] for x in found], pa.binary()), pa.array([text[x["pos"] : x["hi"] + x["length"]] for x in found], pa.binary()),
                     ],
-                    ["doc_id", "mark", "gram", "pos", "m", "left", "right"],
+                    ["doc_id", "mark", "length", "gram", "pos", "m", "left", "right"],
                 )
 
     joined = docs.join(by_doc, same_row(docs, by_doc)).select(docs["doc_id"], docs["mark"], docs["bytes"], by_doc["anchors"])
-    around = joined.mapInArrow(contexts, f"doc_id {kind}, mark long, gram long, pos long, m long, left binary, right binary")
+    around = joined.mapInArrow(contexts, f"doc_id {kind}, mark long, length int, gram long, pos long, m long, left binary, right binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, held, types = None, [], None
 
         def decide() -> pa.RecordBatch | None:
-            runs = repeated_offsets([r["right"] for r in held], [r["left"] for r in held], length) if len(held) > 1 else []
+            runs = repeated_offsets([r["right"] for r in held], [r["left"] for r in held], held[0]["length"]) if len(held) > 1 else []
             if not runs:
                 return None
-            rows = [(held[i]["doc_id"], held[i]["mark"], held[i]["pos"] - last, held[i]["pos"] - first + length) for i, first, last in runs]
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "mark", "start", "end"])
+            rows = [(held[i]["doc_id"], held[i]["mark"], held[i]["length"], held[i]["pos"] - last, held[i]["pos"] - first + held[i]["length"]) for i, first, last in runs]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "mark", "length", "start", "end"])
 
         for batch in batches:
-            types = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64()]
+            types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             for row in batch.to_pylist():
                 if row["gram"] != gram:
                     if (out := decide()) is not None:
@@ -222,55 +228,63 @@ def find_repeats(docs: DataFrame, length: int) -> DataFrame:
         if held and (out := decide()) is not None:
             yield out
 
-    spans = f"doc_id {kind}, mark long, start long, end long"
-    columns = ["gram", "doc_id", "mark", "pos", "left", "right"]
+    spans = f"doc_id {kind}, mark long, length int, start long, end long"
+    columns = ["gram", "doc_id", "mark", "length", "pos", "left", "right"]
     partly = around.where(F.col("m") <= GROUP).select(columns).repartition("gram").sortWithinPartitions("gram", "right").mapInArrow(compare, spans)
+    if groups.where(F.col("m") > GROUP).isEmpty():
+        return whole.unionByName(partly)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, row in enumerate(batch.to_pylist()):
                 data = np.frombuffer(row["left"][::-1] + row["right"], np.uint8)
-                starts = np.arange(len(data) - length + 1) + row["pos"] - len(row["left"])
+                starts = np.arange(len(data) - row["length"] + 1) + row["pos"] - len(row["left"])
                 at = pa.array([i] * len(starts))
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(2).take(at), pa.array(starts), pa.array(rolling(data, length).view(np.int64)), pa.array(rolling(data, length, 1).view(np.int64))], ["doc_id", "mark", "start", "w1", "w2"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in (1, 2, 3)), pa.array(starts), pa.array(rolling(data, row["length"]).view(np.int64)), pa.array(rolling(data, row["length"], 1).view(np.int64))], ["doc_id", "mark", "length", "start", "w1", "w2"])
 
-    single = around.where(F.col("m") > GROUP).select(columns).mapInArrow(windows, f"doc_id {kind}, mark long, start long, w1 long, w2 long")
-    twice = single.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    hot = single.join(twice, ["w1", "w2"]).select("doc_id", "mark", "start", (F.col("start") + length).alias("end"))
-    if groups.where(F.col("m") > GROUP).isEmpty():
-        return whole.unionByName(partly)
+    single = around.where(F.col("m") > GROUP).select(columns).mapInArrow(windows, f"doc_id {kind}, mark long, length int, start long, w1 long, w2 long")
+    twice = single.groupBy("length", "w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("length", "w1", "w2")
+    hot = single.join(twice, ["length", "w1", "w2"]).select("doc_id", "mark", "length", "start", (F.col("start") + F.col("length")).alias("end"))
     return whole.unionByName(partly).unionByName(hot)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, spans (start, end) and kept (bytes) for every row.
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400, passage: int = 200, passage_words: int = 50) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, spans (start, end), n_passages and kept (bytes) for every row.
 
     Every byte goes that is covered by a string of `length` bytes which also starts anywhere else in the
-    input, in the same document or another; matches lie within documents. Null texts count as empty; texts
-    shorter than `length` stay whole. Repeated rows are copies of each other, so all their strings repeat. Null
-    ids are fine; an empty table gives an empty result; other columns are ignored. kept is binary, for a
-    stretch may begin or end inside a character.
+    input, in the same document or another; matches lie within documents. n_passages says how many stretches of
+    more than passage_words words are covered by strings of `passage` bytes which also start elsewhere: repeated
+    passages that may be too short to be removed. Null texts count as empty; texts shorter than `length` stay whole,
+    and very long ones are gone through piece by piece. Repeated rows are copies of each other, so all their
+    strings repeat. Null ids are fine; an empty table gives an empty result; other columns are ignored. kept is
+    binary, for a stretch may begin or end inside a character.
     """
     whole = docs.select(F.col(id_col).alias("doc_id"), common.binary_large(F.col(text_col)).alias("bytes")).select("doc_id", F.xxhash64("bytes").alias("mark"), "bytes")
     kind = whole.schema["doc_id"].dataType.simpleString()
-    spans = find_repeats(whole, length).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    lengths = (length, passage) if passage != length else (length,)
+    spans = find_repeats(whole, lengths).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("length", "start", "end")).alias("spans"))
     joined = whole.join(spans, same_row(whole, spans), "left").select(whole["doc_id"], whole["bytes"], spans["spans"])
 
+    def runs_of(found: list[dict] | None, size: int) -> list[list[int]]:
+        runs: list[list[int]] = []
+        for start, end in sorted((s["start"], s["end"]) for s in found or () if s["length"] == size):
+            if runs and start <= runs[-1][1]:
+                runs[-1][1] = max(end, runs[-1][1])
+            else:
+                runs.append([start, end])
+        return runs
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, merged, kept = [], [], [], []
+            sizes, removed, merged, passages, kept = [], [], [], [], []
             for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                runs: list[list[int]] = []
-                for start, end in sorted((s["start"], s["end"]) for s in found or ()):
-                    if runs and start <= runs[-1][1]:
-                        runs[-1][1] = max(end, runs[-1][1])
-                    else:
-                        runs.append([start, end])
+                runs = runs_of(found, length)
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 sizes.append(len(data))
                 removed.append(sum(e - s for s, e in runs))
                 merged.append([{"start": s, "end": e} for s, e in runs])
+                passages.append(sum(len(data[s:e].split()) > passage_words for s, e in runs_of(found, passage)))
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array([len(m) for m in merged], pa.int64()), pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array([len(m) for m in merged], pa.int64()), pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(passages, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "n_passages", "kept"])
 
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")
+    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, n_passages long, kept binary")
