@@ -30,7 +30,7 @@ class PrefixTable:
     Prefixes of up to `shared` symbols are kept for other pieces that begin alike, `limit` of them at most.
     """
 
-    def __init__(self, tokenizer, limit: int = 500_000, shared: int = 24):
+    def __init__(self, tokenizer, limit: int = 1_000_000, shared: int = 24):
         import json
 
         model = json.loads(tokenizer.to_str())["model"]
@@ -146,7 +146,7 @@ class Counter:
         self.tokenizer = wordpieces.load(path)
         self.table = PrefixTable(self.tokenizer)
         # A line feed, which closes each run, counts as -1.
-        self.pieces = wordpieces.Cache(lambda new: [-1 if p == "\n" else self.table.count(p) for p in new])
+        self.pieces = wordpieces.Cache(lambda new: [-1 if p == "\n" else self.table.count(p) for p in new], limit=1_500_000)
         self.runs = wordpieces.Cache(self.of_runs)
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
 
