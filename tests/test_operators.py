@@ -213,3 +213,32 @@ def test_keys_keep_series_apart(spark):
     both = hours(spark, 30).withColumn("k", F.lit("x")).unionByName(hours(spark, 26).withColumn("k", F.lit("y")))
     counts = {r.k: r["count"] for r in features.hourly_features(both, keys=("k",)).groupBy("k").count().collect()}
     assert counts == {"x": 6, "y": 2}
+
+
+def test_calendar_keeps_the_counts_of_a_null_key(spark):
+    hours = [(k, dt.datetime(2024, 1, 1 + h // 24, h % 24), 5 + h) for k in ("a", None) for h in range(0, 40, 2)]
+    df = spark.createDataFrame(hours, "k string, hour_start timestamp_ntz, flight_count long")
+    got = features.calendar_spine(df, keys=("k",)).collect()
+    for key in ("a", None):
+        mine = {r.hour_start: r.flight_count for r in got if r.k == key}
+        assert len(mine) == 39 and sum(mine.values()) == sum(n for k, _, n in hours if k == key)
+    assert features.calendar_spine(df, keys=("k",)).columns == ["k", "hour_start", "flight_count"]
+
+
+@pytest.mark.parametrize("message, category, text", [("[API_ERROR] a\nb", "API_ERROR", "a\nb"), ("[X] \n", "X", ""), ("a\n[X] b", "UNKNOWN", "a\n[X] b"), ("[X]", "X", ""), (None, "UNKNOWN", None)])
+def test_categories_of_messages_of_several_lines(spark, message, category, text):
+    df = spark.createDataFrame([(message,)], "m string").select(*(c.alias(n) for n, c in zip("ct", S.split_category(F.col("m")), strict=True)))
+    assert tuple(df.first()) == (category, text)
+
+
+@pytest.mark.parametrize("ratio", [0.1, 0.37, 0.9])
+@pytest.mark.parametrize("kind", ["long", "timestamp_ntz", "string", "double"])
+def test_cut_in_time(spark, monkeypatch, kind, ratio):
+    monkeypatch.setattr(features, "PLACES", 100)
+    numbers = [(i * 7919) % 5003 for i in range(3000)]
+    make = {"long": int, "double": float, "string": lambda i: f"{i:05d}", "timestamp_ntz": lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)}[kind]
+    df = spark.createDataFrame([(make(i),) for i in numbers], f"hour_start {kind}").repartition(3)
+    got = features.time_split(df, test_ratio=ratio)
+    assert got.columns == ["hour_start", "split"]
+    cut = int(3000 * (1 - ratio))
+    assert [r.split for r in got.orderBy("hour_start").collect()] == ["train"] * cut + ["test"] * (3000 - cut)

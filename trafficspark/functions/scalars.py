@@ -51,8 +51,8 @@ def flight_phase(vertical_rate: Column) -> Column:
 
 
 def split_category(message: Column) -> tuple[Column, Column]:
-    """Category and text of "[CATEGORY] text"; UNKNOWN and the whole message without one."""
-    pattern = r"^\[([^\]]+)\]\s*(.*)$"
+    """Category and text of "[CATEGORY] text", of any number of lines; UNKNOWN and the whole message without one."""
+    pattern = r"(?s)^\[([^\]]+)\]\s*(.*)\z"
     found = message.rlike(pattern)
     return F.when(found, F.regexp_extract(message, pattern, 1)).otherwise("UNKNOWN"), F.when(found, F.regexp_extract(message, pattern, 2)).otherwise(message)
 

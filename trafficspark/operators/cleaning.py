@@ -30,7 +30,7 @@ def clean_states(df: DataFrame, **columns) -> DataFrame:
 
 
 def clean_audit(df: DataFrame, **columns) -> DataFrame:
-    """rule, removed, percent (of all rows), for each rule in turn, for duplicates and in all: one pass, one shuffle of row hashes."""
+    """rule, removed, percent (of all rows), for each rule in turn, for duplicates and in all: one pass, one shuffle of whole rows, equal ones as one."""
     conditions = rules(df, **columns)
     first = F.coalesce(*(F.when(~F.coalesce(keep, F.lit(False)), F.lit(name)) for name, keep in conditions.items()), F.lit("kept"))
     alike = df.select(first.alias("rule"), *(F.col(c) for c in df.columns)).groupBy("rule", *df.columns).agg(F.count(F.lit(1)).alias("n"))

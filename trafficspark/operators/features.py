@@ -13,12 +13,21 @@ from trafficspark.operators.cleaning import clean_states
 from trafficspark.schema import FEATURE_COLUMNS
 
 
+#: Accuracy of the percentile that brackets a cut: the bracket holds a few of this many parts of all rows.
+PLACES = 10_000
+
+
 def calendar_spine(hourly: DataFrame, *, keys: tuple[str, ...] = (), fill: int | None = 0) -> DataFrame:
-    """hourly with a row for every clock hour between each series' first and last; new hours hold `fill`."""
+    """hourly with a row for every clock hour between each series' first and last; new hours hold `fill`. Null keys are series too."""
     ends = hourly.groupBy(*keys).agg(F.min("hour_start").alias("a"), F.max("hour_start").alias("b")).where("a is not null")
     spine = ends.select(*keys, F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour_start"))
     count = F.coalesce("flight_count", F.lit(fill).cast("long")) if fill is not None else F.col("flight_count")
-    return spine.join(hourly, [*keys, "hour_start"], "left").withColumn("flight_count", count)
+    s, h = spine.alias("s"), hourly.alias("h")
+    same = F.col("s.hour_start") == F.col("h.hour_start")
+    for k in keys:
+        same &= F.col(f"s.{k}").eqNullSafe(F.col(f"h.{k}"))
+    others = [F.col(f"h.{c}") for c in hourly.columns if c not in (*keys, "hour_start")]
+    return s.join(h, same, "left").select("s.*", *others).withColumn("flight_count", count)
 
 
 def hourly_features(hourly: DataFrame, *, keys: tuple[str, ...] = (), lags: tuple[int, ...] = (1, 24), window: int = 6, calendar: bool = False, fill: int | None = 0, weekday_mode: str = "observed") -> DataFrame:
@@ -56,11 +65,22 @@ def features_for_day(df: DataFrame, day: dt.date, *, entity: str = "icao24", tim
 def time_split(df: DataFrame, *, order: str = "hour_start", test_ratio: float = 0.1) -> DataFrame:
     """df with split: the first int(n * (1 - test_ratio)) rows in time are train, the rest test. order must be unique.
 
-    The cut is a value of `order`, found by count and rank; df itself isn't sorted.
+    The cut is a value of `order`. An approximate percentile brackets it, and only the rows within the bracket are
+    sorted, in one task; text is sorted whole.
     """
     n = df.count()
     cut = int(n * (1 - test_ratio))
     if not cut or cut >= n:
         return df.withColumn("split", F.lit("train" if cut else "test"))
-    first_test = df.select(F.col(order).alias("cut")).orderBy("cut").offset(cut).limit(1)
+    values, below = df.select(F.col(order).alias("cut")), 0
+    if df.schema[order].dataType.typeName() not in ("string", "binary"):
+        place, room = cut / n, 2 / PLACES
+        low, high = values.agg(F.percentile_approx("cut", [max(0.0, place - room), min(1.0, place + room)], PLACES)).first()[0]
+        below = values.where(F.col("cut") < F.lit(low)).count()
+        bracket = values.where(F.col("cut").between(F.lit(low), F.lit(high)))
+        if below <= cut < below + bracket.count():
+            values = bracket
+        else:
+            below = 0
+    first_test = values.withColumn("rank", F.row_number().over(Window.orderBy("cut"))).where(F.col("rank") == cut - below + 1).select("cut")
     return df.join(F.broadcast(first_test)).withColumn("split", F.when(F.col(order) < F.col("cut"), "train").otherwise("test")).drop("cut")

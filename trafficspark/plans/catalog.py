@@ -246,7 +246,7 @@ def decode_states(spark, d):
 @query(f'with {FLIGHTS_SQL} select icao24, "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport" from flights')
 def decode_flights(spark, d):
     rows = flights_view(spark, d)
-    packed = rows.groupBy("estDepartureAirport").agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("json"))
+    packed = rows.groupBy(F.floor(F.col("firstSeen") / 86400).alias("day"), "estDepartureAirport").agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("json"))
     return decode.decode_flights(packed).select("icao24", "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport")
 
 

@@ -84,7 +84,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~odd, F.col("ts")).alias("window_end"),
         F.when(odd & ~failed, F.floor("value").cast("long")).alias("record_count"),
         F.when(~odd, "pending").when(failed, "failed").otherwise("success").alias("status"),
-        F.when(odd & failed, F.concat(F.lit("[API_ERROR] event "), i.cast("string"))).alias("error_message"),
+        F.when(odd & failed, F.concat(F.lit("[API_ERROR] event "), i.cast("string"), F.when(i % 3 == 0, "\nsecond line").otherwise(""))).alias("error_message"),
     )
 
 
@@ -93,7 +93,7 @@ RUN_EVENTS_SQL = """run_events as (
     case when event_id % 2 = 0 then ts - interval 10 minute end as window_start, case when event_id % 2 = 0 then ts end as window_end,
     case when event_id % 2 = 1 and event_type <> 'error' then cast(floor(value) as bigint) end as record_count,
     case when event_id % 2 = 0 then 'pending' when event_type = 'error' then 'failed' else 'success' end as status,
-    case when event_id % 2 = 1 and event_type = 'error' then '[API_ERROR] event ' || event_id end as error_message
+    case when event_id % 2 = 1 and event_type = 'error' then '[API_ERROR] event ' || event_id || case when event_id % 3 = 0 then chr(10) || 'second line' else '' end end as error_message
   from events)"""
 
 RUN_STATE_SQL = (

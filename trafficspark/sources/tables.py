@@ -114,15 +114,21 @@ def overwrite_day(df: DataFrame, root: str, *, date_col: str = "feature_date") -
 
 
 def compact_day(spark: SparkSession, root: str, day: dt.date, files: int = 1) -> int:
-    """Rewrite one day's many small files as a few; returns its rows."""
+    """Rewrite one day's many small files as a few; returns its rows.
+
+    The new files are written beside the day and then take its place by renaming, so no reader sees half of it.
+    """
     path = f"{root.rstrip('/')}/year={day.year}/month={day.month}/day={day.day}"
     before = spark.read.parquet(path)
     rows = before.count()
-    fresh = f"{root.rstrip('/')}/_compacting_{day:%Y%m%d}"
+    fresh, old = (f"{root.rstrip('/')}/_{name}_{day:%Y%m%d}" for name in ("compacting", "replaced"))
     before.coalesce(files).write.mode("overwrite").parquet(fresh)
-    spark.read.parquet(fresh).coalesce(files).write.mode("overwrite").parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fresh)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    here, new, gone = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old))
+    store = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(gone, True)
+    if not (store.rename(here, gone) and store.rename(new, here)):
+        raise OSError(f"{path} could not be replaced by {fresh}; its files may be in {old}")
+    store.delete(gone, True)
     return rows
 
 
