@@ -1,9 +1,12 @@
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm import cases
+from tests.llm.cases import edited, prose
 from tests.oracle import compare
 from trafficspark.llm import jaccard_join, line_dedup, queries, suffix_dedup
 from trafficspark.llm.components import components
@@ -84,6 +87,13 @@ def test_blocks_bound_every_cell_and_pair_members_once(spark, monkeypatch):
     assert met == Counter((a, b) for ids in (members[1], members[3]) for a in ids for b in ids if a < b)
 
 
+def template_texts(own):
+    """60 texts with 92 words in common and 8 of their own each, and near copies of some: about as far from each other one as the other."""
+    common_words = " ".join(f"c{i}" for i in range(100 - own))
+    some = [(i, f"{common_words} " + " ".join(f"u{i}x{j}" for j in range(own)), "en", "s") for i in range(60)]
+    return some + [(100 + i, some[i][1].replace("x0", "y0"), "en", "s") for i in range(0, 60, 7)]
+
+
 def test_groups_of_one_template_below_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CELL", 8)
     sizes = []
@@ -95,20 +105,45 @@ def test_groups_of_one_template_below_the_threshold(spark, monkeypatch):
         return cells
 
     monkeypatch.setattr(jaccard_join, "block_pairs", spied)
-    common_words = " ".join(f"c{i}" for i in range(92))
-    some = [(i, f"{common_words} " + " ".join(f"u{i}x{j}" for j in range(8)), "en", "s") for i in range(60)]
-    some += [(100 + i, some[i][1].replace("x0", "y0"), "en", "s") for i in range(0, 60, 7)]
+    some = template_texts(8)
     docs = [(r[0], r[1]) for r in some]
-    got = Counter(tuple(r) for r in jaccard_join.join_groups(cases.table(spark, some), words=1, num=90, den=100).select("doc_id", "n_shingles", "component_id").collect())
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join_groups(cases.table(spark, some), words=1, num=90, den=100).collect())
     assert got == brute_groups(docs, 1, 90, 100)
     assert len(sizes) == 1 and sizes[0][0] > 2 * sizes[0][1]
 
 
+@pytest.mark.parametrize("leaf", [2, 48])
+@pytest.mark.parametrize("own", [8, 30])
+def test_regions_of_a_cell_lose_no_link(monkeypatch, own, leaf):
+    monkeypatch.setattr(jaccard_join, "LEAF", leaf)
+    texts = [t[1] for t in template_texts(own)] + [edited(s, i) for s in (prose(1, 150), prose(2, 150), prose(3, 90)) for i in range(25)]
+    sets = [jaccard_join.shingles(t.encode(), 2) for t in texts]
+    for num in (70, 80, 90):
+        exact = joined(range(len(sets)), [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= num * len(np.union1d(sets[i], sets[j]))])
+        assert joined(range(len(sets)), jaccard_join.Cell(sets, num, 100).links()) == exact
+        # Cut by pivots as on the cluster: every linked pair is linked to one pivot, or meets in a region.
+        linked, inside = jaccard_join.voronoi(sets, sets[::17], num, 100)
+        for i in range(len(sets)):
+            for j in range(i):
+                if 100 * len(np.intersect1d(sets[i], sets[j])) >= num * len(np.union1d(sets[i], sets[j])):
+                    assert (inside[i] & inside[j]).any()
+
+
+def test_groups_without_ids_and_with_shared_ids(spark):
+    base, other, third = prose(1, 200), prose(2, 200), prose(3, 200)
+    some = [(None, base, "en", "s"), (None, base + " end", "en", "s"), (1, other, "en", "s"), (1, third, "en", "s"), (2, other + " end", "en", "s"), (3, third + " end", "en", "s")]
+    rows = jaccard_join.join_groups(cases.table(spark, some)).collect()
+    nodes = Counter(r.node for r in rows)
+    assert sorted(nodes.values()) == [2, 2, 2]
+    assert Counter((r.doc_id, r.component_id) for r in rows) == Counter({(None, None): 2, (1, 1): 2, (2, 1): 1, (3, 1): 1})
+
+
 def test_groups_of_nothing(spark):
     assert jaccard_join.join_groups(cases.empty(spark)).count() == 0
 
 
-def brute_spans(texts, length):
+def covered(texts, length):
+    """For each text, its bytes under strings of this length that start elsewhere too."""
     starts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
     for t in texts:
@@ -116,25 +151,34 @@ def brute_spans(texts, length):
         for i in range(len(t) - length + 1):
             if starts[t[i : i + length]] > 1:
                 gone[i : i + length] = b"\1" * length
+        out.append(gone)
+    return out
+
+
+def brute_spans(texts, length, passage, words):
+    out = []
+    for t, gone, near in zip(texts, covered(texts, length), covered(texts, passage), strict=True):
         spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(t)))
-        out.append((len(t), sum(gone), spans, bytes(c for c, g in zip(t, gone, strict=True) if not g)))
+        passages = sum(len(t[m.start() : m.end()].split()) > words for m in re.finditer(b"\1+", near))
+        out.append((len(t), sum(gone), spans, passages, bytes(c for c, g in zip(t, gone, strict=True) if not g)))
     return Counter(out)
 
 
-@pytest.mark.parametrize("length, group", [(400, 1 << 16), (100, 1 << 16), (100, 1)])
-def test_removed_bytes_equal_brute_force(spark, monkeypatch, length, group):
+@pytest.mark.parametrize("length, passage, words, group", [(400, 200, 50, 1 << 16), (100, 150, 20, 1 << 16), (100, 100, 10, 1)])
+def test_removed_bytes_equal_brute_force(spark, monkeypatch, length, passage, words, group):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
     df = cases.table(spark)
-    exact = brute_spans([(r.text or "").encode() for r in df.collect()], length)
-    got = Counter((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df, length=length).collect())
-    assert got == exact
+    exact = brute_spans([(r.text or "").encode() for r in df.collect()], length, passage, words)
+    found = suffix_dedup.remove_repeats(df, length=length, passage=passage, passage_words=words).collect()
+    assert Counter((r.n_bytes, r.n_removed, r.n_spans, r.n_passages, bytes(r.kept)) for r in found) == exact
 
 
 def test_long_texts_go_piece_by_piece(monkeypatch):
     text = cases.prose(1, 3000).encode()
-    whole = {(int(h), int(p)) for part in suffix_dedup.anchors(text, 400) for h, p in zip(part[0], part[1], strict=True)}
+    places = lambda: {(n, int(h), int(p)) for n, part in suffix_dedup.anchors(text, (400, 200)) for h, p in zip(part[0], part[1], strict=True)}
+    whole = places()
     monkeypatch.setattr(suffix_dedup, "PIECE", 1000)
-    assert {(int(h), int(p)) for part in suffix_dedup.anchors(text, 400) for h, p in zip(part[0], part[1], strict=True)} == whole
+    assert places() == whole
 
 
 def test_removal_from_nothing(spark):

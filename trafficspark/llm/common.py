@@ -22,6 +22,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table of narrow rows, marked to be sent to all tasks if it holds no more than `rows`; beyond that joins shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -1,15 +1,16 @@
-"""Exact n-gram Jaccard join by pivots and triangle-inequality windows, with its groups as components.
+"""Exact n-gram Jaccard join over pivots, Voronoi regions and triangle-inequality windows, with its groups as components.
 
 Jaccard distance is a metric, but most texts are at distance 1 from each other, where distances to pivots tell
-nothing. So pivots are placed where they are near: sets that may reach the threshold share some of their first
-shingles in a fixed order (frequent ones last), each such shingle opens a region, and regions with members in common join to cells.
-A cell that one task can take is compared there, around one pivot after the other: members whose distances to a
-pivot differ by more than the radius can't be linked (the window), nor need those be that links already join. A
-larger cell first gets rounds on the cluster: in each of its regions, the distances of all members to a pivot;
-those within the radius are linked to it; a member not linked can only reach linked ones whose distance is
-within the radius of its own, so only it and those boundary members go on, and form smaller cells. Where rounds
-take off little, as in texts of one template, whose members all lie just beyond the radius, a region is dealt in
-blocks, and each pair of blocks is a cell of its own.
+nothing. So the join first finds who may be near: sets that reach the threshold share some of their first shingles
+in a fixed order (frequent ones last), and sets of like size that share any, directly or through others, make up a
+cell. In a cell some members are pivots, and every member belongs to the Voronoi region of its nearest pivot. If two members
+are within the radius r of each other, each is at most 2 r farther from the other's pivot than from its own; so a
+member is replicated to the regions of earlier pivots within that window, and every pair meets in one region. The
+regions are joined in the same way, by pivots of their own. Pairs that links already join needn't be looked at.
+
+A cell that one task can take is joined there; larger ones are cut on the cluster, round by round, until their
+regions fit. Where rounds take off little, as in texts of one template, all about as far from each other,
+the sets that share one first shingle are a cell, dealt in blocks and pairs of blocks if it is large.
 """
 
 from __future__ import annotations
@@ -19,18 +20,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficspark.llm import common
 from trafficspark.llm.components import components
 
-#: Members of a cell that one task takes; larger cells get a round of pivots.
-CELL = 4096
+#: Members of a cell that one task joins; larger cells get rounds on the cluster.
+CELL = 2048
+#: Pivots of a cell in a round on the cluster, and of a region within a task; a region of LEAF members is compared directly.
+PIVOTS, INNER, LEAF = 24, 8, 48
 #: A round that leaves more than this share of the members of large cells is the last one.
 SHRINKS = 0.75
 #: Shingles known as frequent, at most; they come last in order, and any order gives the same links.
 FREQUENT = 200_000
+#: Rows of representatives up to which they are sent to all tasks; beyond that, both sides are shuffled.
+BROADCAST_ROWS = 500_000
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -39,19 +44,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class WordHashes(dict):
+    """Hash of each word, kept; starts anew at `limit` words."""
+
+    limit = 700_000
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= self.limit:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_hashes = WordHashes()
+
+
 def shingles(text: bytes | None, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles (A-Z lower-cased); of all words if they are fewer than k."""
-    import xxhash
-
     words = text.lower().split() if text else ()
     if not words:
         return np.empty(0, np.uint64)
-    ids = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    ids = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     n = min(k, len(ids))
     h = np.full(len(ids) - n + 1, n, np.uint64)
     for i in range(n):
         h = mixed((h + ids[i : len(ids) - n + 1 + i]) * A)
-    return np.unique(h)
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+
+
+def digest(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two signed integers."""
+    import xxhash
+
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist())
 
 
 def meetings(n: int) -> int:
@@ -66,48 +94,116 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return min(n, n - -(-num * n // den) + meetings(n))
 
 
-def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, float]:
-    """Whether the Jaccard similarity of two sets is num / den or more, and their distance."""
-    both = np.intersect1d(a, b, assume_unique=True).size
-    union = len(a) + len(b) - both
-    return den * both >= num * union, 1 - both / union
-
-
 class Cell:
-    """Links among the members of a cell, by pivots in turn; pairs already joined by links aren't looked at, nor are
+    """Links among the members of a cell, by Voronoi regions; pairs that links already join aren't looked at, nor are
     pairs of one side (0 is on no side)."""
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int, sides: list[int] | None = None):
+    def __init__(self, sets: list[np.ndarray], num: int, den: int, sides: list[int] | None = None, groups: np.ndarray | None = None):
         self.num, self.den, self.sizes = num, den, np.array([len(s) for s in sets])
+        self.radius = 1 - num / den + 1e-9
         self.sides = np.array(sides) if sides else np.zeros(len(sets), np.int64)
-        values, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
-        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
-        self.mark = np.zeros(len(values), bool)
+        self.group = np.arange(len(sets)) if groups is None else groups.copy()
+        # Values that one member alone has add to no intersection; most go by a table of hashes, before the sort.
+        every = np.concatenate(sets)
+        slots = (every >> np.uint64(40)).astype(np.int64) & ((1 << 22) - 1)
+        often = np.bincount(slots, minlength=1 << 22)[slots] > 1
+        values, ids, counts = np.unique(every[often], return_inverse=True, return_counts=True)
+        often[often] = (counts > 1)[ids]
+        self.ids = (np.cumsum(counts > 1) - 1)[ids[(counts > 1)[ids]]]
+        self.counts = np.bincount(np.repeat(np.arange(len(sets)), self.sizes)[often], minlength=len(sets))
+        self.starts = np.concatenate(([0], np.cumsum(self.counts)))
+        self.mark = np.zeros(int((counts > 1).sum()), np.int32)
+
+    def held(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shared values of all members in a row, and where each begins and the last ends."""
+        counts = self.counts[members]
+        edges = np.concatenate(([0], np.cumsum(counts)))
+        return self.ids[np.repeat(self.starts[members] - edges[:-1], counts) + np.arange(edges[-1])], edges
+
+    def shared(self, p: int, values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """How many values of member p each of the held members has."""
+        mine = self.ids[self.starts[p] : self.starts[p + 1]]
+        self.mark[mine] = 1
+        sums = np.concatenate(([0], np.cumsum(self.mark[values], dtype=np.int64)))
+        self.mark[mine] = 0
+        return sums[edges[1:]] - sums[edges[:-1]]
+
+    def joined(self, p: int, others: np.ndarray, both: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links of p to those of the others (not of its side) that reach the threshold and aren't joined yet."""
+        near = self.den * both >= self.num * (self.sizes[others] + self.sizes[p] - both)
+        if self.sides[p]:
+            near &= self.sides[others] != self.sides[p]
+        for y in others[near].tolist():
+            if self.group[y] != self.group[p]:
+                yield p, y
+                self.group[self.group == self.group[y]] = self.group[p]
 
     def links(self) -> Iterator[tuple[int, int]]:
-        m, radius = len(self.sizes), 1 - self.num / self.den
-        group, known = np.arange(m), []
-        for p in range(m - 1):
-            size = self.sizes[p]
-            fits = (group != group[p]) & (self.den * np.minimum(self.sizes, size) >= self.num * np.maximum(self.sizes, size))
-            fits[: p + 1] = False
-            if self.sides[p]:
-                fits &= self.sides != self.sides[p]
-            for d in known:
-                fits &= np.abs(d - d[p]) <= radius + 1e-9
-            if not fits.any():
-                continue
-            mine = self.ids[self.starts[p] : self.starts[p + 1]]
-            self.mark[mine] = True
-            both = np.add.reduceat(self.mark[self.ids], self.starts[:-1], dtype=np.int64)
-            self.mark[mine] = False
-            union = self.sizes + size - both
-            if len(known) < 16:
-                known.append(1 - both / union)
-            for y in np.flatnonzero(fits & (self.den * both >= self.num * union)):
-                if group[y] != group[p]:
-                    yield p, int(y)
-                    group[group == group[y]] = group[p]
+        yield from self.region(np.arange(len(self.sizes)))
+
+    def region(self, members: np.ndarray) -> Iterator[tuple[int, int]]:
+        if len(members) < 2 or (self.group[members] == self.group[members[0]]).all():
+            return
+        if len(members) <= LEAF:
+            yield from self.directly(members)
+            return
+        held = self.held(members)
+        distances = []
+        for p in members[np.linspace(0, len(members) - 1, INNER).astype(np.intp)].tolist():
+            both = self.shared(p, *held)
+            yield from self.joined(p, members, both)
+            distances.append(1 - both / (self.sizes[members] + self.sizes[p] - both))
+        d = np.array(distances)
+        own = d.argmin(axis=0)
+        window = d <= d.min(axis=0) + 2 * self.radius
+        inside = [members[(own == i) | (window[i] & (own > i))] for i in range(len(d))]
+        if max(map(len, inside)) > SHRINKS * len(members):
+            yield from self.directly(members, d)
+            return
+        for some in inside:
+            yield from self.region(some)
+
+    def directly(self, members: np.ndarray, distances: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+        """All pairs that sizes and the windows around pivots leave open."""
+        m, sizes = len(members), self.sizes[members]
+        values, edges = self.held(members)
+        often = np.bincount(values, minlength=len(self.mark)) > 1
+        width = int(often.sum())
+        if m > LEAF and width * m < 40_000_000 and width < 8 * edges[-1] / m:
+            # Few values that any two share: products of their rows give all intersections.
+            place = np.cumsum(often) - 1
+            table = np.zeros((m, width), np.float32)
+            told = often[values]
+            table[np.repeat(np.arange(m), np.diff(edges))[told], place[values[told]]] = 1
+            for at in range(0, m, 512):
+                both = np.rint(table[at : at + 512] @ table.T).astype(np.int64)
+                near = self.den * both >= self.num * (sizes[at : at + 512, None] + sizes[None, :] - both)
+                near &= self.group[members][at : at + 512, None] != self.group[members][None, :]
+                for i in np.flatnonzero(near.any(axis=1)).tolist():
+                    others = np.flatnonzero(near[i])
+                    yield from self.joined(int(members[at + i]), members[others], both[i, others])
+            return
+        for i in range(m - 1):
+            p = int(members[i])
+            fits = (self.group[members] != self.group[p]) & (self.den * np.minimum(sizes, sizes[i]) >= self.num * np.maximum(sizes, sizes[i]))
+            fits[: i + 1] = False
+            if distances is not None:
+                fits &= (np.abs(distances - distances[:, i : i + 1]) <= self.radius).all(axis=0)
+            if fits.any():
+                others = members[fits]
+                yield from self.joined(p, others, self.shared(p, *self.held(others)))
+
+
+def voronoi(sets: list[np.ndarray], pivots: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each set and pivot: whether they are linked, and whether the set belongs to the pivot's region or is
+    replicated to it (as one that belongs to a later pivot's and is within the window)."""
+    both = np.array([[np.intersect1d(s, p, assume_unique=True).size for p in pivots] for s in sets])
+    union = np.array([len(s) for s in sets])[:, None] + np.array([len(p) for p in pivots]) - both
+    d = 1 - both / union
+    own = d.argmin(axis=1)[:, None]
+    turn = np.arange(len(pivots))
+    inside = (turn == own) | ((turn < own) & (d <= d.min(axis=1, keepdims=True) + 2 * (1 - num / den) + 1e-9))
+    return den * both >= num * union, inside
 
 
 def block_pairs(regions: DataFrame) -> DataFrame:
@@ -129,63 +225,60 @@ def block_pairs(regions: DataFrame) -> DataFrame:
 
 
 def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row.
+    """doc_id, n_shingles, component_id, node, mark for every row.
 
     Two rows are linked if their sets of `words`-word shingles have similarity num / den or more (exactly, in
     integers); component_id is the least doc_id reachable by links, itself included. Words are split at ASCII
-    white space with A-Z lower-cased; a text of fewer words is one shingle of all of them. Null texts and texts
-    without words have no shingles and no links. Equal sets are one node from the start. A null id gets the
-    component of its set (null if that has no other). An empty table gives an empty result; other columns are
-    ignored.
+    white space with A-Z lower-cased; a text of fewer words is one shingle of all of them; very long texts take part
+    whole. Null texts and texts without words have no shingles and no links. Equal sets are one node from the start.
+    A null id gets the component of its set (null if no row of it has an id); rows that share an id but not a text
+    are rows of their own. node names the component whatever the ids are (null without shingles), mark is a hash of
+    the text. An empty table gives an empty result; other columns are ignored.
     """
-    whole = docs.select(F.col(id_col).alias("doc_id"), common.binary_large(F.col(text_col)).alias("bytes"))
+    whole = docs.select(F.col(id_col).alias("doc_id"), common.binary_large(F.col(text_col)).alias("bytes")).select("doc_id", F.xxhash64("bytes").alias("mark"), "bytes")
     kind = whole.schema["doc_id"].dataType.simpleString()
 
+    # One pass tells each row's set and, in rows without one, shingles that the task met in several texts. Those with
+    # 1 / FREQUENT of all such reports or more count as frequent, of which there are FREQUENT at most.
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            sets = [shingles(t, words) for t in batch.column(1).to_pylist()]
-            digests = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1])], ["doc_id", "n", "set_id", "check"])
-
-    sets = common.stored(whole.mapInArrow(summary, f"doc_id {kind}, n long, set_id long, check long"), "sets")
-    classes = sets.where("n > 0").groupBy("set_id", "check", "n").agg(F.min("doc_id").alias("rep"))
-
-    # Each task reports shingles that it met in several texts; those with 1 / FREQUENT of all reports or more count
-    # as frequent, of which there are FREQUENT at most.
-    def frequent_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "mark", "n", "set_id", "check", "shingle", "times"]
         found: list[np.ndarray] = []
-        size = 0
+        size, id_type = 0, None
 
         def report() -> pa.RecordBatch:
-            value, count = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
+            value, count = np.unique(np.concatenate(found), return_counts=True)
             some = count >= 4
-            return pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), pa.array(count[some], pa.int64())], ["shingle", "n"])
+            k = int(some.sum())
+            return pa.RecordBatch.from_arrays([pa.nulls(k, id_type), *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(value[some].view(np.int64)), pa.array(count[some], pa.int64())], names)
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                found.append(shingles(t, words))
-                size += len(found[-1])
-                if size > 8_000_000:
-                    yield report()
-                    found, size = [], 0
-        yield report()
-
-    reported = common.stored(whole.select("bytes").mapInArrow(frequent_here, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
-    all_reported = reported.agg(F.sum("n")).first()[0] or 0
+            id_type = batch.schema.field(0).type
+            sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
+            digests = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
+            none = pa.nulls(len(sets), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), none, none], names)
+            found += sets
+            size += sum(map(len, sets))
+            if size > 8_000_000:
+                yield report()
+                found, size = [], 0
+        if found:
+            yield report()
+
+    scanned = common.stored(whole.mapInArrow(summary, f"doc_id {kind}, mark long, n long, set_id long, check long, shingle long, times long"), "sets")
+    sets = scanned.where("n is not null").select("doc_id", "mark", "n", "set_id", "check")
+    reported = scanned.where("n is null").groupBy("shingle").agg(F.sum("times").alias("n"))
+    all_reported = scanned.agg(F.sum("times")).first()[0] or 0
     top = reported.where(F.col("n") * FREQUENT >= all_reported).toPandas().sort_values(["n", "shingle"], ascending=[False, True])
     often = top["shingle"].to_numpy().astype(np.int64).view(np.uint64)
     turn = np.argsort(often)
     # In order: all others by hash, then the frequent ones, the least frequent first.
-    shared = docs.sparkSession.sparkContext.broadcast((often[turn], np.uint64(1 << 63) + np.uint64(len(turn)) - turn.astype(np.uint64)))
+    known = docs.sparkSession.sparkContext.broadcast((often[turn], np.uint64(1 << 63) + np.uint64(len(turn)) - turn.astype(np.uint64)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        often, place = shared.value
+        often, place = known.value
         for batch in batches:
-            regions, ids, sizes = [], [], []
+            firsts, ids, sizes = [], [], []
             for t in batch.column(0).to_pylist():
                 s = shingles(t, words)
                 if not len(s):
@@ -195,121 +288,114 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     order = np.where(often[at] == s, place[at], order)
                 k = prefix_size(len(s), num, den)
-                regions.append(s[np.argpartition(order, k - 1)[:k]] if k < len(s) else s)
-                ids.append(np.full(k, np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)[0]))
-                sizes.append(np.full(k, len(s), np.int32))
-            if regions:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["region", "set_id", "n"])
-
-    def openings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in prefixes(batches):
-            region, n = np.unique(batch.column(0).to_numpy(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(n)], ["region", "rows"])
-
-    texts_only = whole.select("bytes")
-    several = texts_only.mapInArrow(openings, "region long, rows long").groupBy("region").agg(F.sum("rows").alias("rows")).where("rows > 1").select("region")
-    opened = texts_only.mapInArrow(prefixes, "region long, set_id long, n int")
-    regions = common.stored(opened.join(several, "region").distinct(), "regions")
+                firsts.append((s[np.argpartition(order, k - 1)[:k]] if k < len(s) else s).view(np.int64))
+                ids.append(digest(s)[0])
+                sizes.append(len(s))
+            if ids:
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["set_id", "n", "firsts"])
+
+    opened = common.stored(whole.select("bytes").mapInArrow(prefixes, "set_id long, n long, firsts array<long>"), "firsts")
+    each = opened.select("set_id", "n", F.explode("firsts").alias("region"))
+    several = each.groupBy("region").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("region")
+    regions = common.stored(each.join(several, "region").distinct(), "regions")
+    # Linked sets are of like sizes: strata one step of num / den wide, each set a native of its own and a guest of the
+    # next, so that any two within a step meet where one of them at least is a native.
+    step = math.log(den / num) * (1 + 1e-9) if num < den else 0.0
+    own = F.floor(F.log(F.col("n").cast("double")) / step).cast("long") if step else F.col("n")
+    strata = F.explode(F.array(F.struct(own.alias("stratum"), F.lit(0).alias("guest")), F.struct((own + 1).alias("stratum"), F.lit(1).alias("guest"))) if step else F.array(F.struct(own.alias("stratum"), F.lit(0).alias("guest"))))
+    regions = regions.select("region", "set_id", "n", strata.alias("s")).select(F.xxhash64("region", "s.stratum").alias("region"), F.xxhash64("set_id", "s.stratum").alias("place"), "set_id", "n", "s.guest")
     # A set at the threshold to another of m >= its own num / den meets it in meetings(m) regions; sets that meet
-    # any others in fewer are out, and regions that they leave with one member too.
+    # any others in fewer are out, and regions that they leave with one member or no native too.
     least = 1 + F.floor(F.ceil(F.col("n") * num / F.lit(den) - 1e-9) / 20)
-    for _ in range(3):
-        shared_regions = regions.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
-        met = regions.join(shared_regions, "region")
-        enough = met.groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= least).select("set_id")
-        regions = common.stored(met.join(enough, "set_id"), "regions")
-    shared_regions = regions.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region")
-    regions = regions.join(shared_regions, "region").select("region", "set_id", "n")
-    def celled(regions: DataFrame) -> DataFrame:
-        """regions (region, set_id, n) with cell and m, its number of members; regions of one member are dropped."""
-        heads = regions.groupBy("region").agg(F.min("set_id").alias("head"), F.max("set_id").alias("other")).where("head < other").select("region", "head")
-        linked_regions = common.stored(regions.join(heads, "region"), "members")
-        cells = components(linked_regions.where("set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b")), "cells")
-        sized = cells.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-        named = cells.join(sized, "component").select(F.col("node").alias("set_id"), F.col("component").alias("cell"), "m")
-        return common.stored(linked_regions.select("region", "set_id", "n").join(named, "set_id"), "regions")
-
-    # Linked sets are of like sizes: strata one step of num / den wide, each set in its own and the next, so that
-    # any two within a step meet, split regions (and the cells that they make up) by size.
-    step = math.log(den / num) * (1 + 1e-9) if num < den else 0.0
-    own = F.floor(F.log(F.col("n").cast("double")) / step).cast("long") if step else F.col("n").cast("long")
-    strata = F.array(own, own + 1) if step else F.array(own)
-    regions = regions.withColumn("stratum", F.explode(strata)).select(F.xxhash64("region", "stratum").alias("region"), "set_id", "n")
-    regions = celled(regions)
-    active = regions.select("set_id").distinct()
-    reps = sets.where("n > 0").groupBy("set_id", "check").agg(F.min("doc_id").alias("doc_id")).join(active, "set_id")
-    one = whole.join(reps, "doc_id").groupBy("set_id", "check", "doc_id").agg(F.min("bytes").alias("bytes"))
-    texts = common.stored(one.select("set_id", F.col("doc_id").alias("rep"), "bytes"), "texts")
-
-    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot, pivot_set = None, None
+    open_regions = lambda rows: rows.groupBy("region").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.min("guest").alias("native"), F.min("place").alias("head")).where("low < high and native = 0").select("region", "head")
+    for _ in range(2):
+        met = regions.join(open_regions(regions).select("region"), "region")
+        enough = met.groupBy("place", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= least).select("place")
+        regions = common.stored(met.join(enough, "place"), "regions")
+    regions = common.stored(regions.join(open_regions(regions), "region"), "regions")
+
+    # Each place (a set in a stratum) is in one cell.
+    cells = components(regions.select(F.col("place").alias("a"), F.col("head").alias("b")), "cells")
+    places = regions.select("place", "set_id", "guest").distinct()
+    cells = common.stored(cells.join(places.withColumnRenamed("place", "node"), "node").select(F.col("component").alias("cell"), "set_id", "guest"), "members")
+    sized = common.stored(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.min("guest").alias("native")).where("m > 1 and native = 0").select("cell", "m"), "sizes")
+
+    # The text of one row of each set that is in a cell.
+    reps = sets.where("n > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "mark", "n")).alias("rep")).join(cells.select("set_id").distinct(), "set_id")
+    reps = common.stored(reps.select("set_id", "rep.*"), "reps")
+    same = whole["doc_id"].eqNullSafe(reps["doc_id"]) & (whole["mark"] == reps["mark"])
+    texts = common.stored(whole.join(common.few(reps, BROADCAST_ROWS), same).select("set_id", "n", "bytes").groupBy("set_id", "n").agg(F.min("bytes").alias("bytes")), "texts")
+
+    members = cells.join(sized, "cell").select("cell", "set_id", "guest", "m")
+    small = members.where(F.col("m") <= CELL).select("cell", "set_id", F.col("guest").alias("side"), F.col("set_id").alias("group"))
+    large, found, before, turn_of = members.where(F.col("m") > CELL), None, math.inf, 0
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pivots = None, []
         for batch in batches:
-            near, far = [], []
-            for p, a, b in zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                if p != pivot:
-                    pivot, pivot_set = p, shingles(a, words)
-                yes, d = linked(pivot_set, shingles(b, words), num, den)
-                near.append(yes)
-                far.append(d)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(near, pa.bool_()), pa.array(far, pa.float64())], ["set_id", "pivot", "rep", "pivot_rep", "near", "distance"])
-
-    radius = 1 - num / den
-    found: DataFrame | None = None
-    small: DataFrame | None = None
-    before = math.inf
-    while True:
-        part = regions.where(F.col("m") <= CELL).select("cell", "set_id", F.lit(0).alias("side")).distinct()
-        small = part if small is None else small.unionByName(part)
-        large = regions.where(F.col("m") > CELL).select("region", "set_id", "n")
-        left = large.count()
-        if not left:
-            break
-        if left > SHRINKS * before:
-            # Another round would take off little: what remains is compared block by block.
-            small = small.unionByName(block_pairs(large))
-            break
-        before = left
-        pivots = large.groupBy("region").agg(F.min(F.struct("set_id", "n")).alias("p")).select("region", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n"))
-        members = large.join(pivots, "region").where("set_id <> pivot")
-        fits = F.least("n", "pivot_n") * den >= F.greatest("n", "pivot_n") * num
-        pairs = members.where(fits).select("set_id", "pivot").distinct()
-        with_member = pairs.join(texts.withColumnRenamed("bytes", "member_bytes"), "set_id")
-        with_both = with_member.join(texts.select(F.col("set_id").alias("pivot"), F.col("rep").alias("pivot_rep"), F.col("bytes").alias("pivot_bytes")), "pivot")
-        measured = common.stored(with_both.select("set_id", "pivot", "rep", "pivot_rep", "pivot_bytes", "member_bytes").mapInArrow(distances, f"set_id long, pivot long, rep {kind}, pivot_rep {kind}, near boolean, distance double"), "distances")
-        links = measured.where("near").select(F.col("rep").alias("a"), F.col("pivot_rep").alias("b"))
+            rows: list[tuple] = []
+            cell_of, salts, kinds, ids, held = (batch.column(i).to_pylist() for i in range(5))
+            for cell, salt, member, set_id, text in zip(cell_of, salts, kinds, ids, held, strict=True):
+                if (cell, salt) != key:
+                    key, pivots = (cell, salt), []
+                if not member:
+                    pivots.append((set_id, shingles(text, words)))
+                    continue
+                linked, inside = voronoi([shingles(text, words)], [p for _, p in pivots], num, den)
+                rows += [(set_id, cell, p, bool(linked[0, i]), bool(inside[0, i])) for i, (p, _) in enumerate(pivots) if linked[0, i] or inside[0, i]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], ["set_id", "cell", "pivot", "near", "inside"])
+
+    while (left := large.count()) and left <= SHRINKS * before:
+        # Members are dealt over tasks by cell and salt; the pivots of their cell come first in each.
+        salts = F.ceil(F.col("m") / CELL).cast("long")
+        chosen = large.withColumn("turn", F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("set_id", F.lit(turn_of))))).where(F.col("turn") <= PIVOTS)
+        fronts = chosen.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(0).alias("member"), "set_id")
+        rest = large.select("cell", F.pmod(F.xxhash64("set_id", F.lit(3)), salts).alias("salt"), F.lit(1).alias("member"), "set_id")
+        together = fronts.unionByName(rest).join(texts, "set_id").select("cell", "salt", "member", "set_id", "bytes")
+        dealt = together.repartition("cell", "salt").sortWithinPartitions("cell", "salt", "member", "set_id")
+        told = common.stored(dealt.mapInArrow(measure, "set_id long, cell long, pivot long, near boolean, inside boolean"), "told")
+        links = told.where("near and set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
         found = links if found is None else found.unionByName(links)
-        # Members of other sizes weren't measured: their sizes bound the distance from below.
-        apart = 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")
-        by_pair = measured.groupBy("set_id", "pivot").agg(F.min("distance").alias("distance"), F.max("near").alias("near"))
-        told = common.stored(members.join(by_pair, ["set_id", "pivot"], "left").withColumn("near", F.coalesce("near", F.lit(False))).withColumn("distance", F.coalesce("distance", apart)), "told")
-        edge = told.where("not near").groupBy("region").agg(F.min("distance").alias("edge"))
-        stay = told.join(edge, "region").where(~F.col("near") | (F.col("distance") + radius + 1e-9 >= F.col("edge"))).select("region", "set_id", "n")
-        regions = celled(common.stored(stay, "stay"))
+        groups = common.stored(components(found), "groups")
+        inside = told.where("inside").select(F.xxhash64("cell", "pivot", F.lit(turn_of)).alias("cell"), "set_id")
+        grouped = inside.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select("cell", "set_id", F.coalesce("component", "set_id").alias("group"))
+        # Regions whose members are joined already are done.
+        open_cells = common.stored(grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("cell", "m"), "open")
+        cut = common.stored(grouped.join(open_cells, "cell"), "cut")
+        small = small.unionByName(cut.where(F.col("m") <= CELL).select("cell", "set_id", F.lit(0).alias("side"), "group"))
+        large, before, turn_of = cut.where(F.col("m") > CELL), left, turn_of + 1
+    if left:
+        # Another round would take off little: what remains is compared by the regions that the first shingles opened.
+        owners = common.stored(large.groupBy("set_id").agg(F.min("group").alias("group")), "owners")
+        dealt = block_pairs(regions.join(owners, "set_id").select("region", "set_id"))
+        small = small.unionByName(dealt.join(owners, "set_id").select("cell", "set_id", "side", "group"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, reps, held, sides, rep_type = None, [], [], [], None
+        cell, rows = None, []
 
         def decide() -> Iterator[pa.RecordBatch]:
-            pairs = list(Cell(held, num, den, sides).links()) if len(held) > 1 else []
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in pairs], rep_type), pa.array([reps[j] for _, j in pairs], rep_type)], ["a", "b"])
+            if len(rows) > 1:
+                groups = np.unique([r[2] for r in rows], return_inverse=True)[1]
+                pairs = list(Cell([shingles(r[3], words) for r in rows], num, den, [r[1] for r in rows], groups).links())
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array([rows[x][0] for x in side], pa.int64()) for side in zip(*pairs, strict=True)], ["a", "b"])
 
         for batch in batches:
-            rep_type = batch.schema.field("rep").type
-            for r, rep, text, side in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if r != cell:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if row[0] != cell:
                     yield from decide()
-                    cell, reps, held, sides = r, [], [], []
-                reps.append(rep)
-                sides.append(side)
-                held.append(shingles(text, words))
+                    cell, rows = row[0], []
+                rows.append(row[1:])
         yield from decide()
 
-    # A cell of one round may bear the name of one of another; such cells are compared together.
-    members = small.distinct().join(texts, "set_id").select("cell", "rep", "bytes", "side").repartition("cell").sortWithinPartitions("cell", "rep")
-    ended = members.mapInArrow(finish, f"a {kind}, b {kind}")
-    found = ended if found is None else found.unionByName(ended)
-    groups = components(found)
-    labelled = classes.join(groups, F.col("rep") == F.col("node"), "left").select("set_id", "check", F.coalesce("component", "rep").alias("component_id"))
-    some = sets.where("n > 0").join(labelled, ["set_id", "check"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    ended = small.join(texts, "set_id").select("cell", "set_id", "side", "group", "bytes").repartition("cell").sortWithinPartitions("cell", "set_id").mapInArrow(finish, "a long, b long")
+    groups = components(ended if found is None else found.unionByName(ended))
+    # Components by node first, then by the least id of their rows.
+    some = sets.where("n > 0")
+    nodes = some.groupBy("set_id", "check").agg(F.min("doc_id").alias("least")).join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
+    nodes = common.stored(nodes.select("set_id", "check", "least", F.coalesce("component", "set_id").alias("node")), "nodes")
+    named = nodes.groupBy("node").agg(F.min("least").alias("component_id"))
+    labels = common.stored(nodes.select("set_id", "check", "node").join(named, "node"), "labels")
+    linked = some.join(labels, ["set_id", "check"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node", "mark")
+    return linked.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node"), "mark"))

@@ -40,7 +40,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+    return join_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
