@@ -15,31 +15,51 @@ from trafficspark.llm.queries import table, tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null texts, texts without letters and undecided ones go."""
+    """Documents whose language can be told: null texts, texts without letters and, where no language was learned, all go.
+
+    Rows travel whole, so columns may have any names; repeated rows and null ids stay as they are; of an empty table
+    nothing is left. Very long texts are read whole.
+    """
     model = language_id.fit(docs)
-    told = language_id.predict(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return told.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return language_id.predict(rows, model, keep=("row",)).where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by 5-word similarity of 0.8 or more, that with the least doc_id."""
-    groups = jaccard_join.join_groups(docs, words=5, num=8, den=10)
-    first = groups.groupBy("component_id").agg(F.min("doc_id").alias("first")).select("first")
-    return docs.join(first, docs["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group linked by 5-word similarity of 0.8 or more: that with the least doc_id, null last.
+
+    Documents are told apart by id and text: of unlike texts that share an id, or have none, each stays unless it
+    copies an earlier one; of rows alike in both, one stays. Documents without words all stay. Texts of any length take
+    part whole, columns may have any names, and an empty table stays empty.
+    """
+    groups = common.stored(jaccard_join.join_groups(docs, words=5, num=8, den=10).where("node is not null").select("doc_id", "mark", "node"), "groups")
+    keys = common.stored(groups.groupBy("node", "doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")), "keys")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    first = common.stored(keys.groupBy("node").agg(F.min(order).alias("first")), "first")
+    told = keys.join(first, "node").select("doc_id", "mark", "rows", (order == F.col("first")).alias("stays"))
+    kept = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("of_id"), F.xxhash64(common.binary_large(F.col("text"))).alias("of_mark"))
+    same = F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_mark") == F.col("mark"))
+    gone, repeated = (common.few(common.stored(told.where(c).select("doc_id", "mark"), "told")) for c in ("not stays", "stays and rows > 1"))
+    kept = kept.join(gone, same, "left_anti")
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    once = kept.join(repeated, same, "left_semi").groupBy("of_id", "of_mark").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.join(repeated, same, "left_anti").select("row.*").unionByName(once.select("row.*"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item in them."""
+    """Documents without a benchmark item in them; null texts, repeated rows and null ids stay as they are."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it: null texts and those without words never, null is a
+    source of its own, and repeated rows share their copies."""
     return mixing.mixed(docs)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document (and copy), read back from the token files."""
+    """doc_id, start, n_tokens, ids_crc32 of each document (and copy), read back from the token files; null texts are empty."""
     return token_binary.token_binary(docs, tokenizer_path())
 
 

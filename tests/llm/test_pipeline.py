@@ -41,12 +41,40 @@ def test_stages_equal_brute_force(spark, sf_dir):
         start += len(ids)
 
 
+def staged(spark, docs, sf_dir, until):
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.stored(stage(spark, docs, sf_dir), "stage")
+        if name == until:
+            return docs
+
+
+def test_rows_survive_whole_and_once(spark, sf_dir):
+    base, other, third, lone = (cases.prose(i, 200) for i in (1, 2, 3, 4))
+    rows = [(1, base, "en"), (1, base, "en"), (1, other, "en"), (2, base + " end", "en"), (None, third, "en"), (None, lone, "fr"), (7, third, "en"), (8, None, "en"), (9, "12 34", "en"), (None, None, None), (5, other + " end", "en")]
+    # Columns with the names that the stages use themselves.
+    schema = "doc_id long, text string, lang string, source string, score long, lang_pred string, n long, first string, node string, mark string, row string, rows long, of_id long"
+    docs = spark.createDataFrame([(*r, "s", i, "p", 2, "f", "n", "m", "r", 3, 4) for i, r in enumerate(rows)], schema).repartition(3)
+    told = staged(spark, docs, sf_dir, "language_id")
+    assert told.columns == docs.columns and sorted(r.score for r in told.collect()) == [0, 1, 2, 3, 4, 5, 6, 10]
+    kept = staged(spark, docs, sf_dir, "jaccard_join")
+    assert kept.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted([(1, base), (1, other), (7, third), (None, lone)], key=key)
+    mixed = staged(spark, docs, sf_dir, "source_mix")
+    assert mixed.columns == docs.columns and {(r.doc_id, r.text) for r in mixed.collect()} <= {(1, base), (1, other), (7, third), (None, lone)}
+
+
+def test_languages_near_each_other_lose_no_document(spark, sf_dir):
+    docs = spark.createDataFrame([(i, cases.prose(i, 150), ["en", "en-US", "en-GB"][i % 3]) for i in range(12)], "doc_id long, text string, lang string")
+    assert corpus_pipeline.identify_language(spark, docs, sf_dir).count() == 12
+
+
 def test_stages_take_awkward_documents(spark, sf_dir):
     docs = cases.table(spark).select("doc_id", "text", "lang", "source", "n")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), "stage")
-    assert docs.count() > 0
+    texts = {(r.doc_id, r.text) for r in docs.collect()}
+    last = staged(spark, docs, sf_dir, "source_mix")
+    assert {(r.doc_id, r.text) for r in last.collect()} <= texts
+    written = corpus_pipeline.write_token_files(spark, last, sf_dir).collect()
+    assert Counter(r.doc_id for r in written) == Counter(r.doc_id for r in last.collect())
     empty = cases.empty(spark).select("doc_id", "text", "lang", "source", "n")
-    for _, stage in corpus_pipeline.STAGES:
-        empty = common.stored(stage(spark, empty, sf_dir), "stage")
-    assert empty.count() == 0
+    assert staged(spark, empty, sf_dir, "token_binary").count() == 0
