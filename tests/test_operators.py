@@ -242,3 +242,13 @@ def test_cut_in_time(spark, monkeypatch, kind, ratio):
     assert got.columns == ["hour_start", "split"]
     cut = int(3000 * (1 - ratio))
     assert [r.split for r in got.orderBy("hour_start").collect()] == ["train"] * cut + ["test"] * (3000 - cut)
+
+
+def test_sketches_of_hours_merge_to_days(spark):
+    rows = [(i % 700 if i % 50 else None, dt.datetime(2024, 1, 1 + i % 3, i % 24)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "e long, t timestamp_ntz")
+    got = {r.start: r.flight_count for r in agg.merged_counts(agg.hourly_sketches(df, entity="e", time="t")).collect()}
+    exact = {}
+    for e, t in rows:
+        exact.setdefault(t.replace(hour=0), set()).add(e)
+    assert got.keys() == exact.keys() and all(abs(got[d] - len(s)) <= 0.02 * len(s) for d, s in exact.items())

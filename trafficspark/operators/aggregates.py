@@ -23,6 +23,18 @@ def hourly_counts(df: DataFrame, *, entity: str = "icao24", time: str = "capture
     return df.groupBy(*keys, hour_start(F.col(time)).alias("hour_start")).agg(count.cast("long").alias("flight_count"))
 
 
+def hourly_sketches(df: DataFrame, *, entity: str = "icao24", time: str = "capture_datetime", keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, hour_start, sketch of the distinct entities of each hour (null is one more); sketches merge to longer spans."""
+    e = F.coalesce(F.col(entity).cast("string"), F.lit("\0"))
+    return df.groupBy(*keys, hour_start(F.col(time)).alias("hour_start")).agg(F.hll_sketch_agg(e, 14).alias("sketch"))
+
+
+def merged_counts(sketches: DataFrame, unit: str = "day", *, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, start, flight_count (estimated distinct entities) of each day, week or other unit, from hourly sketches alone."""
+    start = F.date_trunc(unit, "hour_start").cast("timestamp_ntz")
+    return sketches.groupBy(*keys, start.alias("start")).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("flight_count"))
+
+
 def hour_of_day_profile(df: DataFrame, *, entity: str = "icao24", hour: str = "hour") -> DataFrame:
     """Records and distinct entities by hour of day."""
     return df.groupBy(F.col(hour).alias("hour")).agg(F.count(F.lit(1)).alias("records"), distinct_with_null(F.col(entity)).alias("entities"))

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficspark.operators import aggregates as agg
@@ -73,6 +73,11 @@ def hourly_counts_approx(spark, d):
     return agg.hourly_counts(events(spark, d), entity="user_id", time="ts", approx=True)
 
 
+@query()
+def daily_counts_approx(spark, d):
+    return agg.merged_counts(agg.hourly_sketches(events(spark, d), entity="user_id", time="ts"))
+
+
 @query(
     """select event_type, date_trunc('hour', ts)::timestamp as hour_start, count(distinct user_id)::bigint as flight_count from events group by 1, 2"""
 )
@@ -419,6 +424,58 @@ def ols_fit(spark, d):
     return model.coefficient_table(fitted(spark, d)[1], MODEL_FEATURES, spark)
 
 
+# Fits that SQL can follow: two features by the sums behind the normal equations, one feature by key and by fold.
+TRAIN_SQL = f"with {HOURLY_SQL}, {features_sql()}, n as (select row_number() over (order by hour_start) as i, count(*) over () as n, * from features), train as (select lag_1h::double as a, lag_24h::double as b, flight_count::double as y, hour_start from n where i <= floor(n * (1 - 0.1e0)))"
+
+
+def two_features_sql(alpha: float) -> str:
+    return f"""{TRAIN_SQL}, s as (select avg(a) as ma, avg(b) as mb, avg(y) as my, var_pop(a) * count(*) + {alpha}::double as aa, var_pop(b) * count(*) + {alpha}::double as bb,
+  covar_pop(a, b) * count(*) as ab, covar_pop(a, y) * count(*) as ay, covar_pop(b, y) * count(*) as by_ from train),
+c as (select *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) as ca, (by_ * aa - ay * ab) / (aa * bb - ab * ab) as cb from s)
+select 'lag_1h' as term, round(ca, 6) as coefficient from c union all select 'lag_24h', round(cb, 6) from c union all select 'intercept', round(my - ca * ma - cb * mb, 6) from c"""
+
+
+def two_terms(spark: SparkSession, fit) -> DataFrame:
+    told = zip(["lag_1h", "lag_24h", "intercept"], [*fit.coefficients, fit.intercept], strict=True)
+    return spark.createDataFrame([(t, round(float(c), 6)) for t, c in told], "term string, coefficient double")
+
+
+@query(two_features_sql(0.0))
+def ols_two_features(spark, d):
+    return two_terms(spark, model.fit_ols(split(spark, d).where("split = 'train'"), ["lag_1h", "lag_24h"], TARGET))
+
+
+@query(two_features_sql(10.0))
+def ridge_two_features(spark, d):
+    return two_terms(spark, model.fit_ridge(split(spark, d).where("split = 'train'"), ["lag_1h", "lag_24h"], TARGET, 10.0))
+
+
+@query(
+    """with hourly as (select event_type, date_trunc('hour', ts)::timestamp as hour_start, count(distinct user_id) + max((user_id is null)::int) as y from events group by 1, 2),
+f as (select event_type, y::double as y, lag(y) over (partition by event_type order by hour_start)::double as x from hourly),
+c as (select event_type, regr_slope(y, x) as b, regr_intercept(y, x) as a from f where x is not null group by 1)
+select event_type, 'intercept' as term, round(a, 6) as coefficient from c union all select event_type, 'lag_1h', round(b, 6) from c"""
+)
+def ols_lag_by_key(spark, d):
+    hourly = agg.hourly_counts(events(spark, d), entity="user_id", time="ts", keys=("event_type",))
+    lagged = hourly.withColumn("lag_1h", F.lag("flight_count").over(Window.partitionBy("event_type").orderBy("hour_start"))).where("lag_1h is not null")
+    return model.fit_by_key(lagged, ["event_type"], ["lag_1h"], TARGET).withColumn("coefficient", F.round("coefficient", 6))
+
+
+@query(
+    f"""{TRAIN_SQL}, f as (select ntile(5) over (order by hour_start) as fold, a, y from train),
+s as (select fold, count(*) as n, sum(a) as sx, sum(y) as sy, sum(a * a) as sxx, sum(a * y) as sxy, sum(y * y) as syy from f group by 1),
+r as (select s.*, t.n - s.n as rn, t.sx - s.sx as rx, t.sy - s.sy as ry, t.sxx - s.sxx as rxx, t.sxy - s.sxy as rxy
+  from s, (select sum(n) as n, sum(sx) as sx, sum(sy) as sy, sum(sxx) as sxx, sum(sxy) as sxy from s) t),
+b as (select alpha, r.*, (rxy - rx * ry / rn) / (rxx - rx * rx / rn + alpha) as slope from r, (select unnest([{", ".join(f"{a}::double" for a in model.ALPHAS)}]) as alpha)),
+c as (select *, ry / rn - slope * rx / rn as icept from b),
+m as (select alpha, avg(1 - (syy - 2 * icept * sy - 2 * slope * sxy + n * icept * icept + 2 * icept * slope * sx + slope * slope * sxx) / (syy - sy * sy / n)) as mean_r2 from c group by 1)
+select alpha, round(mean_r2, 6) as mean_r2, row_number() over (order by mean_r2 desc, alpha) = 1 as best from m"""
+)
+def ridge_alpha_one_feature(spark, d):
+    return model.select_alpha(split(spark, d).where("split = 'train'"), ["lag_1h"], TARGET).withColumn("mean_r2", F.round("mean_r2", 6))
+
+
 @query(f"with {HOURLY_SQL}, {features_sql()} select round(regr_slope(flight_count, lag_1h), 6) as slope, round(regr_intercept(flight_count, lag_1h), 6) as intercept from features")
 def ols_univariate(spark, d):
     fit = model.fit_ols(feature_rows(spark, d), ["lag_1h"], TARGET)
