@@ -66,7 +66,7 @@ def held(i):
 
 
 def test_scores_of_awkward_documents(spark):
-    check_scores(cases.table(spark), held, shape=gated_lm.Shape(hidden=8, classes=4, width=4, buckets=8), frequent=100)
+    check_scores(cases.table(spark), held, shape=gated_lm.Shape(hidden=8, inner=4, classes=4, width=4, tails=4, buckets=8), frequent=100)
     none = cases.empty(spark).withColumn("held_out", F.lit(False))
     assert lm_scores(none).count() == 0
     untrained = cases.table(spark).withColumn("held_out", F.lit(True))
@@ -79,7 +79,7 @@ def test_model_beats_the_unigrams_on_held_out_documents(spark, sf_dir):
 
 
 def test_gradients_equal_differences():
-    shape = gated_lm.Shape(hidden=3, classes=2, width=3, buckets=2, steps=4)
+    shape = gated_lm.Shape(hidden=3, inner=3, classes=2, width=3, tails=2, buckets=4, steps=4)
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in gated_lm.start(shape).items()}
     inputs, targets = rng.integers(0, shape.inputs, (4, 2)), rng.integers(0, shape.inputs, (4, 2))
@@ -98,7 +98,7 @@ def test_gradients_equal_differences():
 
 
 def test_lanes_and_windows_equal_one_document_at_a_time():
-    shape = gated_lm.Shape(hidden=5, classes=2, width=3, buckets=4, steps=7)
+    shape = gated_lm.Shape(hidden=5, inner=3, classes=2, width=3, tails=2, buckets=4, steps=7)
     w, rng = gated_lm.start(shape), np.random.default_rng(1)
     docs = [np.append(rng.integers(1, shape.inputs, n), 0) for n in (0, 1, 6, 7, 8, 40, 3)]
     alone = [gated_lm.token_logs(shape, w, gated_lm.run_steps(shape, w, np.append(0, d[:-1])[:, None], np.zeros((1, 5), np.float32), 0)[:, 0], d).sum() for d in docs]
@@ -106,35 +106,58 @@ def test_lanes_and_windows_equal_one_document_at_a_time():
 
 
 def test_probabilities_add_up():
-    shape = gated_lm.Shape(hidden=4, classes=3, width=2, buckets=5)
+    shape = gated_lm.Shape(hidden=4, inner=4, classes=3, width=2, tails=2, buckets=6)
     state = np.repeat(np.random.default_rng(2).normal(size=(1, 4)).astype(np.float32), shape.head + 2, axis=0)
-    targets = np.array([*range(shape.head), shape.head, shape.inputs - 1])
+    targets = np.array([*range(shape.head), shape.head, shape.head + 1])
     assert abs(np.exp(gated_lm.token_logs(shape, gated_lm.start(shape), state, targets)).sum() - 1) < 1e-5
 
 
+def test_shares_within_tail_classes_add_up():
+    shape = gated_lm.Shape(hidden=4, inner=4, classes=2, width=2, tails=3, buckets=6)
+    counts = {b"": 9, **{w.encode(): 1 + i % 5 for i, w in enumerate(cases.words(__import__("random").Random(1), 60))}}
+    tails = {}
+    for w, c in counts.items():
+        k = zlib.crc32(w[-2:]) % 3
+        tails[k] = (tails.get(k, (0, 0))[0] + c, tails.get(k, (0, 0))[1] + 1)
+    frequent = {w: c for w, c in counts.items() if c > 2}
+    v = lm_scoring.Vocabulary(shape, pd.DataFrame({"word": list(frequent), "c": list(frequent.values())}), sum(counts.values()), len(counts), tails)
+    sums = np.zeros(3)
+    for w, c in counts.items():
+        i = v.place.get(w)
+        if i is None:
+            k = zlib.crc32(w[-2:]) % 3
+            sums[k] += 10 ** (math.log10(c + 0.1) - v.tail_logs[k])
+        elif i >= shape.head:
+            sums[v.bucket[i] % 3] += 10 ** v.inside[i]
+    sums += 10 ** (math.log10(0.1) - v.tail_logs)
+    assert np.allclose(sums, 1)
+
+
 def test_every_token_of_long_documents_is_learned(spark, monkeypatch):
-    shape = gated_lm.Shape(hidden=4, classes=3, width=3, buckets=4, steps=8)
+    shape = gated_lm.Shape(hidden=4, inner=4, classes=3, width=3, tails=2, buckets=4, steps=8)
     texts = [cases.prose(i, 500 + 37 * i) for i in range(6)] + ["", "one"]
-    counts = Counter(w for t in texts for w in t.encode().lower().split())
-    frequent = pd.DataFrame({"word": [b"", *counts], "c": [len(texts), *counts.values()]})
-    vocabulary = lm_scoring.Vocabulary(shape, frequent, sum(counts.values()) + len(texts), len(frequent))
+    tokens = sum(len(t.encode().lower().split()) + 1 for t in texts)
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 1200)
     learned = []
     averaged = lm_scoring.averaged
-    monkeypatch.setattr(lm_scoring, "averaged", lambda rows: (learned.append(rows.agg(F.sum("n")).first()[0]), averaged(rows))[1])
-    lm_scoring.fit(cases.table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).select("doc_id", F.encode("text", "UTF-8").alias("bytes")), shape, vocabulary)
-    assert learned[-1] == vocabulary.tokens
+    monkeypatch.setattr(lm_scoring, "averaged", lambda rows: (learned.append((rows.agg(F.sum("n")).first()[0], rows.count())), averaged(rows))[1])
+    df = cases.table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).withColumn("held_out", F.lit(False))
+    options = dict(shape=shape, frequent=100)
+    got = {r.doc_id: r for r in lm_scores(df, **options).collect()}
+    assert learned[-1][0] == tokens and learned[-1][1] > 1
+    # The layout of the rows changes nothing.
+    again = {r.doc_id: r for r in lm_scores(df.repartition(1), **options).collect()}
+    assert all(abs(again[i].score - r.score) < 1e-3 for i, r in got.items())
 
 
 def test_training_carries_the_state_through_whole_documents():
-    shape = gated_lm.Shape(hidden=5, classes=2, width=3, buckets=4, steps=7)
+    shape = gated_lm.Shape(hidden=5, inner=3, classes=2, width=3, tails=2, buckets=4, steps=7)
     rng = np.random.default_rng(1)
     docs = [np.append(rng.integers(1, shape.inputs, n), 0) for n in (0, 1, 6, 7, 8, 40, 3, 90)]
     w = gated_lm.start(shape)
     trainer = gated_lm.Trainer(shape, w, 0.0, lanes=3)
-    for d in docs:
-        trainer.learn(d)
-    trainer.finish()
-    assert trainer.tokens == sum(map(len, docs)) and not trainer.loads.any()
+    trainer.learn(docs)
+    assert trainer.tokens == sum(map(len, docs))
     # At rate 0 the loss of the pass is that of each document alone, from its start to its only end.
     alone = -sum(gated_lm.token_logs(shape, w, gated_lm.run_steps(shape, w, np.append(0, d[:-1])[:, None], np.zeros((1, 5), np.float32), 0)[:, 0], d).sum() for d in docs)
     assert abs(trainer.loss - alone) < 1e-3

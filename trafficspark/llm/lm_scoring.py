@@ -2,34 +2,49 @@
 
 Word counts of all training documents are summed by word over the cluster. The most frequent words (a bounded
 number: a word with 1/n of all tokens or more, of which there are n at most) go to every task; the counts of all
-other words meet the documents in a join. The recurrent model starts from a bounded sample and then every task
-goes on training on its own documents, all tokens of each, and the weights are averaged.
+other words meet the documents in a join. One pass turns every text into token ids, which are stored; the model
+starts from a bounded sample and then learns all tokens of all training documents in shards, whose weights are
+averaged. Documents are dealt to shards by a hash of id and text, so scores don't depend on the layout of files.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficspark.llm import common, gated_lm
 from trafficspark.llm.gated_lm import Shape
 
 END = b""
-#: Token ids that a task scores at a time.
+#: Tokens that a task scores at a time, and those that a shard learns (about), in how many lanes.
 BLOCK = 2_000_000
+SHARD_TOKENS = 2_000_000
+LANES = 256
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def tail_class(word: Column, tails: int) -> Column:
+    """A word's class by its last two bytes, as `bucket` has it."""
+    return F.crc32(F.substring(word, -2, 2)) % tails
+
+
+def bucket(word: bytes, shape: Shape) -> int:
+    """A word's bucket: its tail class, and within that a hash of the whole word."""
+    return zlib.crc32(word[-2:]) % shape.tails + shape.tails * (zlib.crc32(word) % (shape.buckets // shape.tails))
+
+
 def word_counts(train: DataFrame) -> DataFrame:
     """word, c over all texts; the end of each text is the empty word."""
 
@@ -54,156 +69,169 @@ def word_counts(train: DataFrame) -> DataFrame:
 class Vocabulary:
     """The frequent words with their counts; head words first, by falling count. The end is always a head word."""
 
-    def __init__(self, shape: Shape, frequent: pd.DataFrame, tokens: int, words: int):
+    def __init__(self, shape: Shape, frequent: pd.DataFrame, tokens: int, words: int, tails: dict[int, tuple[int, int]]):
+        """tails: for each tail class, tokens and distinct words of all training texts, head words included."""
         table = {bytes(w): int(c) for w, c in zip(frequent["word"], frequent["c"], strict=True)}
         end = table.pop(END, 0)
         order = [(END, end), *sorted(table.items(), key=lambda x: (-x[1], x[0]))]
-        self.place = {w: i for i, (w, _) in enumerate(order)}
+        self.shape, self.place = shape, {w: i for i, (w, _) in enumerate(order)}
         self.counts = np.array([c for _, c in order], np.float64)
-        self.tokens, self.words = tokens, words
-        here = self.counts > 0
         self.all_mass = tokens + 0.1 * (words + 1)
-        self.middle_mass = float((self.counts[shape.head :] + 0.1).sum())
-        # Every other word of the training texts, and the share of all unseen ones.
-        self.rest_mass = (tokens - self.counts.sum()) + 0.1 * (words - int(here.sum())) + 0.1
+        self.bucket = np.array([bucket(w, shape) for w, _ in order])
+        # Smoothed counts of the words of each tail class that aren't head words, and of an unseen one.
+        mass = np.full(shape.tails, 0.1)
+        for k, (c, n) in tails.items():
+            mass[k] += c + 0.1 * n
+        for w, c in order[: shape.head]:
+            if c:
+                mass[zlib.crc32(w[-2:]) % shape.tails] -= c + 0.1
+        self.tail_logs = np.log10(np.maximum(mass, 0.1))
         #: for each place: the model's token id, and what a token adds to the logs
-        n = len(order)
-        self.ids = np.where(np.arange(n) < shape.head, np.arange(n), shape.head + np.arange(n) % shape.buckets).astype(np.int32)
+        head = np.arange(len(order)) < shape.head
+        self.ids = np.where(head, np.arange(len(order)), shape.head + self.bucket).astype(np.uint16)
         self.base = np.log10((self.counts + 0.1) / self.all_mass)
-        self.inside = np.where(np.arange(n) < shape.head, 0.0, np.log10((self.counts + 0.1) / max(self.middle_mass, 1e-9)))
-        self.rest_id = shape.inputs - 1
+        self.inside = np.where(head, 0.0, np.log10(self.counts + 0.1) - self.tail_logs[self.bucket % shape.tails])
+
+    def code(self, text: bytes | None) -> tuple[np.ndarray, int, float, float, Counter]:
+        """Token ids of a text and its end; of its frequent words how many were counted, and the sums of base and
+        inside logs; rare words with their numbers, for which these sums lack the logs of the smoothed count alone."""
+        found = words_of(text)
+        places = np.empty(len(found) + 1, np.int64)
+        places[:-1] = np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
+        places[-1] = 0
+        ids, here = self.ids[places], places
+        base, inside, rare = 0.0, 0.0, Counter()
+        if places.min() < 0:
+            others = np.flatnonzero(places < 0)
+            words = [found[i] for i in others.tolist()]
+            buckets = np.array([bucket(w, self.shape) for w in words])
+            ids[others] = self.shape.head + buckets
+            base, inside = -len(words) * math.log10(self.all_mass), -float(self.tail_logs[buckets % self.shape.tails].sum())
+            rare, here = Counter(words), places[places >= 0]
+        return ids, int((self.counts[here] > 0).sum()), base + float(self.base[here].sum()), inside + float(self.inside[here].sum()), rare
 
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Place of each word and of the end; -1 for words that aren't here."""
-        get = self.place.get
-        return np.array([*(get(w, -1) for w in words), 0], np.int64)
 
-    def token_ids(self, places: np.ndarray) -> np.ndarray:
-        return np.where(places >= 0, self.ids[places], self.rest_id)
+def averaged(rows: DataFrame) -> np.ndarray | None:
+    """Mean of the weight vectors (weights binary, n long, shard long), by n; groups of shards are averaged on the cluster first."""
 
+    def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("shard")
+        n = pdf["n"].to_numpy()
+        total = sum(np.frombuffer(w, np.float32).astype(np.float64) * k for w, k in zip(pdf["weights"], n, strict=True))
+        return pd.DataFrame({"weights": [(total / n.sum()).astype(np.float32).tobytes()], "n": [int(n.sum())], "shard": [int(pdf["shard"].iloc[0] // 16)]})
 
-def averaged(rows: DataFrame) -> np.ndarray | None:
-    """Mean of the weight vectors (weights binary, n long), by n; groups of tasks are averaged on the cluster first."""
-    tasks = rows.count()
-    while tasks > 16:
-        groups = math.ceil(tasks / 16)
-
-        def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-            n = pdf["n"].to_numpy()
-            total = sum(np.frombuffer(w, np.float32).astype(np.float64) * k for w, k in zip(pdf["weights"], n, strict=True))
-            return pd.DataFrame({"weights": [(total / n.sum()).astype(np.float32).tobytes()], "n": [int(n.sum())], "task": [int(pdf["task"].iloc[0])]})
-
-        rows = common.stored(rows.groupBy((F.col("task") % groups).alias("g")).applyInPandas(mean, rows.schema), "weights")
-        tasks = rows.count()
-    found = rows.toPandas()
-    if not len(found):
-        return None
-    n = found["n"].to_numpy()
-    return (sum(np.frombuffer(w, np.float32).astype(np.float64) * k for w, k in zip(found["weights"], n, strict=True)) / n.sum()).astype(np.float32)
-
-
-def fit(train: DataFrame, shape: Shape, vocabulary: Vocabulary, *, sample_docs: int = 2000, passes: int = 3, rate: float = 0.01) -> dict[str, np.ndarray]:
-    """Weights from doc_id, bytes: first from about `sample_docs` documents, drawn alike from all rows, in one task;
-    then all tasks train on every token of all their documents, and their weights are averaged by tokens."""
-    spark = train.sparkSession
-    vocab = spark.sparkContext.broadcast(vocabulary)
+    while (shards := rows.count()) > 16:
+        rows = common.stored(rows.groupBy(F.floor(F.col("shard") / 16).alias("g")).applyInPandas(mean, rows.schema), "weights")
+    return np.frombuffer(mean(rows.toPandas())["weights"][0], np.float32) if shards else None
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, ids = vocab.value, []
-        for batch in batches:
-            ids += [v.token_ids(v.places(words_of(t))) for t in batch.column("bytes").to_pylist()]
-        if ids:
-            trainer = gated_lm.Trainer(shape, gated_lm.start(shape), rate)
-            for i in range(passes):
-                trainer.rate = rate / (1 + i)
-                for document in ids:
-                    trainer.learn(document)
-                trainer.finish()
-            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([trainer.tokens], pa.int64()), pa.array([0], pa.int64())], ["weights", "n", "task"])
 
-    # The end's count is the number of training documents.
-    share = sample_docs / max(1.0, float(vocabulary.counts[0]))
-    sample = train.where(F.rand(11) < share).repartition(1).sortWithinPartitions("doc_id").select("bytes")
-    weights = averaged(common.stored(sample.mapInArrow(first, "weights binary, n long, task long"), "weights"))
+def fit(coded: DataFrame, shape: Shape, documents: int, tokens: int, *, sample_docs: int = 2000, passes: int = 3, rate: float = 0.01) -> dict[str, np.ndarray]:
+    """Weights from mark (a hash), ids: first from about `sample_docs` documents, drawn by their marks, in one task;
+    then shards of documents, dealt by their marks, learn every token of all of them, and their weights are averaged."""
+    spark = coded.sparkSession
+
+    def learned(shard: int, documents: list[np.ndarray], weights: dict[str, np.ndarray], rates: list[float], lanes: int) -> pa.RecordBatch:
+        trainer = gated_lm.Trainer(shape, weights, rate, lanes=lanes)
+        for trainer.rate in rates:
+            trainer.learn(documents)
+        return pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([trainer.tokens], pa.int64()), pa.array([shard], pa.int64())], ["weights", "n", "shard"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents = [np.frombuffer(ids, np.uint16) for batch in batches for ids in batch.column(1).to_pylist()]
+        if documents:
+            yield learned(0, documents, gated_lm.start(shape), [rate / (1 + i) for i in range(passes)], 64)
+
+    parts = 1 << 20
+    share = min(parts, math.ceil(parts * sample_docs / max(1, documents)))
+    sample = coded.where(F.pmod(F.xxhash64("mark"), F.lit(parts)) < share).select("mark", "ids").repartition(1).sortWithinPartitions("mark", "ids")
+    weights = averaged(common.stored(sample.mapInArrow(first, "weights binary, n long, shard long"), "weights"))
     if weights is None:
         return gated_lm.start(shape)
     begun = spark.sparkContext.broadcast(weights)
 
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        v, trainer = vocab.value, gated_lm.Trainer(shape, gated_lm.unflat(shape, begun.value), rate / (2 * passes))
+        shard, documents, rates = None, [], [rate / (2 * passes)]
         for batch in batches:
-            for text in batch.column("bytes").to_pylist():
-                trainer.learn(v.token_ids(v.places(words_of(text))))
-        trainer.finish()
-        if trainer.tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([gated_lm.flat(trainer.w).tobytes()], pa.binary()), pa.array([trainer.tokens], pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())], ["weights", "n", "task"])
-
-    final = averaged(common.stored(train.select("bytes").mapInArrow(go_on, "weights binary, n long, task long"), "weights"))
-    return gated_lm.unflat(shape, weights if final is None else final)
-
-
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out", shape: Shape = Shape(), frequent: int = 50_000, **options) -> DataFrame:
+            for one, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if one != shard:
+                    if documents:
+                        yield learned(shard, documents, gated_lm.unflat(shape, begun.value), rates, LANES)
+                    shard, documents = one, []
+                documents.append(np.frombuffer(ids, np.uint16))
+        if documents:
+            yield learned(shard, documents, gated_lm.unflat(shape, begun.value), rates, LANES)
+
+    shards = max(1, round(tokens / SHARD_TOKENS))
+    dealt = coded.select(F.pmod("mark", F.lit(shards)).alias("shard"), "ids", "mark").repartitionByRange(shards, "shard").sortWithinPartitions("shard", "mark", "ids")
+    final = averaged(common.stored(dealt.select("shard", "ids").mapInArrow(go_on, "weights binary, n long, shard long"), "weights"))
+    return gated_lm.unflat(shape, final)
+
+
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out", shape: Shape = Shape(), frequent: int = 1_000_000, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     Scores are log10 probabilities of whole texts: words (A-Z lower-cased, parted at ASCII white space), then one
-    end. Rows with held_out false train the counts and the model; null counts as false. base_score is the
-    smoothed unigram model; score the recurrent one. A null or empty text is its end alone. Repeated rows are
-    scored (and counted) each. Without training rows the counts are 0 and the model is untrained. An empty
-    table gives an empty result; other columns are ignored.
+    end. Rows with held_out false train the counts and the model, each text whole however long it is; null counts
+    as false. base_score is the smoothed unigram model; score the recurrent one. A null or empty text is its end
+    alone. Repeated rows are scored (and counted) each. Without training rows the counts are 0 and the model is
+    untrained. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     whole = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(held_out_col), F.lit(False)).alias("held_out"), common.binary_large(F.col(text_col)).alias("bytes"))
+    whole = whole.select("doc_id", "held_out", F.xxhash64("doc_id", "bytes").alias("mark"), "bytes")
     kind = whole.schema["doc_id"].dataType.simpleString()
-    train = whole.where("not held_out")
-    counts = common.stored(word_counts(train), "words")
-    tokens, words = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    tokens = tokens or 0
+    counts = common.stored(word_counts(whole.where("not held_out")), "words")
+    by_tail = {r[0]: (r[1], r[2]) for r in counts.groupBy(tail_class(F.col("word"), shape.tails)).agg(F.sum("c"), F.count(F.lit(1))).collect()}
+    tokens, words = (sum(t[i] for t in by_tail.values()) for i in (0, 1))
     often = counts.where((F.col("c") * frequent >= tokens) | (F.col("word") == F.lit(END)))
-    vocabulary = Vocabulary(shape, often.toPandas(), tokens, words)
-    weights = fit(train.select("doc_id", "bytes"), shape, vocabulary, **options)
-    vocab, model = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(weights)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, held, size = vocab.value, [], 0
+    vocabulary = Vocabulary(shape, often.toPandas(), tokens, words, by_tail)
+    vocab = spark.sparkContext.broadcast(vocabulary)
 
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            logs = gated_lm.score_documents(shape, model.value, [r[6] for r in rows], 0) / math.log(10)
-            rare = [r[7] for r in rows]
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocab.value
+        for batch in batches:
+            told = [v.code(t) for t in batch.column(3).to_pylist()]
+            rare = [t[4] for t in told]
             offsets = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
             entries = pa.StructArray.from_arrays([pa.array([w for r in rare for w in r], pa.binary()), pa.array([n for r in rare for n in r.values()], pa.int64())], ["word", "n"])
-            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64()))]
-            columns += [pa.array([r[5] + x for r, x in zip(rows, logs, strict=True)], pa.float64()), pa.array([sum(r.values()) for r in rare], pa.int64()), pa.ListArray.from_arrays(offsets, entries)]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_rare", "rare"])
+            columns = [pa.array([t[0].tobytes() for t in told], pa.binary()), pa.array([len(t[0]) for t in told], pa.int64()), *(pa.array([t[i] for t in told], k) for i, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()))), pa.ListArray.from_arrays(offsets, entries)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["doc_id", "held_out", "mark", "ids", "n_tokens", "n_known", "base", "inside", "rare"])
+
+    schema = f"doc_id {kind}, held_out boolean, mark long, ids binary, n_tokens long, n_known long, base double, inside double, rare array<struct<word:binary,n:bigint>>"
+    coded = common.stored(whole.mapInArrow(code, schema).withColumn("row", F.monotonically_increasing_id()), "coded")
+    # The end's count is the number of training documents.
+    model = spark.sparkContext.broadcast(fit(coded.where("not held_out"), shape, int(vocabulary.counts[0]), tokens, **options))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            logs = gated_lm.score_documents(shape, model.value, [np.frombuffer(ids, np.uint16) for b in some for ids in b.column(0).to_pylist()], 0) / math.log(10)
+            at = 0
+            for b in some:
+                yield pa.RecordBatch.from_arrays([pa.array(logs[at : at + b.num_rows]), *b.columns[1:]], ["logs", *b.schema.names[1:]])
+                at += b.num_rows
 
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for doc_id, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                found = words_of(text)
-                places = v.places(found)
-                there = places[places >= 0]
-                rare = Counter([w for w, p in zip(found, places.tolist(), strict=False) if p < 0]) if len(there) < len(places) else {}
-                held.append((doc_id, held_out, len(places), int((v.counts[there] > 0).sum()), float(v.base[there].sum()), float(v.inside[there].sum()), v.token_ids(places).astype(np.int32), rare))
-                size += len(places)
-                if size >= BLOCK:
-                    yield out(held)
-                    held, size = [], 0
+            held.append(batch)
+            size += batch.column(0).nbytes // 2
+            if size >= BLOCK:
+                yield from out(held)
+                held, size = [], 0
         if held:
-            yield out(held)
+            yield from out(held)
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_rare long, rare array<struct<word:binary,n:bigint>>"
-    scored = common.stored(whole.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    others = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+    scored = coded.select("ids", "doc_id", "held_out", "row", "n_tokens", "n_known", "base", "inside").mapInArrow(score, f"logs double, doc_id {kind}, held_out boolean, row long, n_tokens long, n_known long, base double, inside double")
+    others = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     met = others.join(counts.where(F.col("c") * frequent < tokens), "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
-    sums = met.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 0.1)).alias("logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"))
-    logs = F.coalesce("logs", F.lit(0.0))
+    sums = met.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 0.1)).alias("more_logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"))
+    more_logs = F.coalesce("more_logs", F.lit(0.0))
     return scored.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + logs - F.col("n_rare") * F.lit(math.log10(vocabulary.all_mass))).alias("base_score"),
-        (F.col("score") + logs - F.col("n_rare") * F.lit(math.log10(vocabulary.rest_mass))).alias("score"),
+        (F.col("base") + more_logs).alias("base_score"),
+        (F.col("logs") + F.col("inside") + more_logs).alias("score"),
     )
