@@ -19,7 +19,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Remove the files of a table from `stored` once nothing that is still to run reads it."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def few(table: DataFrame, rows: int = 500_000) -> DataFrame:

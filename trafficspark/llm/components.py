@@ -13,7 +13,7 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
 
     Each round hangs every node's greater neighbours, then its lesser ones, on the least node around it; the
     links turn into stars in a number of rounds that grows with the logarithm of the longest path. Rounds are
-    written to the shared folder; only a count and a checksum reach the driver.
+    written to the shared folder, each until the next is; only a count and a checksum reach the driver.
     """
     edges = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, before = common.stored(edges, name), None
@@ -30,5 +30,6 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
-        edges = common.stored(small, name)
+        last, edges = edges, common.stored(small, name)
+        common.forget(last)
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -121,7 +121,7 @@ def decide(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
 def mix(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, copies and taken (size x copies) for every row of docs.
 
-    Null texts and texts without words have size 0 and are never taken; a null source is one more source, the
+    Texts of any length count whole. Null texts and texts without words have size 0 and are never taken; a null source is one more source, the
     last in order. Repeated rows (same source, id and size) share their copies as evenly as can be. An empty
     table gives an empty result. Reruns on the same rows agree: groups and draws depend on ids, sizes and the
     seed alone. Other columns are ignored. The source totals (one row each) are the only thing that is ordered

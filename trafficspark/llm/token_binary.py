@@ -99,7 +99,7 @@ _encoders: dict[str, Encoder] = {}
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, planes: str = "byte", block: int = 1 << 16, shards: int | None = None) -> None:
     """Encode every whole text (null: empty), append end_id and write the dataset in ascending order of id.
 
-    One range shuffle by id; within it repeated ids keep their own entries and null ids come first. An empty
+    Very long texts run on through as many chunks as they need. One range shuffle by id; within it repeated ids keep their own entries and null ids come first. An empty
     table writes a dataset without chunks. Other columns are ignored.
     """
     spark = docs.sparkSession
