@@ -162,12 +162,46 @@ def test_items_without_a_counting_window_are_found_whole(spark, item, other, ali
     assert got == [(7, 1), (8, 1)] + [(9, 1)] * alike
 
 
+def leaks(spark, item, *texts):
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    df = cases.table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    return {r.doc_id for r in decontamination.contaminated(df, bench).collect()}
+
+
+def test_names_may_change_at_the_start_of_sentences(spark):
+    item = "Tom buys 3 pens. Anna pays 12 dollars. Peter counts 5 coins. Laura leaves."
+    other = "Max buys 4 pens. Ute pays 15 dollars. Karl counts 6 coins. Nina leaves."
+    assert leaks(spark, item, item, other, "so " + other, other.replace("Nina", "Karl"), other.replace("pens", "pans")) == {0, 1, 2}
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_values_must_agree_over_the_whole_item(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", broadcast)
+    item = "yesterday Anna walked slowly over to the old mill because Peter had asked there for bread and then Anna came back home again with it"
+    renamed = item.replace("Anna", "Laura").replace("Peter", "Max")
+    crossed = "yesterday Laura walked slowly over to the old mill because Max had asked there for bread and then Max came back home again with it"
+    pure = item.replace("yesterday Anna walked slowly over to the old mill because Peter", "Anna and Peter").replace("then Anna came back home again with it", "Anna left")
+    assert leaks(spark, item, item, renamed) == {0, 1}
+    names = "Anna met Bert near this new bridge where Carl said that Anna would sing for Bert next week if Carl came too"
+    twisted = "Ute met Max near this new bridge where Tom said that Ute would sing for Tom next week if Max came too"
+    assert leaks(spark, names, names, names.replace("Anna", "Ute").replace("Bert", "Max").replace("Carl", "Tom"), twisted) == {0, 1}
+    assert crossed != renamed and pure != item
+
+
+def test_units_may_change(spark):
+    item = "the red box weighs 5 kg and the blue box weighs 7 kg so how much more"
+    assert leaks(spark, item, item.replace("kg", "lb"), item.replace("kg", "boxes")) == {0}
+
+
 def test_slots_must_agree(spark):
     bench = spark.createDataFrame([(1, "add 5 and 5 to get twice the sum")], "item_id long, text string")
     hit = lambda t: decontamination.matches(cases.table(spark, [(7, t, "en", "s")]), bench).count()
     assert hit("add 9 and 9 to get twice the sum") == 1
-    # Both windows of the item hold both numbers.
+    # Neither window of the item is one renaming of the other's.
     assert hit("add 9 and 4 to get twice the sum") == 0
+    # Rows that share an id are told apart.
+    rows = [(7, "add 9 and 9 to get twice the sum", "en", "s"), (7, "add 4 and 4 to get twice the sum", "en", "s")]
+    assert decontamination.matches(cases.table(spark, rows), bench).count() == 1
 
 
 def test_names_and_units(spark):

@@ -1,9 +1,10 @@
 """Benchmark decontamination by templates, in DataFrame operations only.
 
 A text becomes a sequence of tokens in which numbers, names and units are typed placeholders. Windows of the
-templates of documents and benchmark items are hash-joined; a pair of windows counts if the values behind its
-placeholders are consistent: places that hold equal values on one side hold equal values on the other. So a
-question that was given other numbers or names is still found, and one whose repeated value differs is not.
+templates of documents and benchmark items are hash-joined. A pair of windows counts if both hold the same values
+behind their placeholders, or if the values of all pairs of windows of this item in this text that stand alike make
+one renaming: equal values on one side are equal on the other, over the whole item. So a question that was given
+other numbers or names is still found, and one whose repeated value differs is not.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficspark.llm import common
+
 #: Marks a name in front of its token: below digits and letters in order.
 MARK = "\u0002"
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
@@ -23,8 +26,8 @@ UNITS = (
     "dollar", "dollars", "euro", "euros", "cent", "cents", "usd", "eur", "percent",
     "kb", "mb", "gb", "tb", "hz", "khz", "mhz", "ghz", "w", "kw", "v", "kwh", "mph", "kmh",
 )
-#: A capital after a lower-case letter, digit, comma or semicolon and one space starts a name.
-NAME_START = r"([\p{Ll}\p{Nd},;]\s)(\p{Lu})"
+#: A capital at its start makes a word a name, at the start of a sentence too: a name there is not to be told from a word.
+NAME_START = r"(^|[^\p{L}\p{M}])(\p{Lu})"
 #: Scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han): each letter is a token.
 UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 TOKEN = MARK + rf"?[\p{{L}}\p{{M}}&&[^{UNSPACED}]]+|[\p{{L}}&&[{UNSPACED}]]\p{{M}}*|[0-9]+(?:[.,][0-9]+)*"
@@ -46,36 +49,31 @@ def template(words: Column) -> Column:
     return F.transform(words, typed)
 
 
-def same_places(values: Column) -> Column:
-    """For each value, the place where it is first seen: equal for lists that differ by a renaming only."""
-    return F.transform(values, lambda v: F.array_position(values, v))
-
-
 def windows_at(starts: Column, length: Column | int) -> Column:
-    """pos, key (hash of the template window) and slots (places of its values) for each start, from columns typed and values."""
+    """pos, key (hash of the template window) and vals (its values, hashed) for each start, from columns typed and vals."""
     n = F.lit(length) if isinstance(length, int) else length
 
-    def window(i: Column, slots: Column) -> Column:
-        return F.struct(i.alias("pos"), F.xxhash64(n, F.slice("typed", i, n)).alias("key"), slots.alias("slots"))
+    def window(i: Column, vals: Column) -> Column:
+        return F.struct(i.alias("pos"), F.xxhash64(n, F.slice("typed", i, n)).alias("key"), vals.alias("vals"))
 
     none = F.array().cast("array<bigint>")
-    held = lambda i: same_places(F.filter(F.slice("values", i, n), lambda v: v.isNotNull()))
+    held = lambda i: F.filter(F.slice("vals", i, n), lambda v: v.isNotNull())
     return F.when(F.col("has_values"), F.transform(starts, lambda i: window(i, held(i)))).otherwise(F.transform(starts, lambda i: window(i, none)))
 
 
 def exact_at(starts: Column, length: Column | int) -> Column:
-    """pos, key (hash of the tokens themselves, names without MARK) and no slots for each start, from column words."""
+    """pos, key (hash of the tokens themselves, names without MARK) and no vals for each start, from column words."""
     n = F.lit(length) if isinstance(length, int) else length
     plain = F.transform("words", lambda t: F.translate(t, MARK, ""))
-    window = lambda p, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("exact"), n, F.slice(p, i, n)).alias("key"), F.array().cast("array<bigint>").alias("slots"))
+    window = lambda p, i: F.struct(i.alias("pos"), F.xxhash64(F.lit("exact"), n, F.slice(p, i, n)).alias("key"), F.array().cast("array<bigint>").alias("vals"))
     # In an array of its own, plain is made once and not for each start.
     return F.flatten(F.transform(F.array(plain), lambda p: F.transform(starts, lambda i: window(p, i))))
 
 
 def templated(rows: DataFrame, text: Column) -> DataFrame:
-    """rows with typed (template), values (the token behind each placeholder, else null), has_values."""
+    """rows with words, typed (template), vals (the hash of the token behind each placeholder, else null), has_values."""
     typed = rows.withColumn("words", tokens(text)).withColumn("typed", template(F.col("words")))
-    return typed.withColumn("values", F.transform("words", lambda t, i: F.when(F.get("typed", i) != t, t))).withColumn("has_values", F.exists("values", lambda v: v.isNotNull()))
+    return typed.withColumn("vals", F.transform("words", lambda t, i: F.when(F.get("typed", i) != t, F.xxhash64(t)))).withColumn("has_values", F.exists("vals", lambda v: v.isNotNull()))
 
 
 def all_starts(n: Column, length: Column | int) -> Column:
@@ -90,45 +88,43 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     window counts if it holds min_literals tokens that are no placeholders. An item without such a window, or of
     fewer tokens, is found as a whole: by all its tokens, values included, and if it holds min_literals tokens
     that are no placeholders also by its whole template. So an item of one word is found wherever the word is.
-    Texts without tokens match nothing. Rows that share an id count as one document or item.
-    The first token of an item counts both as a word and, if capitalised, as a name, for a document may have
-    it inside a sentence. Either table may be empty; other columns are ignored.
+    Texts without tokens match nothing; very long ones are searched whole. Rows that share an id count as one document
+    or item, but their values are not mixed up. Either table may be empty; other columns are ignored.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).where("item_text is not null")
-    capital = F.col("item_text").rlike(r"^\s*\p{Lu}")
-    forms = F.when(capital, F.array(F.col("item_text"), F.concat(F.lit("a "), F.ltrim("item_text")))).otherwise(F.array("item_text"))
-    # The second form puts a word before the first one, which makes a capital there a name; it is dropped again.
-    both = items.select("item_id", "item_text", F.posexplode(forms).alias("form", "form_text"))
-    parts = templated(both, F.col("form_text"))
-    for c in ("words", "typed", "values"):
-        parts = parts.withColumn(c, F.when(F.col("form") == 1, F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))).otherwise(F.col(c)))
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text"), F.xxhash64(item_text_col).alias("item_mark")).where("item_text is not null")
     n = F.size("typed")
-    # Held, for filters that move below the templates would make them again for each of their tokens.
-    parts = parts.persist()
-    whole = parts.where(n > 0)
-    parts = parts.withColumn("length", F.least(n, F.lit(window))).where(F.col("length") >= min_literals)
-    starts = F.when(F.col("form") == 0, all_starts(n, F.col("length"))).otherwise(F.array(F.lit(1)))
+    # Written, for filters that move below the templates would make them again for each of their tokens.
+    whole = common.stored(templated(items, F.col("item_text")).where(n > 0), "items")
+    parts = whole.withColumn("length", F.least(n, F.lit(window))).where(F.col("length") >= min_literals)
     literals = lambda some: F.size(F.filter(some, lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    counting = parts.withColumn("w", F.explode(windows_at(starts, F.col("length")))).where(literals(F.slice("typed", F.col("w.pos"), F.col("length"))) >= min_literals)
+    counting = parts.withColumn("w", F.explode(windows_at(all_starts(n, F.col("length")), F.col("length")))).where(literals(F.slice("typed", F.col("w.pos"), F.col("length"))) >= min_literals)
     # Items without a counting window, as one window at place 0.
     rest = whole.join(counting.select("item_text").distinct(), "item_text", "left_anti").withColumn("length", n)
     one = F.array(F.lit(1))
-    exact = rest.where("form = 0").withColumn("w", F.explode(exact_at(one, F.col("length"))))
+    exact = rest.withColumn("w", F.explode(exact_at(one, F.col("length"))))
     alike = rest.where(literals(F.col("typed")) >= min_literals).withColumn("w", F.explode(windows_at(one, F.col("length"))))
     kinds = [(counting, F.col("w.pos"), False), (exact, F.lit(0), True), (alike, F.lit(0), False)]
-    tables = [t.select("item_id", pos.alias("item_pos"), "length", F.lit(is_exact).alias("exact"), "w.key", F.col("w.slots").alias("item_slots")) for t, pos, is_exact in kinds]
-    wanted = tables[0].unionByName(tables[1]).unionByName(tables[2]).distinct().persist()
-    count, lengths, exact_lengths = wanted.agg(F.count(F.lit(1)), F.collect_set(F.when(~F.col("exact"), F.col("length"))), F.collect_set(F.when(F.col("exact"), F.col("length")))).first()
+    tables = [t.select("item_id", "item_mark", pos.alias("item_pos"), "length", F.lit(is_exact).alias("exact"), F.col("w.key").alias("item_key"), F.col("w.vals").alias("item_vals")) for t, pos, is_exact in kinds]
+    wanted = common.stored(tables[0].unionByName(tables[1]).unionByName(tables[2]).distinct(), "windows")
+    lengths, exact_lengths = wanted.agg(F.collect_set(F.when(~F.col("exact"), F.col("length"))), F.collect_set(F.when(F.col("exact"), F.col("length")))).first()
     sizes = wanted.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
 
-    docs = templated(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text")), F.col("doc_text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text"))
+    docs = templated(docs.withColumn("mark", F.xxhash64("doc_text")), F.col("doc_text"))
     size = F.size("typed")
     # `window` tokens always, other lengths only where such items exist.
     each = [windows_at(all_starts(size, k), k) for k in sorted({window, *lengths})] + [exact_at(all_starts(size, k), k) for k in sorted(exact_lengths)]
-    found = docs.select("doc_id", F.explode(F.concat(*each) if len(each) > 1 else each[0]).alias("w")).select("doc_id", "w.key", "w.slots")
-    small = F.broadcast(wanted) if count <= BROADCAST_WINDOWS else wanted
-    met = found.join(small, (found["key"] == small["key"]) & (found["slots"] == small["item_slots"]))
-    pairs = met.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("n_windows"))
+    found = docs.select("doc_id", "mark", F.explode(F.concat(*each) if len(each) > 1 else each[0]).alias("w")).select("doc_id", "mark", "w.pos", "w.key", "w.vals")
+    small = common.few(wanted, BROADCAST_WINDOWS).drop("length", "exact")
+    met = found.join(small, F.col("key") == F.col("item_key"))
+    # By text, item and the distance of their windows: which values stand for which, over all windows.
+    window_of = F.struct("item_pos", (F.col("vals") == F.col("item_vals")).alias("verbatim"))
+    bound = F.transform("vals", lambda v, i: F.struct(F.get("item_vals", i).alias("item"), v.alias("doc")))
+    groups = met.groupBy("doc_id", "mark", "item_id", "item_mark", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.collect_set(window_of).alias("windows"), F.array_distinct(F.flatten(F.collect_set(bound))).alias("bound"))
+    # The field of an array of structs is the array of its values.
+    one_renaming = (F.size(F.array_distinct("bound.item")) == F.size("bound")) & (F.size(F.array_distinct("bound.doc")) == F.size("bound"))
+    hits = groups.select("doc_id", "item_id", F.explode(F.filter("windows", lambda w: w["verbatim"] | one_renaming)).alias("w"))
+    pairs = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("w.item_pos").alias("n_windows"))
     return pairs.join(sizes, pairs["item_id"].eqNullSafe(sizes["item_id"])).select("doc_id", pairs["item_id"], "n_windows", "item_windows")
 
 
@@ -139,5 +135,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_windows: int = 2,
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of docs that hold no benchmark item; all columns as they are."""
-    leaked = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaked, docs[id_col].eqNullSafe(leaked["leaked"]), "left_anti")
+    leaked = common.stored(contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("leaked_id")).distinct(), "leaked")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("of_id"))
+    return rows.join(common.few(leaked), F.col("of_id").eqNullSafe(F.col("leaked_id")), "left_anti").select("row.*")

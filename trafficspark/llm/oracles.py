@@ -47,35 +47,34 @@ def _templated(source: str, columns: str) -> str:
       case when t < ':' then case when t < '0' then '<name>' else '<num>' end
            when i > 1 and words[i - 1] < ':' and words[i - 1] >= '0' and t in ({_UNITS}) then '<unit>'
            else t end) as typed from (
-      select {columns}, regexp_extract_all(lower(regexp_replace(txt, '([\\p{{Ll}}\\p{{Nd}},;]\\s)(\\p{{Lu}})', '\\1' || chr(2) || '\\2', 'g')),
+      select {columns}, regexp_extract_all(lower(regexp_replace(txt, '(^|[^\\p{{L}}\\p{{M}}])(\\p{{Lu}})', '\\1' || chr(2) || '\\2', 'g')),
         chr(2) || '?[\\p{{L}}\\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*') as words from {source}))"""
 
 
-_WINDOW = """list_transform({t}[{i}:{i} + {n} - 1], lambda x: x) as win,
-    list_transform(list_filter({v}[{i}:{i} + {n} - 1], lambda x: x is not null),
-      lambda x: list_position(list_filter({v}[{i}:{i} + {n} - 1], lambda y: y is not null), x)) as slots"""
+_WINDOW = """list_transform(typed[i:i + n - 1], lambda x: x) as win, list_filter(vals[i:i + n - 1], lambda x: x is not null) as slots"""
 
 DECONTAMINATION = f"""
-with forms as (
-  select item_id, 0 as form, text as txt from benchmark where text is not null
-  union all
-  select item_id, 1, 'a ' || ltrim(text) from benchmark where regexp_matches(text, '^\\s*\\p{{Lu}}')),
-items as (select item_id, form,
-    case when form = 1 then typed[2:] else typed end as typed, case when form = 1 then vals[2:] else vals end as vals
-  from ({_templated("forms", "item_id, form")})),
+with items as ({_templated("(select item_id, text as txt from benchmark where text is not null)", "item_id")}),
 sized as (select *, least(len(typed), 8) as n from items where len(typed) >= 5),
-item_starts as (select *, unnest(range(1, case when form = 1 then 2 else len(typed) - n + 2 end)) as i from sized),
+item_starts as (select *, unnest(range(1, len(typed) - n + 2)) as i from sized),
 item_windows as (
-  select distinct item_id, i as item_pos, n, {_WINDOW.format(t="typed", v="vals", i="i", n="n")} from item_starts
+  select distinct item_id, i as item_pos, n, {_WINDOW} from item_starts
   where len(list_filter(typed[i:i + n - 1], lambda t: t not in ('<num>', '<name>', '<unit>'))) >= 5),
 sizes as (select item_id, count(distinct item_pos) as item_windows from item_windows group by item_id),
 docs as ({_templated("(select doc_id, text as txt from documents)", "doc_id")}),
 lengths as (select distinct n from item_windows),
 doc_starts as (select doc_id, typed, vals, n, unnest(range(1, len(typed) - n + 2)) as i from docs, lengths where len(typed) >= n),
-doc_windows as (select doc_id, n, {_WINDOW.format(t="typed", v="vals", i="i", n="n")} from doc_starts),
+doc_windows as (select doc_id, i, n, {_WINDOW} from doc_starts),
+met as (
+  select d.doc_id, w.item_id, d.i - w.item_pos as shift, w.item_pos, d.slots as doc_slots, w.slots as item_slots
+  from doc_windows d join item_windows w on d.n = w.n and d.win = w.win),
+bound as (select doc_id, item_id, shift, unnest(item_slots) as a, unnest(doc_slots) as b from met),
+renamed as (
+  select doc_id, item_id, shift, count(distinct a) = count(distinct b) and count(distinct a) = count(distinct (a, b)) as one
+  from bound group by doc_id, item_id, shift),
 pairs as (
-  select doc_id, item_id, count(distinct item_pos) as n_windows
-  from doc_windows d join item_windows w on d.n = w.n and d.win = w.win and d.slots = w.slots group by doc_id, item_id)
+  select doc_id, item_id, count(distinct item_pos) as n_windows from met left join renamed using (doc_id, item_id, shift)
+  where doc_slots = item_slots or coalesce(one, true) group by doc_id, item_id)
 select doc_id, item_id, n_windows::bigint as n_windows, item_windows::bigint as item_windows
 from pairs join sizes using (item_id) where n_windows >= least(2, item_windows)
 """
