@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficspark.llm import decontamination, language_id, oracles
+from trafficspark.llm import decontamination, language_id, oracles, toxicity
 from trafficspark.llm.bm25_search import top_k
 from trafficspark.llm.common import crc_bucket
 from trafficspark.llm.jaccard_join import join_groups
@@ -77,6 +77,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budgets=(2048,))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
+    model = toxicity.fit(docs.where("not held_out"), table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model, keep=("held_out",)).select("doc_id", "held_out", "score", "predicted", "lang_pred")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25_search": op8_bm25_search,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
