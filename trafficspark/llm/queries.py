@@ -17,6 +17,7 @@ from trafficspark.llm.mixing import mix
 from trafficspark.llm.suffix_dedup import remove_repeats
 from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
+from trafficspark.llm.whitening import whiten
 from trafficspark.sources.shared import importable
 
 
@@ -77,6 +78,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budgets=(2048,))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc_bucket(F.col("doc_id"), 4) == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25_search": op8_bm25_search,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
+    "op12_whitening": op12_whitening,
     "op13_toxicity": op13_toxicity,
 }
 
