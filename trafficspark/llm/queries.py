@@ -14,6 +14,7 @@ from trafficspark.llm.jaccard_join import join_groups
 from trafficspark.llm.line_dedup import dedup_lines
 from trafficspark.llm.lm_scoring import lm_scores
 from trafficspark.llm.mixing import mix
+from trafficspark.llm.spelling import spelling_variants
 from trafficspark.llm.suffix_dedup import remove_repeats
 from trafficspark.llm.token_binary import token_binary
 from trafficspark.llm.token_counts import token_counts
@@ -78,6 +79,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budgets=(2048,))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), components=16)
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25_search": op8_bm25_search,
     "op9_source_mix": op9_source_mix,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_whitening": op12_whitening,
     "op13_toxicity": op13_toxicity,
 }
