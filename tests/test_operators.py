@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trafficspark.functions import scalars as S
 from trafficspark.operators import aggregates as agg
-from trafficspark.operators import cleaning, derive, features, filters, model, runlog
+from trafficspark.operators import cleaning, derive, features, filters, model, ordered, runlog
 
 STATE = "icao24 string, latitude double, longitude double, baro_altitude double, velocity double, vertical_rate double, capture_time bigint"
 
@@ -233,8 +233,7 @@ def test_categories_of_messages_of_several_lines(spark, message, category, text)
 
 @pytest.mark.parametrize("ratio", [0.1, 0.37, 0.9])
 @pytest.mark.parametrize("kind", ["long", "timestamp_ntz", "string", "double"])
-def test_cut_in_time(spark, monkeypatch, kind, ratio):
-    monkeypatch.setattr(features, "PLACES", 100)
+def test_cut_in_time(spark, kind, ratio):
     numbers = [(i * 7919) % 5003 for i in range(3000)]
     make = {"long": int, "double": float, "string": lambda i: f"{i:05d}", "timestamp_ntz": lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)}[kind]
     df = spark.createDataFrame([(make(i),) for i in numbers], f"hour_start {kind}").repartition(3)
@@ -244,6 +243,39 @@ def test_cut_in_time(spark, monkeypatch, kind, ratio):
     assert [r.split for r in got.orderBy("hour_start").collect()] == ["train"] * cut + ["test"] * (3000 - cut)
 
 
+def test_cut_of_ties_and_nulls(spark):
+    got = features.time_split(spark.createDataFrame([(1,)] * 6 + [(None,)] * 4, "hour_start int"), test_ratio=0.5)
+    counts = {(r.hour_start, r.split): r["count"] for r in got.groupBy("hour_start", "split").count().collect()}
+    assert counts == {(1, "train"): 5, (1, "test"): 1, (None, "test"): 4}
+
+
+def test_places_over_many_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"), (F.col("id") % 3).alias("k")).repartition(7)
+    found = ordered.ordered(df, ["k", "x"])
+    got = [(r.k, r.x) for r in found.rows.orderBy("place").collect()]
+    assert found.n == 5000 and got == sorted(got)
+    assert found.rows.agg(F.min("place"), F.max("place"), F.count_distinct("place")).first()[:] == (1, 5000, 5000)
+    assert ordered.ordered(df.where("k > 9"), ["x"]).rows.count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 24, 100, 5000])
+def test_windows_over_blocks_equal_one_window(spark, monkeypatch, block):
+    monkeypatch.setattr(ordered.in_blocks, "__kwdefaults__", {**ordered.in_blocks.__kwdefaults__, "block": block})
+    rows = [("a" if i % 3 else None, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), i * i % 101) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, hour_start timestamp_ntz, flight_count long")
+    for keys in ((), ("k",)):
+        one, many = (features.hourly_features(df, keys=keys, long=long) for long in (False, True))
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_one_long_order_has_no_single_task(spark, sf_dir):
+    from trafficspark.plans import catalog
+
+    for name in ("hourly_features", "hourly_features_calendar", "train_test_split"):
+        plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan, name
+
+
 def test_sketches_of_hours_merge_to_days(spark):
     rows = [(i % 700 if i % 50 else None, dt.datetime(2024, 1, 1 + i % 3, i % 24)) for i in range(9000)]
     df = spark.createDataFrame(rows, "e long, t timestamp_ntz")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trafficspark.schema import STATE_SCHEMA
-from trafficspark.sources import decode, tables
+from trafficspark.sources import decode, files, tables
 
 FULL = ["abc123", "TEST123", "India", 1234567890, 1234567890, 72.8, 19.0, 1000, False, 100, 90, 0, [1, 2], 1050, "1234", False, 0]
 
@@ -45,7 +45,7 @@ def test_drifting_files(spark, tmp_path):
         write(tmp_path / "c.parquet", a=pa.array([3], pa.int64())),
     ]
     schema = tables.T.StructType([tables.T.StructField("a", tables.T.DoubleType()), tables.T.StructField("sensors", tables.T.ArrayType(tables.T.LongType()))])
-    df = tables.read_drifting(spark, paths, schema)
+    df = files.read_drifting(spark, paths, schema)
     assert sorted((r.a, r.sensors) for r in df.collect() if r.a != 1.5) == [(1.0, None), (3.0, None)]
     assert df.where("a = 1.5").first().sensors == [1, 2]
 
@@ -113,3 +113,91 @@ def test_rolling_window(spark):
 def test_sample(spark, tmp_path):
     tables.write_sample(spark.range(50).withColumn("x", F.lit("a")), str(tmp_path / "s"))
     assert spark.read.json(str(tmp_path / "s")).count() == 20
+
+
+def jobs_of(spark, work):
+    """Number of jobs that `work` runs, and what it returns."""
+    spark.sparkContext.setJobGroup("counted", "")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    out = work()
+    spark.sparkContext._jvm.System.gc()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before, out
+
+
+def test_many_drifting_files_take_few_jobs(spark, tmp_path):
+    kinds = [("int32", pa.int32()), ("double", pa.float64()), ("text", pa.string())]
+    for i in range(5000):
+        _, kind = kinds[i % 3]
+        write(tmp_path / f"{i:05d}.parquet", id=pa.array([i]), a=pa.array([str(i) if i % 3 == 2 else i], kind), **({"late": pa.array([None], pa.null())} if i % 5 == 0 else {}))
+    jobs, df = jobs_of(spark, lambda: files.read_drifting(spark, str(tmp_path)))
+    assert jobs < 25
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [("id", "bigint"), ("a", "string"), ("late", "void")]
+    got = {r.id: r.a for r in df.collect()}
+    assert len(got) == 5000 and got[1] == "1.0" and got[2] == "2" and got[3] == "3"
+
+
+def test_drifting_files_equal_drift_union(spark, tmp_path):
+    a = spark.createDataFrame([(1, dt.date(2024, 1, 1), [1])], "x int, d date, l array<int>")
+    b = spark.createDataFrame([(2.5, dt.datetime(2024, 1, 2), "t")], "x double, d timestamp_ntz, s string")
+    c = spark.createDataFrame([([1.5],)], "l array<double>")
+    for i, df in enumerate((a, b, c)):
+        df.coalesce(1).write.parquet(str(tmp_path / f"{i}"))
+    got, want = files.read_drifting(spark, str(tmp_path)), tables.drift_union(a, b, c)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_folding_schemas_does_not_hang_on_the_order():
+    kinds = [tables.T.ByteType(), tables.T.IntegerType(), tables.T.LongType(), tables.T.DoubleType(), tables.T.DateType(), tables.T.TimestampNTZType(), tables.T.StringType(), tables.T.NullType(), tables.T.ArrayType(tables.T.LongType())]
+    for a in kinds:
+        for b in kinds:
+            assert tables.supertype(a, b) == tables.supertype(b, a)
+            for c in kinds:
+                assert tables.supertype(tables.supertype(a, b), c) == tables.supertype(a, tables.supertype(b, c))
+
+
+def test_types_of_foreign_files(spark, tmp_path):
+    write(tmp_path / "a.parquet", u=pa.array([1], pa.uint16()), t=pa.array([0], pa.timestamp("us")), z=pa.array([0], pa.timestamp("us", "UTC")), c=pa.array(["x"]).dictionary_encode(), s=pa.array([{"p": 1}]), d=pa.array([b"q"]))
+    found = files.read_drifting(spark, str(tmp_path))
+    assert found.schema.simpleString() == spark.read.parquet(str(tmp_path)).schema.simpleString()
+    assert found.first().c == "x"
+
+
+def test_files_that_only_spark_can_open(spark, tmp_path):
+    write(tmp_path / "a.parquet", a=pa.array([1]))
+    found = files.footers(files.list_files(spark, str(tmp_path)), direct=())
+    assert [(r.n_rows, r.reason) for r in found.collect()] == [(1, None)]
+
+
+def test_each_file_is_good_or_in_quarantine(spark, tmp_path):
+    for i in range(6):
+        write(tmp_path / f"{i}.parquet", a=pa.array(range(3000)), b=pa.array([f"v{i}-{k}" for k in range(3000)]))
+    whole = (tmp_path / "0.parquet").read_bytes()
+    (tmp_path / "1.parquet").write_bytes(whole[: len(whole) // 2])  # the end is lost
+    (tmp_path / "2.parquet").write_bytes(b"")
+    (tmp_path / "3.parquet").write_bytes(whole[:50] + bytes(600) + whole[650:])  # pages are spoilt, the footer is not
+    write(tmp_path / "4.parquet", a=pa.array([], pa.int64()), b=pa.array([], pa.string()))
+    good, bad = files.read_quarantined(spark, str(tmp_path))
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in bad.collect()}
+    assert reasons.keys() == {"1.parquet", "2.parquet", "3.parquet"} and "of 3000 rows" in reasons["3.parquet"]
+    assert good.count() == 6000
+    with pytest.raises(ValueError, match="1.parquet"):
+        files.read_drifting(spark, str(tmp_path))
+
+
+def test_no_files(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    good, bad = files.read_quarantined(spark, str(tmp_path / "x"))
+    assert good.count() == bad.count() == 0
+
+
+def test_each_line_is_good_or_in_quarantine(spark):
+    lines = [json.dumps({"time": 7, "states": [FULL]}), json.dumps({"time": 7, "states": []}), '{"time": 7, "states": null}', '{"time": 7, "sta', "", None, '{"states": []}', '{"time": 7, "states": {"a": 1}}', '{"time": 7, "states": [["bad", "data"]]}', '{"time": 7, "states": [["a"], 5]}', "[1]"]
+    df = envelopes(spark, *(x for x in lines if x is not None)).unionByName(spark.createDataFrame([(None,)], "json string"))
+    good, bad = decode.split_lines(df, decode.envelope_fault(F.col("json")))
+    assert good.count() == 4 and decode.decode_states(good).count() == 2
+    assert sorted(r.reason for r in bad.collect()) == sorted(["no JSON", "empty line", "empty line", "no time", "states are no lists", "states are no lists", "no time"])
+    strict = decode.split_lines(df, decode.envelope_fault(F.col("json"), least=17))[1]
+    assert strict.where("reason like 'a state of fewer%'").first().raw == lines[8]
+    flights = envelopes(spark, [{"icao24": "a"}], [], "{}", "[5]", "[")
+    assert sorted(r.reason for r in decode.split_lines(flights, decode.flights_fault(F.col("json")))[1].collect()) == ["a flight is no object", "no JSON", "no list"]

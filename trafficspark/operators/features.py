@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficspark.functions.scalars import weekday_columns
+from trafficspark.operators import ordered
 from trafficspark.operators.aggregates import hourly_counts
 from trafficspark.operators.cleaning import clean_states
 from trafficspark.schema import FEATURE_COLUMNS
 
 
-#: Accuracy of the percentile that brackets a cut: the bracket holds a few of this many parts of all rows.
-PLACES = 10_000
-
-
 def calendar_spine(hourly: DataFrame, *, keys: tuple[str, ...] = (), fill: int | None = 0) -> DataFrame:
     """hourly with a row for every clock hour between each series' first and last; new hours hold `fill`. Null keys are series too."""
     ends = hourly.groupBy(*keys).agg(F.min("hour_start").alias("a"), F.max("hour_start").alias("b")).where("a is not null")
@@ -30,25 +27,29 @@ def calendar_spine(hourly: DataFrame, *, keys: tuple[str, ...] = (), fill: int |
     return s.join(h, same, "left").select("s.*", *others).withColumn("flight_count", count)
 
 
-def hourly_features(hourly: DataFrame, *, keys: tuple[str, ...] = (), lags: tuple[int, ...] = (1, 24), window: int = 6, calendar: bool = False, fill: int | None = 0, weekday_mode: str = "observed") -> DataFrame:
+def hourly_features(hourly: DataFrame, *, keys: tuple[str, ...] = (), lags: tuple[int, ...] = (1, 24), window: int = 6, calendar: bool = False, fill: int | None = 0, weekday_mode: str = "observed", long: bool | None = None) -> DataFrame:
     """keys and the eight feature columns; rows without all lags and a full window before them are dropped.
 
-    Lags and windows go by rows, that is by hours that have data; with `calendar`, by clock hours. Without keys
-    the series is one, with one row an hour, and is ordered in one task; keys keep series apart.
+    Lags and windows go by rows, that is by hours that have data; with `calendar`, by clock hours. Keys keep series
+    apart, each in a window of its own. The one series without keys, and series that `long` says are too long for a
+    task, go by blocks of places in order (`ordered`), which no single task sees whole.
     """
     if calendar:
         hourly = calendar_spine(hourly, keys=keys, fill=fill)
-    order = Window.partitionBy(*keys).orderBy("hour_start")
+    if long or (long is None and not keys):
+        rows, order, own = ordered.in_blocks(ordered.ordered(hourly, [*keys, "hour_start"], place="__place"), max(window, *lags), keys=keys, place="__place")
+    else:
+        rows, order, own = hourly, Window.partitionBy(*keys).orderBy("hour_start"), F.lit(True)
     before = order.rowsBetween(-window, -1)
     day, weekend = weekday_columns(F.col("hour_start"), weekday_mode)
     rolling = F.when(F.count("flight_count").over(before) == window, F.round(F.avg("flight_count").over(before), 6))
     named = [f"lag_{n}h" for n in lags]
-    told = hourly.select(
+    told = rows.select(
         *keys, "hour_start", "flight_count", F.hour("hour_start").alias("hour_of_day"), day.alias("day_of_week"), weekend.alias("is_weekend"),
-        *(F.lag("flight_count", n).over(order).alias(c) for n, c in zip(lags, named, strict=True)), rolling.alias(f"rolling_mean_{window}h"),
+        *(F.lag("flight_count", n).over(order).alias(c) for n, c in zip(lags, named, strict=True)), rolling.alias(f"rolling_mean_{window}h"), own.alias("__own"),
     )
     columns = FEATURE_COLUMNS if (lags, window) == ((1, 24), 6) else ["hour_start", "flight_count", "hour_of_day", "day_of_week", "is_weekend", *named, f"rolling_mean_{window}h"]
-    return told.dropna(subset=[*named, f"rolling_mean_{window}h"]).select(*keys, *columns)
+    return told.where("__own").dropna(subset=[*named, f"rolling_mean_{window}h"]).select(*keys, *columns)
 
 
 def features_for_day(df: DataFrame, day: dt.date, *, entity: str = "icao24", time: str = "capture_datetime", keys: tuple[str, ...] = (), clean_first: bool = False, **options) -> DataFrame:
@@ -63,24 +64,11 @@ def features_for_day(df: DataFrame, day: dt.date, *, entity: str = "icao24", tim
 
 
 def time_split(df: DataFrame, *, order: str = "hour_start", test_ratio: float = 0.1) -> DataFrame:
-    """df with split: the first int(n * (1 - test_ratio)) rows in time are train, the rest test. order must be unique.
+    """df with split: the first int(n * (1 - test_ratio)) rows in time are train, the rest test.
 
-    The cut is a value of `order`. An approximate percentile brackets it, and only the rows within the bracket are
-    sorted, in one task; text is sorted whole.
+    Rows without a time come last; of rows of one time, some may be train and others test. df is computed once and its
+    rows are written in order, so every later read is of those.
     """
-    n = df.count()
-    cut = int(n * (1 - test_ratio))
-    if not cut or cut >= n:
-        return df.withColumn("split", F.lit("train" if cut else "test"))
-    values, below = df.select(F.col(order).alias("cut")), 0
-    if df.schema[order].dataType.typeName() not in ("string", "binary"):
-        place, room = cut / n, 2 / PLACES
-        low, high = values.agg(F.percentile_approx("cut", [max(0.0, place - room), min(1.0, place + room)], PLACES)).first()[0]
-        below = values.where(F.col("cut") < F.lit(low)).count()
-        bracket = values.where(F.col("cut").between(F.lit(low), F.lit(high)))
-        if below <= cut < below + bracket.count():
-            values = bracket
-        else:
-            below = 0
-    first_test = values.withColumn("rank", F.row_number().over(Window.orderBy("cut"))).where(F.col("rank") == cut - below + 1).select("cut")
-    return df.join(F.broadcast(first_test)).withColumn("split", F.when(F.col(order) < F.col("cut"), "train").otherwise("test")).drop("cut")
+    found = ordered.ordered(df, [order], place="__place")
+    cut = int(found.n * (1 - test_ratio))
+    return found.rows.withColumn("split", F.when(F.col("__place") <= cut, "train").otherwise("test")).drop("__place")

@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trafficspark.functions.scalars import absolute_percentage_error
+from trafficspark.operators import ordered
 from trafficspark.operators.aggregates import histogram, united
 
 ALPHAS = (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)
@@ -70,14 +71,12 @@ def r2_of(g: np.ndarray, intercept: float, coefficients: np.ndarray) -> float:
 def select_alpha(df: DataFrame, features: list[str], target: str, *, order: str = "hour_start", alphas: tuple[float, ...] = ALPHAS, folds: int = 5) -> DataFrame:
     """alpha, mean_r2, best: mean R² over contiguous folds in order; the best alpha is the first of the highest mean.
 
-    One aggregate gives each fold's sums; what is left of a fold is the total minus its own. order must be unique.
+    One aggregate gives each fold's sums; what is left of a fold is the total minus its own.
     """
-    n = df.count()
-    sizes = [n // folds + (i < n % folds) for i in range(folds)]
-    ends = np.cumsum(sizes).tolist()
-    place = F.row_number().over(Window.orderBy(order))
-    fold = F.coalesce(*(F.when(place <= end, i) for i, end in enumerate(ends)))
-    rows = df.withColumn("fold", fold).groupBy("fold").agg(*gram_columns(features, target)).collect()  # one row a fold
+    found = ordered.ordered(df, [order], place="__place")
+    ends = np.cumsum([found.n // folds + (i < found.n % folds) for i in range(folds)]).tolist()
+    fold = F.coalesce(*(F.when(F.col("__place") <= end, i) for i, end in enumerate(ends)))
+    rows = found.rows.withColumn("fold", fold).groupBy("fold").agg(*gram_columns(features, target)).collect()  # one row a fold
     grams = {r["fold"]: gram_matrix(r, len(features)) for r in rows}
     total = sum(grams.values())
     means = [float(np.mean([r2_of(g, *solve(total - g, alpha)) for g in grams.values()])) for alpha in alphas]

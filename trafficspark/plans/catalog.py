@@ -13,7 +13,7 @@ from trafficspark.operators import aggregates as agg
 from trafficspark.operators import cleaning, derive, features, filters, model, runlog
 from trafficspark.plans.fixtures import CLEAN_SQL, FLIGHTS_SQL, HOURLY_SQL, RUN_STATE_SQL, STATE_SQL, features_sql, flights_view, run_events, state_view, table
 from trafficspark.schema import MODEL_FEATURES
-from trafficspark.sources import decode, tables
+from trafficspark.sources import decode, files, tables
 from trafficspark.sources.shared import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,6 +234,28 @@ def drift_union(spark, d):
     return tables.drift_union(a, b, c)
 
 
+@query(ORACLE_SQL["drift_union"])
+def drift_files(spark, d):
+    """The same three tables, as files of one folder whose footers say which types they hold."""
+    e, root = events(spark, d), fresh(spark, "drift")
+    e.where("event_id % 3 = 0").select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").alias("tag")).write.mode("append").parquet(root)
+    for rest in (1, 2):
+        e.where(f"event_id % 3 = {rest}").select("event_id", "value", F.col("event_type").alias("tag")).write.mode("append").parquet(root)
+    return files.read_drifting(spark, root).select("event_id", "value", "tag")
+
+
+@query(
+    """select event_id, case event_id % 7 when 0 then 'no JSON' when 1 then 'no time' when 2 then 'states are no lists' when 3 then 'a state of fewer than 3 fields' end as reason from events where event_id % 7 < 4"""
+)
+def quarantined_lines(spark, d):
+    """Envelopes of one event each, some of them spoilt in four ways."""
+    i = F.col("event_id")
+    good = F.to_json(F.struct(F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"), F.array(F.array(F.col("user_id").cast("string"), "event_type", F.lit("x"))).alias("states")))
+    line = F.when(i % 7 == 0, F.expr("substring(good, 1, length(good) - 1)")).when(i % 7 == 1, F.lit('{"states": []}')).when(i % 7 == 2, F.lit('{"time": 1, "states": [1]}')).when(i % 7 == 3, F.lit('{"time": 1, "states": [["a", "b"]]}')).otherwise(F.col("good"))
+    lines = events(spark, d).withColumn("good", good).select("event_id", line.alias("json"))
+    return decode.split_lines(lines, decode.envelope_fault(F.col("json"), least=3))[1].select("event_id", "reason")
+
+
 def envelopes(spark: SparkSession, d: str) -> DataFrame:
     """The state view packed into one JSON envelope for each capture time."""
     place = {f.name: i for i, f in enumerate(decode.STATE_SCHEMA.fields[:-1])}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Observation
@@ -100,14 +99,6 @@ def drift_union(*dfs: DataFrame, schema: T.StructType | None = None) -> DataFram
     return reduce(DataFrame.unionByName, (fitted(df, schema) for df in dfs))
 
 
-def read_drifting(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Files whose schemas differ, as one table: files of equal schema are read together, then united."""
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path in paths:
-        groups[spark.read.parquet(path).schema.json()].append(path)
-    return drift_union(*(spark.read.parquet(*group) for group in groups.values()), schema=schema)
-
-
 def overwrite_day(df: DataFrame, root: str, *, date_col: str = "feature_date") -> None:
     """Replace the days that df holds and leave all others; running it again changes nothing."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(root)
