@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trafficspark.functions import scalars as S
 from trafficspark.operators import aggregates as agg
-from trafficspark.operators import cleaning, derive, features, filters, model, ordered, runlog
+from trafficspark.operators import cleaning, derive, features, filters, model, moving, ordered, runlog
 
 STATE = "icao24 string, latitude double, longitude double, baro_altitude double, velocity double, vertical_rate double, capture_time bigint"
 
@@ -175,7 +175,7 @@ def test_kde_equals_direct_sum(spark):
 
 
 def test_box_stats(spark):
-    row = agg.box_stats(spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]], "v double"), "v").first()
+    row = agg.box_stats(spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]], "v double"), "v", exact=True).first()
     assert (row.q1, row.median, row.q3, row.whisker_high, row.n_outliers) == (2.25, 3.5, 4.75, 5.0, 1)
 
 
@@ -284,3 +284,48 @@ def test_sketches_of_hours_merge_to_days(spark):
     for e, t in rows:
         exact.setdefault(t.replace(hour=0), set()).add(e)
     assert got.keys() == exact.keys() and all(abs(got[d] - len(s)) <= 0.02 * len(s) for d, s in exact.items())
+
+
+def test_quartiles_from_sketches_keep_their_ranks(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=40_000), np.full(20_000, 0.5), rng.exponential(100, 20_000)])
+    df = spark.createDataFrame([(float(v), dt.datetime(2024, 1, 1 + i % 20)) for i, v in enumerate(x)] + [(None, dt.datetime(2024, 1, 1)), (float("nan"), dt.datetime(2024, 1, 2))], "v double, t timestamp_ntz").repartition(5)
+    sketches = agg.value_sketches(df, "v", time="t")
+    assert sketches.agg(F.max(F.length("sketch"))).first()[0] < 40_000  # some 10 bytes for each of k values, whatever the day holds
+    for row, values in ((agg.merged_quartiles(sketches, None).first(), x), (agg.box_stats(df, "v").first(), x), (agg.merged_quartiles(sketches).where("start = date'2024-01-08'").first(), x[np.arange(len(x)) % 20 // 7 == 1])):
+        assert row.n == len(values)
+        for found, share in ((row.q1, 0.25), (row.median, 0.5), (row.q3, 0.75)):
+            low, high = (values < found - 1e-6).mean(), (values <= found + 1e-6).mean()
+            assert low - agg.RANK_ERROR <= share <= high + agg.RANK_ERROR
+    assert agg.box_stats(df.where("v > 1e9 and not isnan(v)"), "v").count() == 0
+
+
+def daily(spark, days=30, keys=1):
+    rng = np.random.default_rng(2)
+    rows = [(k, dt.date(2024, 1, 1) + dt.timedelta(days=d), float(a), float(b), float(1000 + 2 * a - b + d * k + e)) for k in range(keys) for d in range(days) if d != 11 for a, b, e in rng.normal(50, 9, (10, 3))]
+    return spark.createDataFrame([*rows, (0, dt.date(2024, 1, 5), None, 1.0, 2.0)], "k int, feature_date date, a double, b double, y double")
+
+
+def test_moving_fits_equal_full_fits(spark, tmp_path):
+    df, root = daily(spark, keys=2), str(tmp_path / "sums")
+    moving.store_day_sums(df.withColumn("y", F.when(F.col("feature_date") == dt.date(2024, 1, 9), 0.0).otherwise(F.col("y"))), root, ["a", "b"], "y", keys=("k",))
+    moving.store_day_sums(df.where("feature_date = date'2024-01-09'"), root, ["a", "b"], "y", keys=("k",))  # a correction
+    got = {(r.k, r.feature_date, r.term): r.coefficient for r in moving.moving_fits(spark.read.parquet(root), ["a", "b"], keys=("k",)).collect()}
+    pdf = df.toPandas().dropna()
+    assert {(k, d) for k, d, _ in got} == set(zip(pdf.k, pdf.feature_date, strict=True))
+    for k, day in {(k, d) for k, d, _ in got}:
+        own = pdf[(pdf.k == k) & (pdf.feature_date <= day) & (pdf.feature_date > day - dt.timedelta(days=14))]
+        exact = np.linalg.lstsq(np.column_stack([np.ones(len(own)), own.a, own.b]), own.y, rcond=None)[0]
+        assert np.allclose([got[k, day, t] for t in ("intercept", "a", "b")], exact, rtol=1e-9)
+
+
+def test_a_refit_reads_its_days_only(spark, tmp_path):
+    root = str(tmp_path / "sums")
+    moving.store_day_sums(daily(spark), root, ["a", "b"], "y")
+    table = spark.read.parquet(root)
+    assert table.count() == 29
+    plan = moving.added(table.where(F.col("feature_date").between(dt.date(2024, 1, 7), dt.date(2024, 1, 20))), ["a", "b"], ())._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feature_date" in plan
+    assert moving.window_fit(table, dt.date(2024, 1, 20), ["a", "b"]).count() == 3
+    with pytest.raises(ValueError):
+        moving.window_fit(table, dt.date(2025, 1, 20), ["a", "b"])

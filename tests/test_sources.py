@@ -196,7 +196,7 @@ def test_each_line_is_good_or_in_quarantine(spark):
     df = envelopes(spark, *(x for x in lines if x is not None)).unionByName(spark.createDataFrame([(None,)], "json string"))
     good, bad = decode.split_lines(df, decode.envelope_fault(F.col("json")))
     assert good.count() == 4 and decode.decode_states(good).count() == 2
-    assert sorted(r.reason for r in bad.collect()) == sorted(["no JSON", "empty line", "empty line", "no time", "states are no lists", "states are no lists", "no time"])
+    assert sorted(r.reason for r in bad.collect()) == sorted(["no JSON", "empty line", "empty line", "no time", "states are no lists", "a state is no list", "no time"])
     strict = decode.split_lines(df, decode.envelope_fault(F.col("json"), least=17))[1]
     assert strict.where("reason like 'a state of fewer%'").first().raw == lines[8]
     flights = envelopes(spark, [{"icao24": "a"}], [], "{}", "[5]", "[")

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from trafficspark.functions.scalars import hour_start
 
 
+#: Size of quantile sketches, and how far (as a share of all values) the rank of what they give may be off, nearly always.
+SKETCH_K, RANK_ERROR = 800, 0.005
+
+
 def distinct_with_null(column: Column) -> Column:
     """Distinct values, null counted as one more."""
     return (F.count_distinct(column) + F.coalesce(F.max(column.isNull().cast("long")), F.lit(0))).cast("long")
@@ -77,12 +81,30 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     return spine.join(counts, "bin", "left").select("bin", F.round(F.col("low") + step * (F.col("bin") - 1), 6).alias("low"), F.round(F.col("low") + step * F.col("bin"), 6).alias("high"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def box_stats(df: DataFrame, column: str, *, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """q1, median, q3, whisker_low, whisker_high (extreme values within 1.5 times the quartile range), n_outliers, n."""
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+def value_sketches(df: DataFrame, column: str, *, time: str, keys: tuple[str, ...] = (), k: int = SKETCH_K) -> DataFrame:
+    """keys, day, n, sketch: a mergeable quantile sketch of each day's values, of a size that doesn't go with their number. Nulls and NaN are left out."""
+    v = F.col(column).cast("double")
+    return df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, F.to_date(time).alias("day")).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(v, k).alias("sketch"))
+
+
+def merged_quartiles(sketches: DataFrame, unit: str | None = "week", *, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, start, n, q1, median, q3 of each week, month or other unit from the sketches of its days alone; without a unit, of all days."""
+    by = [*keys, *([F.date_trunc(unit, "day").cast("date").alias("start")] if unit else [])]
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")).where("n > 0")
+    q = F.kll_sketch_get_quantile_double("sketch", F.array(*(F.lit(x) for x in (0.25, 0.5, 0.75))))
+    return merged.withColumn("__q", q).select(*keys, *["start"] * bool(unit), "n", *(F.get("__q", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3"))))
+
+
+def box_stats(df: DataFrame, column: str, *, exact: bool = False, k: int = SKETCH_K) -> DataFrame:
+    """q1, median, q3, whisker_low, whisker_high (extreme values within 1.5 times the quartile range), n_outliers, n.
+
+    Quartiles come from a sketch, each within RANK_ERROR of its rank. exact interpolates between the values, of which it
+    holds every distinct one in a task: for small tables. No values give no row.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
     shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile_approx("v", shares, accuracy) if approx else F.percentile("v", shares)
-    quartiles = values.agg(q.alias("q"), F.count(F.lit(1)).alias("n")).where("n > 0")
+    held = values.agg(F.count(F.lit(1)).alias("n"), (F.percentile("v", shares) if exact else F.kll_sketch_agg_double("v", k)).alias("held")).where("n > 0")
+    quartiles = held.select("n", (F.col("held") if exact else F.kll_sketch_get_quantile_double("held", shares)).alias("q"))
     reach = 1.5 * (F.get("q", F.lit(2)) - F.get("q", F.lit(0)))
     inside = F.col("v").between(F.get("q", F.lit(0)) - reach, F.get("q", F.lit(2)) + reach)
     told = values.join(F.broadcast(quartiles)).groupBy("q", "n").agg(F.min(F.when(inside, F.col("v"))).alias("whisker_low"), F.max(F.when(inside, F.col("v"))).alias("whisker_high"), F.sum((~inside).cast("long")).alias("n_outliers"))

@@ -35,11 +35,15 @@ def fit_ridge(df: DataFrame, features: list[str], target: str, alpha: float) ->
     return LinearRegression(featuresCol="features", labelCol=target, solver="normal", elasticNetParam=0.0, standardization=False, regParam=alpha * spread / n).fit(assembled(df, features))
 
 
+def gram_names(k: int) -> list[str]:
+    """Names of the sums behind a fit of k features."""
+    return [f"g{i}_{j}" for i, j in combinations_with_replacement(range(k + 2), 2)]
+
+
 def gram_columns(features: list[str], target: str) -> list:
     """Sums of products of 1, the features and the target: all that a linear fit needs."""
-    names = [None, *features, target]
-    value = lambda c: F.lit(1.0) if c is None else F.col(c).cast("double")
-    return [F.sum(value(a) * value(b)).alias(f"g{i}_{j}") for (i, a), (j, b) in combinations_with_replacement(list(enumerate(names)), 2)]
+    values = [F.lit(1.0), *(F.col(c).cast("double") for c in [*features, target])]
+    return [F.sum(a * b).alias(name) for (a, b), name in zip(combinations_with_replacement(values, 2), gram_names(len(features)), strict=True)]
 
 
 def gram_matrix(row, k: int) -> np.ndarray:
@@ -84,20 +88,25 @@ def select_alpha(df: DataFrame, features: list[str], target: str, *, order: str
     return df.sparkSession.createDataFrame([(float(a), m, i == best) for i, (a, m) in enumerate(zip(alphas, means, strict=True))], "alpha double, mean_r2 double, best boolean")
 
 
-def fit_by_key(df: DataFrame, keys: list[str], features: list[str], target: str, alpha: float = 0.0) -> DataFrame:
-    """keys, term, coefficient: one fit for each key, all in one job; only each key's sums are shuffled."""
-    grams = df.groupBy(*keys).agg(*gram_columns(features, target))
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+def fits_of_sums(sums: DataFrame, keys: list[str], features: list[str], alpha: float = 0.0) -> DataFrame:
+    """keys, term, coefficient of the fit behind each row of sums; rows that sum up nothing have none."""
+    kinds = "".join(f"`{k}` {sums.schema[k].dataType.simpleString()}, " for k in keys)
 
     def fits(batches):
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
-                intercept, coefficients = solve(gram_matrix(row, len(features)), alpha)
-                out += [{**{k: row[k] for k in keys}, "term": t, "coefficient": float(c)} for t, c in zip(["intercept", *features], [intercept, *coefficients], strict=True)]
+                if row["g0_0"] > 0:
+                    intercept, coefficients = solve(gram_matrix(row, len(features)), alpha)
+                    out += [{**{k: row[k] for k in keys}, "term": t, "coefficient": float(c)} for t, c in zip(["intercept", *features], [intercept, *coefficients], strict=True)]
             yield pd.DataFrame(out, columns=[*keys, "term", "coefficient"])
 
-    return grams.mapInPandas(fits, f"{kinds}, term string, coefficient double")
+    return sums.mapInPandas(fits, f"{kinds}term string, coefficient double")
+
+
+def fit_by_key(df: DataFrame, keys: list[str], features: list[str], target: str, alpha: float = 0.0) -> DataFrame:
+    """keys, term, coefficient: one fit for each key, all in one job; only each key's sums are shuffled."""
+    return fits_of_sums(df.groupBy(*keys).agg(*gram_columns(features, target)), keys, features, alpha)
 
 
 def scale_population(train: DataFrame, others: list[DataFrame], columns: list[str]) -> list[DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficspark.operators import aggregates as agg
-from trafficspark.operators import cleaning, derive, features, filters, model, runlog
+from trafficspark.operators import cleaning, derive, features, filters, model, moving, runlog
 from trafficspark.plans.fixtures import CLEAN_SQL, FLIGHTS_SQL, HOURLY_SQL, RUN_STATE_SQL, STATE_SQL, features_sql, flights_view, run_events, state_view, table
 from trafficspark.schema import MODEL_FEATURES
 from trafficspark.sources import decode, files, tables
@@ -245,7 +245,7 @@ def drift_files(spark, d):
 
 
 @query(
-    """select event_id, case event_id % 7 when 0 then 'no JSON' when 1 then 'no time' when 2 then 'states are no lists' when 3 then 'a state of fewer than 3 fields' end as reason from events where event_id % 7 < 4"""
+    """select event_id, case event_id % 7 when 0 then 'no JSON' when 1 then 'no time' when 2 then 'a state is no list' when 3 then 'a state of fewer than 3 fields' end as reason from events where event_id % 7 < 4"""
 )
 def quarantined_lines(spark, d):
     """Envelopes of one event each, some of them spoilt in four ways."""
@@ -324,7 +324,17 @@ select round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
 from v, q group by q1, median, q3, n"""
 )
 def altitude_box(spark, d):
-    return agg.box_stats(clean(spark, d), "baro_altitude")
+    return agg.box_stats(clean(spark, d), "baro_altitude", exact=True)
+
+
+@query(f"with {CLEAN_SQL} select date_trunc('week', make_timestamp(capture_time * 1000000))::date as start, count(*)::bigint as n, true as q1, true as median, true as q3 from clean where baro_altitude is not null group by 1")
+def altitude_quartiles_by_week(spark, d):
+    """Quartiles of each week from its days' sketches, and whether their true ranks are within the stated error."""
+    rows = derived(spark, d)
+    found = agg.merged_quartiles(agg.value_sketches(rows, "baro_altitude", time="capture_datetime"))
+    values = rows.where("baro_altitude is not null").select(F.date_trunc("week", "capture_datetime").cast("date").alias("start"), "baro_altitude")
+    told = values.join(found, "start").groupBy("start", "n")
+    return told.agg(*((F.abs(F.avg((F.col("baro_altitude") <= F.col(c)).cast("int")) - share) <= agg.RANK_ERROR + 1 / F.first("n")).alias(c) for c, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))))
 
 
 @query(
@@ -498,6 +508,33 @@ def ridge_alpha_one_feature(spark, d):
     return model.select_alpha(split(spark, d).where("split = 'train'"), ["lag_1h"], TARGET).withColumn("mean_r2", F.round("mean_r2", 6))
 
 
+MOVING_SQL = f"""with {HOURLY_SQL}, {features_sql()}, d as (select hour_start::date as day, flight_count::double as y, lag_1h::double as a, lag_24h::double as b from features),
+w as (select e.day as feature_date, d.* exclude (day) from d join (select distinct day from d) e on d.day between e.day - 13 and e.day),
+s as (select feature_date, avg(a) as ma, avg(b) as mb, avg(y) as my, var_pop(a) * count(*) as aa, var_pop(b) * count(*) as bb, covar_pop(a, b) * count(*) as ab, covar_pop(a, y) * count(*) as ay, covar_pop(b, y) * count(*) as by_ from w group by 1),
+c as (select *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) as ca, (by_ * aa - ay * ab) / (aa * bb - ab * ab) as cb from s where aa * bb - ab * ab > 1e-9 * aa * bb)
+select feature_date, 'lag_1h' as term, round(ca, 6) as coefficient from c union all select feature_date, 'lag_24h', round(cb, 6) from c union all select feature_date, 'intercept', round(my - ca * ma - cb * mb, 6) from c"""
+
+
+@query(MOVING_SQL)
+def moving_fits(spark, d):
+    """Fits over the 14 days to each day, from a stored table of each day's sums."""
+    root, columns = fresh(spark, "sums"), ["lag_1h", "lag_24h"]
+    moving.store_day_sums(feature_rows(spark, d).withColumn("feature_date", F.to_date("hour_start")), root, columns, TARGET)
+    return moving.moving_fits(spark.read.parquet(root), columns).withColumn("coefficient", F.round("coefficient", 6))
+
+
+@query(f"select * from ({MOVING_SQL}) where feature_date = date '2024-01-10'")
+def window_fit(spark, d):
+    """The fit over the 14 days to one day, after that day and another were written a second time."""
+    root, columns = fresh(spark, "sums"), ["lag_1h", "lag_24h"]
+    rows = feature_rows(spark, d).withColumn("feature_date", F.to_date("hour_start"))
+    wrong = F.col("flight_count") + F.when(F.col("feature_date").isin(DAY, DAY - dt.timedelta(days=1)), 100).otherwise(0)
+    moving.store_day_sums(rows.withColumn("flight_count", wrong), root, columns, TARGET)
+    moving.store_day_sums(rows.where(F.col("feature_date").isin(DAY, DAY - dt.timedelta(days=1))), root, columns, TARGET)
+    fit = moving.window_fit(spark.read.parquet(root), DAY, columns)
+    return fit.select(F.lit(DAY).alias("feature_date"), "term", F.round("coefficient", 6).alias("coefficient"))
+
+
 @query(f"with {HOURLY_SQL}, {features_sql()} select round(regr_slope(flight_count, lag_1h), 6) as slope, round(regr_intercept(flight_count, lag_1h), 6) as intercept from features")
 def ols_univariate(spark, d):
     fit = model.fit_ols(feature_rows(spark, d), ["lag_1h"], TARGET)
