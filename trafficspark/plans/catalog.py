@@ -15,6 +15,7 @@ from trafficspark.plans.fixtures import CLEAN_SQL, FLIGHTS_SQL, HOURLY_SQL, RUN_
 from trafficspark.schema import MODEL_FEATURES
 from trafficspark.sources import decode, files, tables
 from trafficspark.sources.shared import shared_dir
+from trafficspark.streaming import restate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -123,6 +124,25 @@ def features_for_day(spark, d):
     return features.features_for_day(events(spark, d), DAY, entity="user_id", time="ts")
 
 
+def arriving(spark: SparkSession, d: str) -> DataFrame:
+    """A stream of the events in four files: one in seven of the first half's rows comes in the third, long after its hour."""
+    e, root = events(spark, d), fresh(spark, "arriving")
+    half = F.lit("2024-01-15").cast("timestamp_ntz")
+    wave = F.when(F.col("ts") >= half, F.when(F.col("event_id") % 2 == 0, 1).otherwise(3)).when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    columns = e.select("event_type", "user_id", "ts")
+    for k in range(4):
+        e.where(wave == k).select(columns.columns).coalesce(1).write.mode("append").parquet(root)
+    return spark.readStream.schema(columns.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+@query(f"with {HOURLY_SQL} select hour_start, flight_count::bigint as flight_count from hourly")
+def restated_counts(spark, d):
+    """Hourly counts that a stream with late rows leaves behind: those of all rows."""
+    root = fresh(spark, "restated")
+    restate.restated_counts_stream(arriving(spark, d), root, f"{root}/checkpoint", entity="user_id", time="ts").awaitTermination()
+    return restate.read_counts(spark, root)
+
+
 # Cleaning, derived columns and selections
 
 
