@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -62,14 +63,48 @@ def test_one_very_long_word_takes_memory_in_proportion(library):
     assert got == len(ids(library, word)) and peak < 100_000_000
 
 
-def test_budget_questions(spark, library):
+def test_budget_questions(spark):
     df = cases.table(spark)
     for r in token_counts.token_counts(df, tokenizer_path(), prefixes=True, budgets=(7,)).collect():
         assert len(r.prefix_ends) == len(r.prefix_tokens) and (r.prefix_tokens or [0])[-1] == r.n_tokens
+
+
+def longest_by_force(library, text, budget):
+    """Most characters within the budget, of all cuts but those that normal form reaches across."""
+
+    def joins(i):
+        a, b = text[i - 1], text[i]
+        return not text[:i].endswith("<|endoftext|>") and not b.isascii() and (unicodedata.combining(b) or unicodedata.normalize("NFC", a + b) != unicodedata.normalize("NFC", a) + unicodedata.normalize("NFC", b))
+
+    fit = [i for i in range(len(text) + 1) if len(ids(library, text[:i])) <= budget and not (0 < i < len(text) and joins(i))]
+    return max(fit)
+
+
+def test_longest_prefixes_equal_brute_force(library):
     counter = token_counts.counter(tokenizer_path())
-    for t in cases.texts():
-        cut = counter.longest_prefix(t or "", 7)
-        assert len(ids(library, (t or "")[:cut])) <= 7
+    scripts = ["你好世界今天天气很好我们去公园散步", "привет мир длинноесловобезпробелов", "🙂🙃👩‍👩‍👧🎉", "a <|endoftext|> b<|endoftext|>!<|endoftext|>", "e\u0301a\u0308o\u0301\u0323", "สวัสดีชาวโลก", "한국어 각", "İstanbul ΣΑΣ", "it's we'll they've", "x!'re ''ll '", "½ﬁK①", "שלום", "हिन्दी में", "\x1cab cd\x1f ef"]
+    scripts += [cases.prose(5, 12), "thershtionthershtion" * 3, *[t for t in cases.texts() if t and len(t) < 60]]
+    for text in scripts:
+        for budget in range(12):
+            assert counter.longest_prefix(text, budget) == longest_by_force(library, text, budget), (text, budget)
+
+
+def test_longest_prefixes_of_mixed_text(library):
+    import random
+
+    rng = random.Random(8)
+    odd = ["\x1c", "\xa0", "\u3000", " ", "a", "É", "e\u0301", "\u0301", "Σ", "İ", "ß", "你好", "🙂", "<|endoftext|>", "<|", "|>", "'s", "'re", "'", "9", "½", "ﬁ", "ख", "\u093c"]
+    counter = token_counts.counter(tokenizer_path())
+    for _ in range(1500):
+        text, budget = "".join(rng.choices(odd, k=rng.randrange(12))), rng.randrange(8)
+        assert counter.longest_prefix(text, budget) == longest_by_force(library, text, budget), (text, budget)
+
+
+def test_a_long_text_without_spaces_has_its_prefix(spark, library):
+    text = "今天天气很好" * 2000
+    r = token_counts.token_counts(spark.createDataFrame([(1, text), (2, "длинноеслово" * 1250)], "doc_id long, text string"), tokenizer_path(), budgets=(2048,)).collect()
+    for row, t in zip(r, (text, "длинноеслово" * 1250), strict=True):
+        assert len(ids(library, t[: row.chars_2048])) <= 2048 < len(ids(library, t[: row.chars_2048 + 1])) + 1 and row.chars_2048 > 300
 
 
 def test_counts_of_nothing(spark):

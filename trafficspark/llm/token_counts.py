@@ -9,6 +9,7 @@ count at the end of each run between white space; the table answers inside a run
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from trafficspark.llm import wordpieces
 
 END = "</w>"
+BYTE_OF = {c: b for b, c in enumerate(wordpieces.SYMBOL)}
 RUN = re.compile(r"\S+")
 
 
@@ -133,12 +135,28 @@ class PrefixTable:
 
     def prefixes(self, piece: str) -> list[int]:
         """Tokens of each prefix of the piece, by characters, as if the text ended there; the first is 0."""
-        symbols = wordpieces.symbols(piece)
+        ends = accumulate(map(len, piece if piece.isascii() else map(str.encode, piece)))
+        return self.prefixes_at(wordpieces.symbols(piece), list(ends))
+
+    def prefixes_at(self, symbols: str, ends: list[int]) -> list[int]:
+        """Tokens of the prefixes that end at these symbols, after a first 0."""
         tokens, counts = self.fill(symbols, len(symbols) - 1)
-        ends = list(accumulate(map(len, piece if piece.isascii() else map(str.encode, piece))))
         return [0, *(self.last(symbols, i, END, tokens, counts)[1] for i in ends)]
 
 
+def white(c: str) -> bool:
+    """Whether the library takes a character for white space, which it drops."""
+    return c.isspace() and c not in wordpieces.ODD
+
+
+def joined(a: str, b: str) -> bool:
+    """Whether the normal form of a text may not be cut between two of its characters: they make one, or one space."""
+    if white(a) and white(b):
+        return True
+    nfc = unicodedata.normalize
+    return not b.isascii() and (unicodedata.combining(b) > 0 or nfc("NFC", a + b) != nfc("NFC", a) + nfc("NFC", b))
+
+
 class Counter:
     """Counts for whole texts and their prefixes, by the runs between white space and the pieces of each."""
 
@@ -189,21 +207,68 @@ class Counter:
         return (counts[k - 1] if k else 0) + sum(self.of_runs(wordpieces.runs(text[ends[k - 1] if k else 0 : cut])))
 
     def longest_prefix(self, text: str, budget: int, running: tuple[list[int], list[int]] | None = None) -> int:
-        """Most characters of the text, up to the end of a piece (of a run, if that isn't plain), that take `budget` tokens at most."""
+        """Most characters of the text that take `budget` tokens at most, as if the text ended there, never between
+        characters that normal form may join. Read from the stored counts up to the run that is cut, then from the table."""
         ends, counts = running or self.running(text)
         k = bisect_right(counts, budget)
         if k == len(counts):
             return len(text)
-        at, so_far = (ends[k - 1], counts[k - 1]) if k else (0, 0)
+        at, left = (ends[k - 1], budget - counts[k - 1]) if k else (0, budget)
         run = text[at : ends[k]]
-        if wordpieces.is_plain(run.lstrip(" \t\n\v\f\r")):
-            low = run.lower()
-            places = list(wordpieces.PIECE.finditer(low))
-            inside = list(accumulate(self.pieces.of([m.group() for m in places])))
-            if more := bisect_right(inside, budget - so_far):
-                at += places[more - 1].end()
+        at += self.cut_run(run, left)
+        end = at
+        while end < len(text) and white(text[end]):  # takes no token
+            end += 1
+        return end - 1 if at < end < len(text) and joined(text[end - 1], text[end]) else end
+
+    def cut_run(self, run: str, left: int) -> int:
+        """Most characters of a run (with what white space is in it) that take `left` tokens at most, where all of it takes more."""
+        special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
+        at = 0
+        for m in [*special.finditer(run), None]:
+            part = run[at : m.start() if m else len(run)]
+            taken, cut = self.cut_part(part, left)
+            left, at = left - taken, at + cut
+            if cut < len(part) or m is None:
+                return at
+            if not left:
+                # Cut inside, a special string is ordinary text, which may join what stands before it.
+                most = self.of_prefix(run, at)
+                return next((c for c in range(m.end() - 1, at, -1) if self.of_prefix(run, c) <= most), at)
+            left, at = left - 1, m.end()
         return at
 
+    def cut_part(self, part: str, left: int) -> tuple[int, int]:
+        """Tokens and characters of the longest prefix of ordinary text within `left` tokens."""
+        normal = self.tokenizer.normalizer.normalize_str
+        known = dict(zip(*self.joints(part, normal), strict=True))  # place in normal form to place in the text
+        taken, best = 0, 0
+        for piece, (begin, end) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal(part)):
+            inside = self.inside(piece)
+            # Byte-level pieces have a symbol a byte; joints tell which of them end a character of the text.
+            for place, count in zip(range(begin, end + 1), inside, strict=True):
+                if taken + count <= left and known.get(place, -1) >= best:
+                    best = known[place]
+            if taken + inside[-1] > left:
+                return taken, best
+            taken += inside[-1]
+        return taken, len(part)
+
+    def joints(self, part: str, normal) -> tuple[list[int], list[int]]:
+        """Places of a text's normal form, and of the text, where the two can be cut alike."""
+        cuts = [i for i in range(1, len(part)) if not joined(part[i - 1], part[i])]
+        cuts = [0, *cuts, len(part)] if part else [0]
+        sizes = [len(normal(part[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return list(accumulate(sizes, initial=0)), cuts
+
+    def inside(self, symbols: str) -> list[int]:
+        """Tokens of each prefix of a piece in normal form, by characters, as if the text ended there."""
+        text = bytes(map(BYTE_OF.__getitem__, symbols)).decode()
+        found = self.table.prefixes_at(symbols, list(accumulate(len(c.encode()) for c in text)))
+        if len(text) == 3 and text[0] == "'" and text[1:].isalpha():  # without its last letter a contraction is a quote and a letter
+            found[2] = found[1] + self.table.count(text[1])
+        return found
+
 
 _counters: dict[str, Counter] = {}
 
@@ -218,8 +283,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     """Tokens of every whole text: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     `prefixes` adds prefix_ends and prefix_tokens (arrays: the end of each run between white space in characters,
-    tokens up to there); each of `budgets` adds chars_<budget>, the length of the longest prefix (to a piece's end)
-    within that many tokens. A null text counts as empty: 0 bytes and tokens. Very long texts and words take memory
+    tokens up to there); each of `budgets` adds chars_<budget>, the length of the longest prefix
+    within that many tokens, in any script. All are read from the running counts of a text. A null text counts as empty: 0 bytes and tokens. Very long texts and words take memory
     in proportion to their length. Repeated rows are counted each; null ids stay null; other columns are ignored.
     An empty table gives an empty result. No shuffle: one pass over the texts.
     """
@@ -230,7 +295,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
         c = counter(tokenizer_path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            totals = [c.total(t) for t in texts]
+            counts = [list(accumulate(c.runs.of(wordpieces.runs(t)))) for t in texts]
+            totals = [k[-1] if k else 0 for k in counts]
             columns = [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(totals, pa.int64()), pa.array([n > limit for n in totals], pa.bool_())]
             if prefixes:
                 kept = [c.running(t) for t in texts]
