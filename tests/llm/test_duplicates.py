@@ -223,3 +223,25 @@ def test_lines_of_awkward_documents(spark, sf_dir):
     assert line_dedup.dedup_lines(cases.table(spark)).count() == len(cases.rows())
     assert line_dedup.dedup_lines(cases.empty(spark)).count() == 0
     compare(queries.op4_line_dedup(spark, sf_dir), queries.ORACLE_SQL["op4_line_dedup"], sf_dir)
+
+
+def test_one_document_of_very_many_lines(spark):
+    rng = random.Random(6)
+    distinct = ["".join(rng.choices("abcdefgh", k=40)) for _ in range(4_000)]
+    lines = [distinct[rng.randrange(4_000)] if i % 3 else distinct[i % 20_000][:-1] + "z" for i in range(12_000)]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (1, "\n".join(lines[:10])), (2, None)], "doc_id long, text string")
+    got = sorted(line_dedup.dedup_lines(df).collect(), key=lambda r: r.n_lines)
+    seen, kept = {}, []
+    for line in lines:
+        alike = {line[:-1]}  # lines of one length that differ in the last place only
+        if not alike & seen.keys():
+            kept.append(line)
+        seen[line[:-1]] = True
+    assert [r.n_lines for r in got] == [0, 10, 12_000] and got[2].text == "\n".join(kept) and got[2].n_removed == 12_000 - len(kept)
+
+
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    line, other = "a line of some length, long enough", "quite another line, and long enough too"
+    df = spark.createDataFrame([(0, line), (5, f"{line}\n{other}"), (5, f"{other}\n{line}"), (5, f"{other}\n{line}")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect())
+    assert got == [(0, line), (5, ""), (5, other), (5, other)]  # of the first row, a line stands earlier in the others

@@ -117,15 +117,18 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     their lines at the same places, so none of them removes the other's line of the same number. Null ids
     come first. An empty table gives an empty result; other columns are ignored.
     """
-    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = whole.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length("line") >= min_chars)
+    # Rows are told apart by id and text; rows alike in both lose the same lines.
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
+    lines = whole.select("doc_id", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.length("line") >= min_chars)
     found = common.stored(removals(lines), "removals")
     h1, h2 = pair_hash(F.col("line"))
-    placed = lines.select("doc_id", "line_no", h1.alias("h1"), h2.alias("h2"), F.xxhash64("line_no", "line").alias("mark"))
+    placed = lines.select("doc_id", "mark", "line_no", h1.alias("h1"), h2.alias("h2"))
     gone = placed.join(found, ["h1", "h2"]).where(F.col("near").isNotNull() | (F.struct("doc_id", "line_no") != F.col("first")))
-    by_doc = gone.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("mark").alias("marks"))
-    joined = whole.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    by_doc = gone.groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_set("line_no").alias("gone"))
+    joined = whole.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
     all_lines = F.split("text", "\n")
-    kept = F.when(F.col("marks").isNull(), all_lines).otherwise(F.filter(all_lines, lambda x, i: (F.length(x) < min_chars) | ~F.array_contains("marks", F.xxhash64(i, x))))
+    # A set difference of line numbers keeps their order and takes time in proportion to the lines.
+    stays = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "gone")
+    kept = F.when(F.col("gone").isNull(), all_lines).otherwise(F.transform(stays, lambda i: F.get(all_lines, i)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines))
     return joined.select("doc_id", n_lines.cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(n_lines - F.size(kept)).cast("long").alias("n_removed"), F.array_join(kept, "\n").alias("text"))
