@@ -125,6 +125,25 @@ def test_files_round_trip(spark, tmp_path, library, planes, block):
     assert sorted(map(tuple, (r.ids for r in got))) == sorted(tuple([*ids(library, r.text), 1]) for r in df.collect())
 
 
+def test_files_do_not_hang_on_the_layout(spark):
+    rows = [(7, f"text number {i % 30}", i) for i in range(40)] + [(None, f"none {i}", i) for i in range(20)] + [(3, None, 0), (9, "x", 0)]
+    found = []
+    for parts, shards in ((1, 5), (7, 5), (4, 2), (3, None)):
+        df = spark.createDataFrame(rows, "doc_id long, text string, mark int").orderBy("mark").repartition(parts)
+        got = token_binary.token_binary(df, tokenizer_path(), shards=shards).collect()
+        found.append(sorted(((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=repr))
+    assert all(f == found[0] for f in found) and len(found[0]) == 62
+
+
+def test_rows_of_one_id_spread_over_shards(spark, tmp_path):
+    df = spark.range(4000).selectExpr("1L as doc_id", "concat('text ', id, ' of the one id') as text")
+    token_binary.write_tokens(df, str(tmp_path / "t"), tokenizer_path(), shards=4)
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("shard").count().count() == 4
+    token_binary.write_tokens(df, str(tmp_path / "u"), tokenizer_path(), shard_bytes=20_000)
+    assert spark.read.parquet(str(tmp_path / "u")).select("shard").distinct().count() == 5
+    assert token_binary.read_tokens(spark, str(tmp_path / "u")).count() == 4000
+
+
 def test_files_of_nothing(spark):
     assert token_binary.token_binary(cases.empty(spark), tokenizer_path()).count() == 0
 

@@ -96,15 +96,17 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, planes: str = "byte", block: int = 1 << 16, shards: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, planes: str = "byte", block: int = 1 << 16, shards: int | None = None, shard_bytes: int = 1 << 25) -> None:
     """Encode every whole text (null: empty), append end_id and write the dataset in ascending order of id.
 
-    Very long texts run on through as many chunks as they need. One range shuffle by id; within it repeated ids keep their own entries and null ids come first. An empty
-    table writes a dataset without chunks. Other columns are ignored.
+    Null ids come first. Rows that share an id, or have none, each keep an entry of their own, in the order of a hash of
+    their texts, so that the files are the same however the table lies; rows alike in both are interchangeable, and many
+    rows of one id spread over shards. Very long texts run on through as many chunks as they need. One range shuffle by
+    id and hash, into a shard for each `shard_bytes` of text unless `shards` says how many. An empty table writes a
+    dataset without chunks. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    data = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(common.binary_large(F.col(text_col))).alias("mark"))
+    n = shards or 1 + (docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0) // shard_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -139,7 +141,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str
             yield row(np.frombuffer(b"".join(held), "<u4"))
 
     kind = data.schema["doc_id"].dataType.simpleString()
-    ordered = data.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    ordered = data.repartitionByRange(n, "doc_id", "mark").sortWithinPartitions("doc_id", "mark").select("doc_id", "text")
     ordered.mapInArrow(run, CHUNK.format(id=kind)).write.option("compression", "none").parquet(path)
 
 
