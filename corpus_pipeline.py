@@ -15,14 +15,18 @@ from trafficspark.llm.queries import table, tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: null texts, texts without letters and, where no language was learned, all go.
+    """Documents whose language can be told, with the predicted language where `lang` is null.
 
-    Rows travel whole, so columns may have any names; repeated rows and null ids stay as they are; of an empty table
-    nothing is left. Very long texts are read whole.
+    Null texts, texts without letters and, where no language was learned, all documents go. A `lang` that is given
+    stays, whatever is predicted: what a source states is not overruled by a guess. Rows travel whole, so columns may
+    have any names; repeated rows and null ids stay as they are; of an empty table nothing is left. Very long texts are
+    read whole.
     """
     model = language_id.fit(docs)
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    return language_id.predict(rows, model, keep=("row",)).where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    told = language_id.predict(rows, model, keep=("row",)).where(F.col("lang_pred") != language_id.UNKNOWN)
+    lang = F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang")
+    return told.select(*(lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
