@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trafficspark.schema import STATE_SCHEMA
-from trafficspark.sources import decode, files, tables
+from trafficspark.sources import decode, files, manifest, tables
 
 FULL = ["abc123", "TEST123", "India", 1234567890, 1234567890, 72.8, 19.0, 1000, False, 100, 90, 0, [1, 2], 1050, "1234", False, 0]
 
@@ -94,13 +94,60 @@ def test_overwriting_a_day_leaves_others(spark, tmp_path):
     assert sorted(r.x for r in spark.read.parquet(root).collect()) == [1, 9]
 
 
-def test_compaction(spark, tmp_path):
+DAY_ONE = dt.date(1970, 1, 1)
+
+
+def test_compaction_by_a_published_list(spark, tmp_path):
+    root, folder = str(tmp_path / "raw"), tmp_path / "raw/year=1970/month=1/day=1"
+    for i in range(5):
+        tables.write_raw(states(spark, i, i + 100), root)
+    seen = lambda: sorted(r.capture_time for r in tables.read_compacted(spark, root, DAY_ONE, DAY_ONE).collect())
+    want = sorted([*range(5), *range(100, 105)])
+    assert seen() == want
+    before = set(folder.glob("*.parquet"))
+    assert tables.compact_day(spark, root, DAY_ONE) == 1
+    assert set(folder.glob("*.parquet")) == before and seen() == want  # old readers still have their files
+    assert tables.read_days(spark, root, DAY_ONE, DAY_ONE).count() == 10
+    assert tables.read_compacted(spark, root, DAY_ONE, DAY_ONE).columns == ["icao24", "capture_time", "year", "month", "day"]
+    tables.write_raw(states(spark, 7), root)  # comes after the list
+    assert seen() == sorted([*want, 7])
+    assert tables.compact_day(spark, root, DAY_ONE) == 1 and seen() == sorted([*want, 7])
+    assert manifest.vacuum(spark, str(folder)) >= 11 and seen() == sorted([*want, 7])
+    assert tables.compact_day(spark, root, DAY_ONE) == 1 and not list(folder.glob("*.parquet"))
+
+
+def test_packing_that_goes_wrong_publishes_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "raw")
     for i in range(3):
         tables.write_raw(states(spark, i), root)
-    assert tables.compact_day(spark, root, dt.date(1970, 1, 1)) == 3
-    assert len(list((tmp_path / "raw/year=1970/month=1/day=1").glob("*.parquet"))) == 1
-    assert tables.read_days(spark, root, dt.date(1970, 1, 1), dt.date(1970, 1, 1)).count() == 3
+    sums = iter([(3, 1), (3, 2)])
+    monkeypatch.setattr(manifest, "checksum", lambda df: next(sums))
+    with pytest.raises(ValueError, match="differ"):
+        tables.compact_day(spark, root, DAY_ONE)
+    assert manifest.current(spark, tables.day_folder(root, DAY_ONE)).version == 0
+    assert tables.read_compacted(spark, root, DAY_ONE, DAY_ONE).count() == 3
+
+
+def test_files_added_while_packing_stay(spark, tmp_path, monkeypatch):
+    root, whole = str(tmp_path / "raw"), manifest.publish
+    for i in range(3):
+        tables.write_raw(states(spark, i), root)
+
+    def late(*args):
+        tables.write_raw(states(spark, 50), root)
+        whole(*args)
+
+    monkeypatch.setattr(manifest, "publish", late)
+    tables.compact_day(spark, root, DAY_ONE)
+    assert sorted(r.capture_time for r in tables.read_compacted(spark, root, DAY_ONE, DAY_ONE).collect()) == [0, 1, 2, 50]
+
+
+def test_bins_keep_to_their_size():
+    sizes = {f"f{i}": (i * 37) % 90 + 1 for i in range(200)}
+    groups = manifest.bins(sizes, 100)
+    assert sorted(p for g in groups for p in g) == sorted(sizes) and all(sum(sizes[p] for p in g) <= 100 for g in groups)
+    assert len(groups) <= 1.25 * sum(sizes.values()) / 100 + 1
+    assert manifest.bins({"a": 500}, 100) == [["a"]] and manifest.bins({}, 100) == []
 
 
 def test_rolling_window(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficspark.functions.scalars import from_epoch, partition_columns
+from trafficspark.sources import manifest
 
 DATE_COLUMNS = ("year", "month", "day")
 
@@ -104,23 +105,23 @@ def overwrite_day(df: DataFrame, root: str, *, date_col: str = "feature_date") -
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(root)
 
 
-def compact_day(spark: SparkSession, root: str, day: dt.date, files: int = 1) -> int:
-    """Rewrite one day's many small files as a few; returns its rows.
+def day_folder(root: str, day: dt.date) -> str:
+    return f"{root.rstrip('/')}/year={day.year}/month={day.month}/day={day.day}"
 
-    The new files are written beside the day and then take its place by renaming, so no reader sees half of it.
+
+def compact_day(spark: SparkSession, root: str, day: dt.date, *, target: int = 128 << 20) -> int:
+    """Pack one day's small files into files of about `target` bytes; returns how many files make up the day then.
+
+    The day is there for readers throughout: those of `read_compacted` see the new files from the moment they are
+    published, those of the folder the old ones until `manifest.vacuum`.
     """
-    path = f"{root.rstrip('/')}/year={day.year}/month={day.month}/day={day.day}"
-    before = spark.read.parquet(path)
-    rows = before.count()
-    fresh, old = (f"{root.rstrip('/')}/_{name}_{day:%Y%m%d}" for name in ("compacting", "replaced"))
-    before.coalesce(files).write.mode("overwrite").parquet(fresh)
-    here, new, gone = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old))
-    store = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.delete(gone, True)
-    if not (store.rename(here, gone) and store.rename(new, here)):
-        raise OSError(f"{path} could not be replaced by {fresh}; its files may be in {old}")
-    store.delete(gone, True)
-    return rows
+    return len(manifest.pack(spark, day_folder(root, day), target=target).files)
+
+
+def read_compacted(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows of all days from start to end, both included, as their published lists have them; absent days are skipped."""
+    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    return manifest.read_published(spark, [day_folder(root, d) for d in days], basePath=root)
 
 
 def write_sample(df: DataFrame, path: str, rows: int = 20) -> None:
