@@ -191,6 +191,73 @@ def test_run_events_are_appended_and_folded(spark, tmp_path):
     assert runlog.run_by_id(state, 1).count() == runlog.runs_by_status(state, "success").count() == 1
 
 
+def test_runs_are_created_and_updated(spark, tmp_path):
+    root, at = str(tmp_path / "log"), dt.datetime(2024, 1, 1)
+    assert runlog.logged_state(spark, root).count() == 0
+    first, second = (runlog.create_run(spark, root, at, at + dt.timedelta(hours=1)) for _ in range(2))
+    assert first != second and (second >> runlog.ID_BITS) >= (first >> runlog.ID_BITS)
+    runlog.update_run(spark, root, first, status="failed", error_message="[API_ERROR] x")
+    runlog.update_run(spark, root, first, status="success", record_count=9)
+    told = {r.run_id: r for r in runlog.logged_state(spark, root).collect()}
+    assert (told[first].status, told[first].record_count, told[first].error_message, told[first].window_start) == ("success", 9, "[API_ERROR] x", at)
+    assert (told[second].status, told[second].record_count) == ("pending", 0)
+    with pytest.raises(ValueError, match="colour"):
+        runlog.update_run(spark, root, first, colour="red")
+
+
+def test_run_ids_of_many_rows(spark):
+    ids = [r.run_id for r in runlog.with_run_ids(spark.range(20_000).repartition(5)).collect()]
+    assert len(set(ids)) == 20_000 and min(ids) > 0 and len({i >> runlog.ID_BITS for i in ids}) == 1
+
+
+def test_snapshots_equal_all_events_in_any_order(spark, tmp_path, monkeypatch):
+    import random
+
+    from trafficspark.sources import manifest
+
+    rng, root, base = random.Random(1), str(tmp_path / "log"), dt.datetime(2024, 1, 1)
+    every = [(rng.randrange(20), seq, *(rng.choice([None, v]) for v in (base + dt.timedelta(hours=seq), base, base, f"p{seq}", seq, f"s{seq}", f"e{seq}"))) for seq in range(300)]
+    rng.shuffle(every)
+    parts, publish = [every[i::6] for i in range(6)], manifest.publish
+
+    def add(part):
+        runlog.append_run_events(spark.createDataFrame(part, runlog.EVENT).coalesce(1), root)
+
+    def busy(*args):  # another writer adds events, and another snapshot is made, while this one is
+        monkeypatch.setattr(manifest, "publish", publish)
+        add(parts[3])
+        runlog.snapshot_log(spark, root)
+        publish(*args)
+
+    for i in (0, 1):
+        add(parts[i])
+    assert runlog.snapshot_log(spark, root) == 2 and runlog.snapshot_log(spark, root) == 0
+    add(parts[2])
+    monkeypatch.setattr(manifest, "publish", busy)
+    runlog.snapshot_log(spark, root)
+    for i in (4, 5):
+        add(parts[i])
+    whole = runlog.run_state(spark.createDataFrame(every, runlog.EVENT))
+    seen = lambda: sorted(map(str, runlog.logged_state(spark, root).select(whole.columns).collect()))
+    assert seen() == sorted(map(str, whole.collect()))
+    runlog.snapshot_log(spark, root)
+    manifest.vacuum(spark, root)
+    assert seen() == sorted(map(str, whole.collect())) and not list((tmp_path / "log").glob("*.parquet"))
+
+
+def test_cleaning_is_counted_in_the_job_that_writes(spark, sf_dir, tmp_path):
+    from trafficspark.plans.fixtures import state_view
+
+    cleaned, counted = cleaning.clean_counted(state_view(spark, sf_dir))
+    spark.sparkContext.setJobGroup("counted cleaning", "")
+    cleaned.write.parquet(str(tmp_path / "clean"))
+    got = sorted(map(str, cleaning.counted_audit(spark, counted).collect()))
+    assert got == sorted(map(str, cleaning.clean_audit(state_view(spark, sf_dir)).collect()))
+    nothing, counted = cleaning.clean_counted(state_view(spark, sf_dir).where("icao24 = 'nobody'"))
+    nothing.write.format("noop").mode("overwrite").save()
+    assert {r.removed for r in cleaning.counted_audit(spark, counted).collect()} == {0}
+
+
 def test_models_and_training_runs_are_kept(spark, tmp_path):
     from pyspark.ml import PipelineModel
 

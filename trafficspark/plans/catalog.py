@@ -167,6 +167,14 @@ def clean_audit(spark, d):
     return cleaning.clean_audit(state_view(spark, d))
 
 
+@query(ORACLE_SQL["clean_audit"])
+def counted_cleaning(spark, d):
+    """The audit of a cleaned table, from the counts that writing it took along."""
+    cleaned, counted = cleaning.clean_counted(state_view(spark, d))
+    cleaned.write.parquet(fresh(spark, "clean"))
+    return cleaning.counted_audit(spark, counted)
+
+
 @query(
     f"""with {CLEAN_SQL} select *, make_timestamp(capture_time * 1000000) as capture_datetime,
   hour(make_timestamp(capture_time * 1000000))::int as hour, minute(make_timestamp(capture_time * 1000000))::int as minute,
@@ -393,6 +401,18 @@ def run_state(spark, d):
     return runlog.run_state(run_events(spark, d))
 
 
+@query(f"with {RUN_STATE_SQL} select *, null::varchar as path from state")
+def logged_runs(spark, d):
+    """The same state from a log with a snapshot and a tail, where one event in three comes late, after events that follow it."""
+    root, e = fresh(spark, "log"), run_events(spark, d)
+    whole = e.select("run_id", "seq", "created_at", "window_start", "window_end", F.lit(None).cast("string").alias("path"), "record_count", "status", "error_message")
+    for rest in (1, 2, 0):
+        runlog.append_run_events(whole.where(F.col("seq") % 3 == rest), root)
+        if rest:
+            runlog.snapshot_log(spark, root)
+    return runlog.logged_state(spark, root)
+
+
 @query(f"with {RUN_STATE_SQL} select * from state order by created_at desc, run_id desc limit 10")
 def latest_runs(spark, d):
     return runlog.latest_runs(runlog.run_state(run_events(spark, d)))
