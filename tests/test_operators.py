@@ -1,4 +1,5 @@
 import datetime as dt
+import warnings
 
 import numpy as np
 import pytest
@@ -165,6 +166,24 @@ def test_box_edges_are_inclusive(spark):
     assert filters.query_states(df, entities="A", time=1).count() == 1
 
 
+def test_long_intervals_of_flights_are_warned_of(spark):
+    df = spark.createDataFrame([("a", 0, 10)], "icao24 string, firstSeen long, lastSeen long")
+    with pytest.warns(UserWarning, match="7201 seconds"):
+        assert filters.query_flights(df, 0, 7201).count() == 1
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert filters.query_flights(df, 0, 7200).count() == 1
+    with pytest.raises(ValueError):
+        filters.query_flights(df, 1, 0)
+
+
+def test_models_are_compared_on_stored_rows(spark, sf_dir):
+    from trafficspark.plans import catalog
+
+    rows = catalog.split(spark, sf_dir)
+    assert not any("events" in f for f in rows.inputFiles())  # no fit goes back to the events
+
+
 def test_kde_equals_direct_sum(spark):
     x = np.random.default_rng(3).normal(size=400)
     rows = agg.kde(spark.createDataFrame([(float(v),) for v in x], "v double"), "v", 50).orderBy("i").collect()

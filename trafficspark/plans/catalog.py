@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,6 +80,15 @@ def daily_counts_approx(spark, d):
     return agg.merged_counts(agg.hourly_sketches(events(spark, d), entity="user_id", time="ts"))
 
 
+@query("select date_trunc('day', ts)::timestamp as start, count(distinct user_id)::bigint as flight_count, true as near from events group by 1")
+def daily_counts_near(spark, d):
+    """Exact distinct entities of each day, and whether the hours' sketches come within 3 percent of them."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    exact = events(spark, d).groupBy(day.alias("start")).agg(agg.distinct_with_null(F.col("user_id")).alias("flight_count"))
+    told = daily_counts_approx(spark, d).withColumnRenamed("flight_count", "estimate")
+    return exact.join(told, "start").select("start", "flight_count", (F.abs(F.col("estimate") - F.col("flight_count")) <= 0.03 * F.col("flight_count")).alias("near"))
+
+
 @query(
     """select event_type, date_trunc('hour', ts)::timestamp as hour_start, count(distinct user_id)::bigint as flight_count from events group by 1, 2"""
 )
@@ -243,6 +253,40 @@ def read_range(spark, d):
     return tables.read_days(spark, root, dt.date(2024, 1, 8), DAY)
 
 
+@query(f"with {STATE_SQL} select *, {PARTS} from state_view where make_timestamp(capture_time * 1000000)::date between date '2024-01-08' and date '2024-01-10'")
+def compacted_days(spark, d):
+    """The same days after each was packed, one of them in between two appends."""
+    root, days = fresh(spark, "raw"), [DAY - dt.timedelta(days=k) for k in (2, 1, 0)]
+    rows = state_view(spark, d)
+    for part in (0, 1):
+        tables.write_raw(rows.where(F.pmod(F.xxhash64("capture_time"), F.lit(2)) == part), root)
+        for day in days[part:]:
+            tables.compact_day(spark, root, day)
+    return tables.read_compacted(spark, root, days[0], DAY)
+
+
+@query(f"with {CLEAN_SQL} select *, make_timestamp(capture_time * 1000000)::date as feature_date from clean")
+def cleaned_days(spark, d):
+    """Cleaned days as they are kept, one of them written a second time."""
+    root = fresh(spark, "cleaned")
+    rows = derived(spark, d).withColumn("feature_date", F.to_date("capture_datetime")).select(*clean(spark, d).columns, "feature_date")
+    tables.overwrite_day(rows, root)
+    tables.overwrite_day(rows.where(F.col("feature_date") == DAY), root)
+    return spark.read.parquet(root)
+
+
+@query("select event_id, value from events")
+def quarantined_files(spark, d):
+    """Rows of the good files of a folder that holds a file of another kind too."""
+    root, e = fresh(spark, "mixed"), events(spark, d)
+    e.select("event_id", "value").write.parquet(root)
+    e.select("event_type").limit(5).coalesce(1).write.mode("append").text(root)
+    good, bad = files.read_quarantined(spark, root, pattern="part-*")
+    if bad.count() != 1:
+        raise ValueError("one file is no Parquet")
+    return good
+
+
 @query(f"with {HOURLY_SQL}, {features_sql()} select *, hour_start::date as feature_date from features where hour_start::date between date '2023-12-28' and date '2024-01-10'")
 def rolling_window(spark, d):
     root = fresh(spark, "features")
@@ -298,6 +342,15 @@ def decode_states(spark, d):
     return decode.decode_states(envelopes(spark, d)).select("icao24", "callsign", "longitude", "latitude", "baro_altitude", "velocity", "vertical_rate", "capture_time")
 
 
+@query("select user_id::varchar as icao24, floor(epoch(ts))::bigint as capture_time from events where event_id % 3 = 0")
+def decode_sparse_states(spark, d):
+    """Envelopes of one event each, of which two in three hold no states: an empty list, or none."""
+    i, at = F.col("event_id"), F.unix_seconds(F.col("ts").cast("timestamp"))
+    states = F.when(i % 3 == 0, F.array(F.array(F.col("user_id").cast("string")))).when(i % 3 == 1, F.array().cast("array<array<string>>"))
+    lines = events(spark, d).select(F.to_json(F.struct(at.alias("time"), states.alias("states"))).alias("json"))
+    return decode.decode_states(lines).select("icao24", "capture_time")
+
+
 @query(f'with {FLIGHTS_SQL} select icao24, "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport" from flights')
 def decode_flights(spark, d):
     rows = flights_view(spark, d)
@@ -491,15 +544,40 @@ def fitted(spark: SparkSession, d: str) -> tuple[DataFrame, object]:
     return fit.transform(model.assembled(rows, MODEL_FEATURES)).drop("features"), fit
 
 
-@query()
-def ols_fit(spark, d):
-    return model.coefficient_table(fitted(spark, d)[1], MODEL_FEATURES, spark)
-
-
 # Fits that SQL can follow: two features by the sums behind the normal equations, one feature by key and by fold.
 TRAIN_SQL = f"with {HOURLY_SQL}, {features_sql()}, n as (select row_number() over (order by hour_start) as i, count(*) over () as n, * from features), train as (select lag_1h::double as a, lag_24h::double as b, flight_count::double as y, hour_start from n where i <= floor(n * (1 - 0.1e0)))"
 
 
+def solved_sql(rows: str, key: str, features: list[str], alpha: float = 0.0) -> str:
+    """CTEs from `rows` on, whose last, `fit` (key, term, coefficient), is the fit of flight_count for each key: the normal
+    equations of centred sums, solved by elimination, a CTE a column."""
+    k, names = len(features), [*features, TARGET]
+    sums = [f"covar_pop({names[i]}::double, {names[j]}::double) * count(*){f' + {alpha}::double' if i == j else ''} as c{i}_{j}" for i in range(k) for j in range(k + 1)]
+    steps = [f"sums as (select {key} as key, {', '.join(f'avg({c})::double as m{i}' for i, c in enumerate(names))}, {', '.join(sums)} from {rows} group by 1)"]
+    steps.append("e0 as (" + " union all ".join(f"select key, {i} as i, {j} as j, c{i}_{j} as v from sums" for i in range(k) for j in range(k + 1)) + ")")
+    for p in range(k):
+        steps.append(
+            f"""e{p + 1} as (select t.key, t.i, t.j, case when t.i = {p} then t.v / p.v else t.v - c.v * r.v / p.v end as v from e{p} t
+  join e{p} p on p.key = t.key and p.i = {p} and p.j = {p} join e{p} c on c.key = t.key and c.i = t.i and c.j = {p} join e{p} r on r.key = t.key and r.i = {p} and r.j = t.j)"""
+        )
+    terms = " ".join(f"when {i} then '{c}'" for i, c in enumerate(features))
+    means = " ".join(f"when {i} then m{i}" for i in range(k))
+    steps.append(f"solution as (select key, i, v from e{k} where j = {k})")
+    steps.append(
+        f"""fit as (select key, case i {terms} end as term, round(v, 6) as coefficient from solution
+  union all select s.key, 'intercept', round(max(m{k}) - sum(v * case i {means} end), 6) from sums s join solution using (key) group by s.key)"""
+    )
+    return ", ".join(steps)
+
+
+SIX_SQL = f"with {HOURLY_SQL}, {features_sql()}, n as (select row_number() over (order by hour_start) as i, count(*) over () as n, * from features), train as (select * exclude (i, n) from n where i <= floor(n * (1 - 0.1e0)))"
+
+
+@query(f"{SIX_SQL}, {solved_sql('train', '0', MODEL_FEATURES)} select term, coefficient from fit")
+def ols_fit(spark, d):
+    return model.coefficient_table(fitted(spark, d)[1], MODEL_FEATURES, spark).withColumn("coefficient", F.round("coefficient", 6))
+
+
 def two_features_sql(alpha: float) -> str:
     return f"""{TRAIN_SQL}, s as (select avg(a) as ma, avg(b) as mb, avg(y) as my, var_pop(a) * count(*) + {alpha}::double as aa, var_pop(b) * count(*) + {alpha}::double as bb,
   covar_pop(a, b) * count(*) as ab, covar_pop(a, y) * count(*) as ay, covar_pop(b, y) * count(*) as by_ from train),
@@ -575,16 +653,24 @@ def window_fit(spark, d):
     return fit.select(F.lit(DAY).alias("feature_date"), "term", F.round("coefficient", 6).alias("coefficient"))
 
 
+@query(f"with {HOURLY_SQL}, {features_sql()}, c as (select regr_slope(flight_count, lag_1h) as b, regr_intercept(flight_count, lag_1h) as a from features) select hour_start, round(a + b * lag_1h, 6) as prediction from features, c")
+def loaded_model(spark, d):
+    """Predictions of a model that was saved and loaded again."""
+    rows, path = feature_rows(spark, d), fresh(spark, "model")
+    model.save_model(model.fit_ols(rows, ["lag_1h"], TARGET), ["lag_1h"], path)
+    return PipelineModel.load(path).transform(rows).select("hour_start", F.round("prediction", 6).alias("prediction"))
+
+
 @query(f"with {HOURLY_SQL}, {features_sql()} select round(regr_slope(flight_count, lag_1h), 6) as slope, round(regr_intercept(flight_count, lag_1h), 6) as intercept from features")
 def ols_univariate(spark, d):
     fit = model.fit_ols(feature_rows(spark, d), ["lag_1h"], TARGET)
     return spark.createDataFrame([(round(float(fit.coefficients[0]), 6), round(float(fit.intercept), 6))], "slope double, intercept double")
 
 
-@query()
+@query(f"with own as ({ORACLE_SQL['hourly_features_by_key']}), {solved_sql('own', 'event_type', MODEL_FEATURES)} select key as event_type, term, coefficient from fit")
 def ols_by_key(spark, d):
     rows = hourly_features_by_key(spark, d)
-    return model.fit_by_key(rows, ["event_type"], MODEL_FEATURES, TARGET)
+    return model.fit_by_key(rows, ["event_type"], MODEL_FEATURES, TARGET).withColumn("coefficient", F.round("coefficient", 6))
 
 
 @query(
@@ -605,9 +691,10 @@ def polynomial_terms(spark, d):
     return model.polynomial_terms(feature_rows(spark, d).select("hour_start", "lag_1h", "lag_24h"), ["lag_1h", "lag_24h"])[0]
 
 
-@query()
+@query(f"{SIX_SQL}, {solved_sql('train', '0', MODEL_FEATURES, 1.0)} select term, coefficient from fit")
 def ridge_fit(spark, d):
-    return model.coefficient_table(model.fit_ridge(split(spark, d).where("split = 'train'"), MODEL_FEATURES, TARGET, 1.0), MODEL_FEATURES, spark)
+    fit = model.fit_ridge(split(spark, d).where("split = 'train'"), MODEL_FEATURES, TARGET, 1.0)
+    return model.coefficient_table(fit, MODEL_FEATURES, spark).withColumn("coefficient", F.round("coefficient", 6))
 
 
 @query()
@@ -625,9 +712,9 @@ def best_model(spark, d):
     return model.best_model(model.compare_models(split(spark, d), MODEL_FEATURES, TARGET))
 
 
-@query()
+@query(f"{SIX_SQL}, {solved_sql('train', '0', MODEL_FEATURES)} select term, coefficient, abs(coefficient) as size, sign(coefficient)::int as sign from fit where term <> 'intercept'")
 def coefficient_rank(spark, d):
-    return model.coefficient_rank(model.coefficient_table(fitted(spark, d)[1], MODEL_FEATURES, spark))
+    return model.coefficient_rank(ols_fit(spark, d))
 
 
 # Metrics and plot datasets take the last hour's count as the prediction, which SQL can follow.
