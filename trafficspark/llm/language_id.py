@@ -11,8 +11,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -86,6 +87,31 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang",
     return languages, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
+def scored(text: str, table: np.ndarray, orders: tuple[int, ...]) -> tuple[int, float]:
+    """Number of the likeliest language of a text, and its share among all."""
+    total, n = np.zeros(table.shape[1]), 0
+    for grams in gram_buckets(text, orders, len(table)):
+        # The text's n-grams as a sparse row: how often each bucket occurs, times the matrix.
+        total += np.take(table, grams, axis=0).sum(axis=0, dtype=np.float64)
+        n += len(grams)
+    logs = total / n * min(n, 20)
+    share = np.exp(logs - logs.max())
+    best = int(np.argmax(total))
+    return best, float(share[best] / share.sum())
+
+
+def language(text: Column, model: tuple[list[str], np.ndarray], spark: SparkSession, orders: tuple[int, ...] = (1, 2, 3)) -> Column:
+    """The language of each whole text, as `predict` has it, where all other columns of a row stay out of Python."""
+    languages, matrix = model
+    shared = spark.sparkContext.broadcast(np.ascontiguousarray(matrix))
+
+    @F.pandas_udf("string")
+    def told(texts: pd.Series) -> pd.Series:
+        return pd.Series([languages[scored(t, shared.value, orders)[0]] if languages and t and has_letter(t) else UNKNOWN for t in texts], dtype=object)
+
+    return told.asNondeterministic()(text)  # else a filter on it would compute it a second time
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", orders: tuple[int, ...] = (1, 2, 3), keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score for every whole text, then the columns in `keep`.
 
@@ -105,16 +131,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                total, n = np.zeros(len(languages)), 0
-                for grams in gram_buckets(text, orders, len(table)):
-                    # The text's n-grams as a sparse row: how often each bucket occurs, times the matrix.
-                    total += np.take(table, grams, axis=0).sum(axis=0, dtype=np.float64)
-                    n += len(grams)
-                logs = total / n * min(n, 20)
-                share = np.exp(logs - logs.max())
-                best = int(np.argmax(total))
+                best, share = scored(text, table, orders)
                 preds.append(languages[best])
-                scores.append(float(share[best] / share.sum()))
+                scores.append(share)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), *batch.columns[2:]], ["doc_id", "lang_pred", "score", *batch.schema.names[2:]])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)))

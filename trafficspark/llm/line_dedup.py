@@ -126,9 +126,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     gone = placed.join(found, ["h1", "h2"]).where(F.col("near").isNotNull() | (F.struct("doc_id", "line_no") != F.col("first")))
     by_doc = gone.groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_set("line_no").alias("gone"))
     joined = whole.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
-    all_lines = F.split("text", "\n")
-    # A set difference of line numbers keeps their order and takes time in proportion to the lines.
-    stays = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "gone")
-    kept = F.when(F.col("gone").isNull(), all_lines).otherwise(F.transform(stays, lambda i: F.get(all_lines, i)))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines))
-    return joined.select("doc_id", n_lines.cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(n_lines - F.size(kept)).cast("long").alias("n_removed"), F.array_join(kept, "\n").alias("text"))
+    # A set difference of line numbers keeps their order and takes time in proportion to the lines. The lines are a
+    # column of their own, as an expression inside the lambda would split the text again for each of them.
+    parted = joined.select("doc_id", "text", "gone", F.split("text", "\n").alias("lines"))
+    stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(stays, lambda i: F.get("lines", i)))
+    told = parted.select("doc_id", "text", F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).alias("n_lines"), kept.alias("kept"))
+    n_removed = F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - F.size("kept"))
+    return told.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"), F.array_join("kept", "\n").alias("text"))
