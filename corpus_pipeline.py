@@ -23,10 +23,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     read whole.
     """
     model = language_id.fit(docs)
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    told = language_id.predict(rows, model, keep=("row",)).where(F.col("lang_pred") != language_id.UNKNOWN)
-    lang = F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang")
-    return told.select(*(lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), language_id.language(F.col("text"), model, spark).alias("told"))
+    lang = F.coalesce(F.col("row.lang"), F.col("told")).alias("lang")
+    return rows.where(F.col("told") != language_id.UNKNOWN).select(*(lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
