@@ -344,6 +344,12 @@ def test_places_over_many_partitions(spark):
     assert ordered.ordered(df.where("k > 9"), ["x"]).rows.count() == 0
 
 
+def test_rows_of_one_value_spread_over_partitions(spark):
+    df = spark.range(8000).select(F.lit(1).alias("x"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    places = [{r.id: r.place for r in ordered.ordered(df.repartition(n), ["x"]).rows.collect()} for n in (2, 5)]
+    assert places[0] == places[1] and sorted(places[0].values()) == list(range(1, 8001))
+
+
 @pytest.mark.parametrize("block", [3, 24, 100, 5000])
 def test_windows_over_blocks_equal_one_window(spark, monkeypatch, block):
     monkeypatch.setattr(ordered.in_blocks, "__kwdefaults__", {**ordered.in_blocks.__kwdefaults__, "block": block})

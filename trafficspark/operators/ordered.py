@@ -29,13 +29,16 @@ class Ordered:
 
 
 def ordered(df: DataFrame, by: list[str], *, place: str = "place") -> Ordered:
-    """df with each row's place by the columns `by`, nulls last; rows alike in all of them fall as they lie, once and for all.
+    """df with each row's place by the columns `by`, nulls last; rows alike in all of them go by a hash of the whole row.
 
-    One range shuffle. df is computed once, and what comes back reads the written rows. The driver sees a count for
-    each partition.
+    The hash makes places the same at each run, and spreads the rows of one hot value over partitions (but for rows
+    alike throughout). One range shuffle. df is computed once, and what comes back reads the written rows. The driver
+    sees a count for each partition.
     """
-    keys = [F.col(c).asc_nulls_last() for c in by]
-    numbered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    whole = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    keys = [*(F.col(c).asc_nulls_last() for c in by), F.col("__tie").asc()]
+    told = df.withColumn("__tie", F.xxhash64(*(F.col(f"`{c}`") for c in whole)))
+    numbered = told.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie").withColumn("__id", F.monotonically_increasing_id())
     held = stored(numbered, "ordered")
     part = F.shiftright("__id", PART_BITS)
     counts = sorted(held.groupBy(part.alias("part")).count().collect())  # a row a partition
