@@ -206,33 +206,41 @@ class Adagrad:
         self.parameters[k][rows] -= self.rate * gradient / np.sqrt(self.sums[k][rows])
 
 
-def train(texts: list[str], labels: np.ndarray, shape: Shape, *, epochs: int = 5, least: int = 500, batch: int = 32, rate: float = 0.1, drop: float = 0.5, seed: int = 7) -> TextCnn:
-    """A model of the texts' labels (0 or 1), classes weighed alike; deterministic. Memory: 4 bytes a word, and the distinct words.
-
-    Each step leaves out a share `drop` of the words, so that a document's label isn't learned from one chance word.
-    Few texts are gone through more often, so that at least `least` steps are made.
-    """
-    model, rng = TextCnn(shape, seed), np.random.default_rng(seed)
-    gap = max(shape.widths) - 1
+def numbered(texts: list[str], shape: Shape) -> tuple[list[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each text as a run of word numbers, and of each word its parts: all of them, where each word's begin and end."""
     known: dict[str, int] = {}
     documents = []
     for text in texts:
         runs = [np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32) for words in pieces(text)]
         documents.append(np.concatenate([np.zeros(0, np.int32), *runs]))
     parts, starts = word_parts(list(known), shape) if known else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-    ends = np.append(starts, len(parts))
-    del known
-    share = np.array([max(1, (labels == c).sum()) for c in (0, 1)]) / len(labels)
-    weigh = 0.5 / share[labels.astype(int)]
-    adagrad = Adagrad(model.parameters(), rate)
-    for _ in range(max(epochs, -(-least * batch // max(1, len(texts))))):
+    return documents, (parts, starts, np.append(starts, len(parts)))
+
+
+def go_through(model: TextCnn, adagrad: Adagrad, texts: list[str], labels: np.ndarray, weigh: np.ndarray, rng: np.random.Generator, *, epochs: int = 1, batch: int = 32, drop: float = 0.5) -> None:
+    """Steps over all texts, `epochs` times. Memory: 4 bytes a word, and the distinct words."""
+    documents, words = numbered(texts, model.shape)
+    gap = max(model.shape.widths) - 1
+    for _ in range(epochs):
         # Texts of like length share a batch, batches come in random order.
         order = sorted(rng.permutation(len(texts)), key=lambda i: len(documents[i]) // 64)
         batches = [order[a : a + batch] for a in range(0, len(order), batch)]
         for b in rng.permutation(len(batches)):
             chosen = [i for i in batches[b] if len(documents[i])]
             if chosen:
-                learn(model, adagrad, [documents[i] for i in chosen], labels[chosen], weigh[chosen], (parts, starts, ends), gap, rng if drop else None, drop)
+                learn(model, adagrad, [documents[i] for i in chosen], labels[chosen], weigh[chosen], words, gap, rng if drop else None, drop)
+
+
+def train(texts: list[str], labels: np.ndarray, shape: Shape, *, epochs: int = 5, least: int = 500, batch: int = 32, rate: float = 0.1, drop: float = 0.5, seed: int = 7) -> TextCnn:
+    """A model of the texts' labels (0 or 1), classes weighed alike; deterministic. Memory: as in `go_through`.
+
+    Each step leaves out a share `drop` of the words, so that a document's label isn't learned from one chance word.
+    Few texts are gone through more often, so that at least `least` steps are made.
+    """
+    model, rng = TextCnn(shape, seed), np.random.default_rng(seed)
+    share = np.array([max(1, (labels == c).sum()) for c in (0, 1)]) / len(labels)
+    epochs = max(epochs, -(-least * batch // max(1, len(texts))))
+    go_through(model, Adagrad(model.parameters(), rate), texts, labels, 0.5 / share[labels.astype(int)], rng, epochs=epochs, batch=batch, drop=drop)
     return model
 
 
