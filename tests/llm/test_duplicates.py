@@ -3,12 +3,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import cases
 from tests.llm.cases import edited, prose
 from tests.oracle import compare
-from trafficspark.llm import jaccard_join, line_dedup, queries, suffix_dedup
+from trafficspark.llm import common, jaccard_join, line_dedup, queries, suffix_dedup
 from trafficspark.llm.components import components
 
 
@@ -138,6 +139,15 @@ def test_groups_without_ids_and_with_shared_ids(spark):
     assert Counter((r.doc_id, r.component_id) for r in rows) == Counter({(None, None): 2, (1, 1): 2, (2, 1): 1, (3, 1): 1})
 
 
+def test_batches_are_taken_in_slices_and_empty_texts_report_nothing(spark):
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (2500, 0, 3)]
+    got = list(common.slices(iter(batches)))
+    assert [b.num_rows for b in got] == [1000, 1000, 500, 0, 3]
+    assert [x for b in got for x in b.column(0).to_pylist()] == [*range(2500), *range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["", " ", None])], "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join_groups(docs).collect()} == {(i, 0, i) for i in range(3)}
+
+
 def test_groups_of_nothing(spark):
     assert jaccard_join.join_groups(cases.empty(spark)).count() == 0
 

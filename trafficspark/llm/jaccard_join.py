@@ -34,6 +34,8 @@ PIVOTS, INNER, LEAF = 24, 8, 48
 SHRINKS = 0.75
 #: Shingles known as frequent, at most; they come last in order, and any order gives the same links.
 FREQUENT = 200_000
+#: Shingles that a task counts at a time, in search of frequent ones.
+REPORTED = 8_000_000
 #: Rows of representatives up to which they are sent to all tasks; beyond that, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -246,12 +248,16 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         size, id_type = 0, None
 
         def report() -> pa.RecordBatch:
-            value, count = np.unique(np.concatenate(found), return_counts=True)
+            every = np.concatenate(found)
+            found.clear()
+            every.sort()  # in place: np.unique would hold three copies
+            first = np.flatnonzero(np.concatenate((np.full(min(1, len(every)), True), every[1:] != every[:-1])))
+            value, count = every[first], np.diff(np.append(first, len(every)))
             some = count >= 4
             k = int(some.sum())
             return pa.RecordBatch.from_arrays([pa.nulls(k, id_type), *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(value[some].view(np.int64)), pa.array(count[some], pa.int64())], names)
 
-        for batch in batches:
+        for batch in common.slices(batches):
             id_type = batch.schema.field(0).type
             sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
             digests = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
@@ -259,11 +265,12 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), none, none], names)
             found += sets
             size += sum(map(len, sets))
-            if size > 8_000_000:
+            if size > REPORTED:
                 yield report()
                 found, size = [], 0
         if found:
             yield report()
+        _hashes.clear()  # workers go on to other tasks
 
     scanned = common.stored(whole.mapInArrow(summary, f"doc_id {kind}, mark long, n long, set_id long, check long, shingle long, times long"), "sets")
     sets = scanned.where("n is not null").select("doc_id", "mark", "n", "set_id", "check")
@@ -277,7 +284,7 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, place = known.value
-        for batch in batches:
+        for batch in common.slices(batches):
             firsts, ids, sizes = [], [], []
             for t in batch.column(0).to_pylist():
                 s = shingles(t, words)
@@ -294,6 +301,7 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             if ids:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts)))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["set_id", "n", "firsts"])
+        _hashes.clear()
 
     opened = common.stored(whole.select("bytes").mapInArrow(prefixes, "set_id long, n long, firsts array<long>"), "firsts")
     each = opened.select("set_id", "n", F.explode("firsts").alias("region"))
