@@ -59,6 +59,48 @@ def test_pruned_shard_equals_full_scores(monkeypatch):
         assert best == sorted(zip((-everything).tolist(), range(200), strict=True))[:5]
 
 
+def test_queries_of_a_block_find_what_each_finds_alone(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(bm25_search, "LONG", 4)
+    monkeypatch.setattr(bm25_search, "BLOCK", 8)
+    monkeypatch.setattr(bm25_search, "BOUNDS", 1000)
+    texts = [cases.prose(i % 60, 30 + i % 40).encode() for i in range(200)]
+    bags = [bm25_search.terms_of(t) for t in texts]
+    terms, counts = np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]).astype(np.int32)
+    owner = np.repeat(np.arange(200, dtype=np.int32), [len(b[0]) for b in bags])
+    order = np.argsort(terms, kind="stable")
+    distinct, first = np.unique(terms[order], return_index=True)
+    arrays = {"lengths": np.array([b[1].sum() for b in bags], np.int64), "terms": distinct, "starts": np.append(first, len(order)).astype(np.int64), "docs": owner[order], "counts": counts[order]}
+    shard = bm25_search.Shard({"doc_ids": list(range(200))} | {k: pa.py_buffer(v.tobytes()) for k, v in arrays.items()}, 45.0, 1.2, 0.75)
+    asked = [bags[q] for q in range(0, 200, 9)] + [bm25_search.terms_of(b"unheard-of words"), bm25_search.terms_of(b"")]
+    everything = [shard.exact(np.searchsorted(shard.terms, t), c * 1.5, np.arange(200)) for t, c in asked[:-2]]
+    for floors in (np.zeros(len(asked)), np.array([np.sort(e)[-3] for e in everything] + [0.0, 0.0])):
+        found = {q: (p, s) for q, p, s in shard.search_all(np.array([len(t) for t, _ in asked]), np.concatenate([t for t, _ in asked]), np.concatenate([c * 1.5 for _, c in asked]), 5, floors)}
+        assert set(found) == set(range(len(everything)))
+        for q, e in enumerate(everything):
+            best = [x for x in sorted(zip((-e).tolist(), range(200), strict=True))[:5] if -x[0] >= floors[q]]
+            assert sorted(zip((-found[q][1]).tolist(), found[q][0].tolist(), strict=True))[: len(best)] == best
+            assert len(set(found[q][0].tolist())) == len(found[q][0])
+
+
+def test_search_shuffles_neither_shards_nor_queries(spark, monkeypatch):
+    plans, limits, name = [], [], "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def noted(df, table, stored=bm25_search.common.stored, **options):
+        plans.append((table, df._jdf.queryExecution().executedPlan().toString()))
+        limits.append(spark.conf.get(name))
+        return stored(df, table, **options)
+
+    monkeypatch.setattr(bm25_search.common, "stored", noted)
+    df, before = cases.table(spark), spark.conf.get(name)
+    bm25_search.top_k(df, df, query_id_col="doc_id")
+    plan = dict(plans)["found"]
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    assert set(limits) == {bm25_search.BATCH} and spark.conf.get(name) == before
+
+
 def test_search_in_nothing(spark):
     assert bm25_search.top_k(cases.empty(spark), cases.table(spark), query_id_col="doc_id").count() == 0
     assert bm25_search.top_k(cases.table(spark), cases.empty(spark), query_id_col="doc_id").count() == 0
