@@ -161,3 +161,25 @@ def test_training_carries_the_state_through_whole_documents():
     # At rate 0 the loss of the pass is that of each document alone, from its start to its only end.
     alone = -sum(gated_lm.token_logs(shape, w, gated_lm.run_steps(shape, w, np.append(0, d[:-1])[:, None], np.zeros((1, 5), np.float32), 0)[:, 0], d).sum() for d in docs)
     assert abs(trainer.loss - alone) < 1e-3
+
+
+def test_texts_are_coded_a_batch_at_a_time():
+    import pyarrow as pa
+
+    shape = gated_lm.Shape(hidden=4, inner=4, classes=2, width=2, tails=3, buckets=6)
+    texts = [b"", b" \n\x0b ", b"One one\tTWO", "\u00c9t\u00e9 a\u00a0b \u00c9t\u00e9 x\x1cy rare rare ".encode(), b"two three", *(cases.prose(i, 40).encode() for i in range(4))]
+    found = [t.lower().split() for t in texts]
+    everything = [w for f in found for w in f]
+    counts = {b"": len(texts), b"zero": 0} | {w: everything.count(w) for w in everything}
+    frequent = {w: c for w, c in counts.items() if c != 2}
+    v = lm_scoring.Vocabulary(shape, pd.DataFrame({"word": list(frequent), "c": list(frequent.values())}), sum(counts.values()), len(counts), {})
+    for at in (0, 3):
+        ids, sizes, known, base, inside, rare = (x.to_pylist() for x in v.code(pa.array(texts, pa.binary())[at:]))
+        for i, words in enumerate(found[at:]):
+            token = [v.ids[v.place[w]] if w in v.place else shape.head + lm_scoring.bucket(w, shape) for w in [*words, b""]]
+            assert np.frombuffer(ids[i], np.uint16).tolist() == token and sizes[i] == len(token)
+            often, seldom = [v.place[w] for w in [*words, b""] if w in v.place], [w for w in words if w not in v.place]
+            assert known[i] == len(often)
+            assert {r["word"]: r["n"] for r in rare[i]} == {w: seldom.count(w) for w in seldom}
+            assert abs(base[i] - sum(v.base[p] for p in often) + len(seldom) * math.log10(v.all_mass)) < 1e-9
+            assert abs(inside[i] - sum(v.inside[p] for p in often) + sum(v.tail_logs[lm_scoring.bucket(w, shape) % shape.tails] for w in seldom)) < 1e-9

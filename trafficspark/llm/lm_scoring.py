@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +31,17 @@ SHARD_TOKENS = 2_000_000
 LANES = 256
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
+def words_of(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """Distinct words of UTF-8 texts (A-Z lower-cased, parted at ASCII white space), and for every word in turn its
+    place among these and the number of its text. The empty string may be among the distinct words; none is counted."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.utf8())))
+    coded = split.flatten().dictionary_encode()
+    distinct, at = coded.dictionary.view(pa.binary()), coded.indices.to_numpy()
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(split).to_numpy())
+    # White space before the first word and after the last leaves an empty string.
+    empty = pc.index(distinct, pa.scalar(b"", pa.binary())).as_py()
+    full = at != empty
+    return distinct, at[full], owner[full]
 
 
 def tail_class(word: Column, tails: int) -> Column:
@@ -49,19 +58,13 @@ def word_counts(train: DataFrame) -> DataFrame:
     """word, c over all texts; the end of each text is the empty word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(words_of(text))
-                seen[END] += 1
-                if len(seen) > 500_000:
-                    yield out()
-                    seen.clear()
-        yield out()
+            if not batch.num_rows:
+                continue
+            distinct, at, _ = words_of(batch.column(0))
+            c = np.bincount(at, minlength=len(distinct))
+            words = pa.concat_arrays([distinct.filter(pa.array(c > 0)), pa.array([END], pa.binary())])
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.append(c[c > 0], batch.num_rows), pa.int64())], ["word", "c"])
 
     return train.select("bytes").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -92,23 +95,34 @@ class Vocabulary:
         self.base = np.log10((self.counts + 0.1) / self.all_mass)
         self.inside = np.where(head, 0.0, np.log10(self.counts + 0.1) - self.tail_logs[self.bucket % shape.tails])
 
-    def code(self, text: bytes | None) -> tuple[np.ndarray, int, float, float, Counter]:
-        """Token ids of a text and its end; of its frequent words how many were counted, and the sums of base and
-        inside logs; rare words with their numbers, for which these sums lack the logs of the smoothed count alone."""
-        found = words_of(text)
-        places = np.empty(len(found) + 1, np.int64)
-        places[:-1] = np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
-        places[-1] = 0
-        ids, here = self.ids[places], places
-        base, inside, rare = 0.0, 0.0, Counter()
-        if places.min() < 0:
-            others = np.flatnonzero(places < 0)
-            words = [found[i] for i in others.tolist()]
-            buckets = np.array([bucket(w, self.shape) for w in words])
-            ids[others] = self.shape.head + buckets
-            base, inside = -len(words) * math.log10(self.all_mass), -float(self.tail_logs[buckets % self.shape.tails].sum())
-            rare, here = Counter(words), places[places >= 0]
-        return ids, int((self.counts[here] > 0).sum()), base + float(self.base[here].sum()), inside + float(self.inside[here].sum()), rare
+    def code(self, texts: pa.BinaryArray) -> list[pa.Array]:
+        """For each text: the token ids of its words and its end, how many tokens, how many of its frequent words were
+        counted, and the sums of base and inside logs; rare words with their numbers, for which these sums lack the logs
+        of the smoothed count alone."""
+        distinct, at, owner = words_of(texts)
+        n, words = len(texts), distinct.to_pylist()
+        places = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(places < 0)
+        buckets = np.fromiter((bucket(words[i], self.shape) for i in rare.tolist()), np.int64, len(rare))
+        of_word = {"ids": self.ids[places], "known": self.counts[places] > 0, "base": self.base[places], "inside": self.inside[places]}
+        of_word["ids"][rare] = self.shape.head + buckets
+        of_word["known"][rare] = False
+        of_word["base"][rare] = -math.log10(self.all_mass)
+        of_word["inside"][rare] = -self.tail_logs[buckets % self.shape.tails]
+        summed = lambda name: np.bincount(owner, weights=of_word[name][at], minlength=n)
+        sizes = np.bincount(owner, minlength=n) + 1
+        # Each text's end comes after its words; its place is 0.
+        ends = np.cumsum(sizes)
+        ids = np.full(int(sizes.sum()), self.ids[0], np.uint16)
+        ids[np.arange(len(at)) + owner] = of_word["ids"][at]
+        offsets = np.concatenate(([0], 2 * ends)).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        some = places[at] < 0
+        pairs, times = np.unique(owner[some].astype(np.int64) * max(1, len(words)) + at[some], return_counts=True)
+        entries = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % max(1, len(words)))), pa.array(times, pa.int64())], ["word", "n"])
+        lists = pa.array(np.searchsorted(pairs // max(1, len(words)), np.arange(n + 1)), pa.int32())
+        known = summed("known").astype(np.int64) + int(self.counts[0] > 0)
+        return [binary, pa.array(sizes, pa.int64()), pa.array(known), pa.array(summed("base") + self.base[0]), pa.array(summed("inside") + self.inside[0]), pa.ListArray.from_arrays(lists, entries)]
 
 
 def averaged(rows: DataFrame) -> np.ndarray | None:
@@ -189,13 +203,9 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        for batch in batches:
-            told = [v.code(t) for t in batch.column(3).to_pylist()]
-            rare = [t[4] for t in told]
-            offsets = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
-            entries = pa.StructArray.from_arrays([pa.array([w for r in rare for w in r], pa.binary()), pa.array([n for r in rare for n in r.values()], pa.int64())], ["word", "n"])
-            columns = [pa.array([t[0].tobytes() for t in told], pa.binary()), pa.array([len(t[0]) for t in told], pa.int64()), *(pa.array([t[i] for t in told], k) for i, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()))), pa.ListArray.from_arrays(offsets, entries)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["doc_id", "held_out", "mark", "ids", "n_tokens", "n_known", "base", "inside", "rare"])
+        for batch in common.slices(batches, 2000):
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *v.code(batch.column(3))], ["doc_id", "held_out", "mark", "ids", "n_tokens", "n_known", "base", "inside", "rare"])
 
     schema = f"doc_id {kind}, held_out boolean, mark long, ids binary, n_tokens long, n_known long, base double, inside double, rare array<struct<word:binary,n:bigint>>"
     coded = common.stored(whole.mapInArrow(code, schema).withColumn("row", F.monotonically_increasing_id()), "coded")
