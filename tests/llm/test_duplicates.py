@@ -250,6 +250,24 @@ def test_one_document_of_very_many_lines(spark):
     assert [r.n_lines for r in got] == [0, 10, 12_000] and got[2].text == "\n".join(kept) and got[2].n_removed == 12_000 - len(kept)
 
 
+def test_lines_are_broadcast_only_up_to_a_counted_number(spark, monkeypatch):
+    # Spark takes a table after an explode for as small as its file, so none but the counted one may go by that.
+    plans, stored = {}, common.stored
+
+    def seen(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name, **options)
+
+    monkeypatch.setattr(common, "stored", seen)
+    docs = spark.createDataFrame([(i, f"a line of some length, number {i // 2}") for i in range(8)], "doc_id long, text string")
+    last = line_dedup.dedup_lines(docs)
+    plans["last"] = last._jdf.queryExecution().executedPlan().toString()
+    assert {name: p.count("BroadcastExchange") for name, p in plans.items() if "BroadcastExchange" in p} == {"texts": 1}
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    line_dedup.dedup_lines(docs)
+    assert "BroadcastExchange" not in plans["texts"]
+
+
 def test_rows_of_one_id_lose_their_own_lines(spark):
     line, other = "a line of some length, long enough", "quite another line, and long enough too"
     df = spark.createDataFrame([(0, line), (5, f"{line}\n{other}"), (5, f"{other}\n{line}"), (5, f"{other}\n{line}")], "doc_id long, text string")

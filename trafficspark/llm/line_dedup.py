@@ -51,10 +51,16 @@ def half_keys(line: str, n: Column) -> list[Column]:
     return keys
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """The table, marked so that joins with it shuffle both sides. Spark takes a table for no longer than the file before
+    an explode, compressed, and would collect many times its broadcast threshold in the driver."""
+    return table.hint("merge")
+
+
 def shared(keyed: DataFrame, ids: list[str]) -> DataFrame:
     """The distinct ids among rows whose key occurs more than once."""
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return keyed.join(several, "key").select(*ids).distinct()
+    return keyed.join(shuffled(several), "key").select(*ids).distinct()
 
 
 def chained(text: Column) -> Column:
@@ -82,17 +88,17 @@ def removals(lines: DataFrame) -> DataFrame:
     grouped = hashed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in names))
     distinct = common.stored(grouped.select("h1", "h2", "first", "n", F.array(*names).alias("keys")), "lines")
 
-    half_alike = common.stored(shared(distinct.select("h1", "h2", F.explode("keys").alias("key")), ["h1", "h2"]).join(distinct.select("h1", "h2", "first"), ["h1", "h2"]), "halves")
+    half_alike = common.stored(shared(distinct.select("h1", "h2", F.explode("keys").alias("key")), ["h1", "h2"]).join(shuffled(distinct.select("h1", "h2", "first")), ["h1", "h2"]), "halves")
     few = half_alike.count() <= BROADCAST_ROWS
     placed = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), "line")
     same = (placed["h1"] == half_alike["h1"]) & (placed["h2"] == half_alike["h2"]) & placed["place"].eqNullSafe(half_alike["first"])
-    texts = placed.join(F.broadcast(half_alike) if few else half_alike, same).select(placed["h1"], placed["h2"], "first", "line").dropDuplicates(["h1", "h2"])
+    texts = placed.join(F.broadcast(half_alike) if few else shuffled(half_alike), same).select(placed["h1"], placed["h2"], "first", "line").dropDuplicates(["h1", "h2"])
 
     texts = texts.withColumn("n", F.length("line")).withColumn("ahead", chained(F.col("line"))).withColumn("back", chained(F.reverse("line")))
     texts = common.stored(texts, "texts")
     ahead, back = (lambda m, c=c: prefix_hash(F.col(c), m) for c in ("ahead", "back"))
     fine = piece_keys(F.col("n"), 16, ahead, back)
-    alike = common.stored(shared(texts.select("h1", "h2", F.explode(fine).alias("key")), ["h1", "h2"]).join(texts, ["h1", "h2"]), "alike")
+    alike = common.stored(shared(texts.select("h1", "h2", F.explode(fine).alias("key")), ["h1", "h2"]).join(shuffled(texts), ["h1", "h2"]), "alike")
 
     gaps = alike.select("h1", "h2", "first", "n", "ahead", "back", F.explode(F.sequence(F.lit(1), F.col("n") + 1)).alias("i"))
     whole = F.struct(F.xxhash64("i", ahead(F.col("i") - 1), back(F.col("n") - F.col("i") + 1)).alias("key"), F.lit(False).alias("cut"))
@@ -100,12 +106,12 @@ def removals(lines: DataFrame) -> DataFrame:
     variants = gaps.select("h1", "h2", "first", F.explode(F.when(F.col("i") <= F.col("n"), F.array(whole, without)).otherwise(F.array(whole))).alias("v")).select("h1", "h2", "first", "v.*")
     least = variants.groupBy("key").agg(F.min(F.when(F.col("cut"), F.col("first"))).alias("cut_first"), F.min(F.when(~F.col("cut"), F.col("first"))).alias("whole_first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     # A line left whole meets lines with a character cut; lines with a character cut meet both.
-    met = variants.join(least, "key").select("h1", "h2", F.when(F.col("cut"), F.least("cut_first", "whole_first")).otherwise(F.col("cut_first")).alias("near"))
+    met = variants.join(shuffled(least), "key").select("h1", "h2", F.when(F.col("cut"), F.least("cut_first", "whole_first")).otherwise(F.col("cut_first")).alias("near"))
     nearest = met.groupBy("h1", "h2").agg(F.min("near").alias("near"))
-    mine = alike.select("h1", "h2", "first", "line").join(nearest, ["h1", "h2"]).where("near < first")
+    mine = alike.select("h1", "h2", "first", "line").join(shuffled(nearest), ["h1", "h2"]).where("near < first")
     other = alike.select(F.col("first").alias("near"), F.col("line").alias("other"))
-    verified = mine.join(other, "near").where(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", "near")
-    return distinct.select("h1", "h2", "first", "n").join(verified, ["h1", "h2"], "left").where("n > 1 or near is not null").select("h1", "h2", "first", "near")
+    verified = mine.join(shuffled(other), "near").where(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", "near")
+    return distinct.select("h1", "h2", "first", "n").join(shuffled(verified), ["h1", "h2"], "left").where("n > 1 or near is not null").select("h1", "h2", "first", "near")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
@@ -123,9 +129,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = common.stored(removals(lines), "removals")
     h1, h2 = pair_hash(F.col("line"))
     placed = lines.select("doc_id", "mark", "line_no", h1.alias("h1"), h2.alias("h2"))
-    gone = placed.join(found, ["h1", "h2"]).where(F.col("near").isNotNull() | (F.struct("doc_id", "line_no") != F.col("first")))
+    gone = placed.join(shuffled(found), ["h1", "h2"]).where(F.col("near").isNotNull() | (F.struct("doc_id", "line_no") != F.col("first")))
     by_doc = gone.groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_set("line_no").alias("gone"))
-    joined = whole.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
+    joined = whole.join(shuffled(by_doc), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
     # A set difference of line numbers keeps their order and takes time in proportion to the lines. The lines are a
     # column of their own, as an expression inside the lambda would split the text again for each of them.
     parted = joined.select("doc_id", "text", "gone", F.split("text", "\n").alias("lines"))
