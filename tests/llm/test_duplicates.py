@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -148,6 +149,48 @@ def test_batches_are_taken_in_slices_and_empty_texts_report_nothing(spark):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join_groups(docs).collect()} == {(i, 0, i) for i in range(3)}
 
 
+def test_shingles_of_a_batch_equal_those_of_split_words(monkeypatch):
+    rng = random.Random(12)
+    parts = [b"a", b"A", b"a\0", b"b", "\u00c9t\u00e9".encode(), b"x" * 7, b"x" * 8, b"x" * 9, b"X" * 16, b"y" * 63, b"y" * 64, b"y" * 65, b"y" * 200, b"\xc2\xa0", b"\x1c"]
+    texts = [None, b"", b" ", b"a", b" a", b"a b", b"a\0", b"\n\n"] + [b"".join(rng.choice(parts) + rng.choice([b" ", b"\t", b"\n", b"\x0b", b"\x0c\r", b"  "]) for _ in range(rng.randrange(40))) + rng.choice([b"", b"end"]) for _ in range(200)]
+    for k, piece in ((1, 1), (3, 300), (3, 1_000_000), (5, 300)):
+        monkeypatch.setattr(jaccard_join, "PIECE", piece)
+        got, names = jaccard_join.shingle_sets(texts, k), {}
+        for text, s in zip(texts, got, strict=True):
+            words = (text or b"").lower().split()
+            n = min(k, len(words))
+            exact = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+            assert len(s) == len(exact) and s.tolist() == sorted(set(s.tolist()))
+            names.setdefault(frozenset(s.tolist()), set()).add(frozenset(exact))
+        assert all(len(x) == 1 for x in names.values()) and len(names) == len({y for x in names.values() for y in x})
+        assert len({v for s in got for v in s.tolist()}) == len({y for x in names.values() for z in x for y in z})
+
+
+def test_small_cells_take_little_memory():
+    sets = [jaccard_join.shingles(f"{base} of a few words that are much the same".encode(), 2) for base in ("one", "two")]
+    tracemalloc.start()
+    cell = jaccard_join.Cell(sets, 50, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000 and len(list(cell.links())) == 1
+
+
+def test_exact_copies_open_no_regions(spark, monkeypatch):
+    rows, stored = [], common.stored
+
+    def counted(df, name, **options):
+        table = stored(df, name, **options)
+        if name == "regions":
+            rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(common, "stored", counted)
+    texts = [prose(i, 60) for i in range(5)]
+    docs = spark.createDataFrame([(i, texts[i % 5]) for i in range(40)], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in jaccard_join.join_groups(docs, words=3, num=90, den=100).collect()}
+    assert got == {(i, i % 5) for i in range(40)} and rows[0] == 0
+
+
 def test_groups_of_nothing(spark):
     assert jaccard_join.join_groups(cases.empty(spark)).count() == 0
 

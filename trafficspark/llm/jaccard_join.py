@@ -38,6 +38,13 @@ FREQUENT = 200_000
 REPORTED = 8_000_000
 #: Rows of representatives up to which they are sent to all tasks; beyond that, both sides are shuffled.
 BROADCAST_ROWS = 500_000
+#: Bytes that part words, A-Z lower-cased, and the first 0 to 8 bytes of 8. Words of more than LONG_WORD bytes are hashed one by one.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_WORD = 64
+#: Bytes of texts that are split at a time, so that what is made of them stays in the processor's cache.
+PIECE = 500_000
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -46,35 +53,84 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class WordHashes(dict):
-    """Hash of each word, kept; starts anew at `limit` words."""
-
-    limit = 700_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of all texts in a row (A-Z lower-cased), and how many words each text has."""
+    import xxhash
 
-_hashes = WordHashes()
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    edges = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+    some = edges[:-1] < edges[1:]
+    space = SPACE[data]
+    first = ~space
+    last = first.copy()
+    first[1:] &= space[:-1]
+    last[:-1] &= space[1:]
+    # A text's first and last words begin and end there, whatever stands beside them.
+    for at, marks in ((edges[:-1][some], first), (edges[1:][some] - 1, last)):
+        marks[at] = ~space[at]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    low = np.zeros(len(data) // 8 * 8 + 16, np.uint8)
+    low[: len(data)] = LOWER[data]
+    eights = low.view("<u8")
+
+    def part(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The next 8 bytes of each word, zeros after its end."""
+        i, bits = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        # The shift by 64 - bits goes in two, as one by 64 bits is none.
+        return (eights[i] >> bits | eights[i + 1] << (np.uint64(63) - bits) << np.uint64(1)) & MASKS[np.minimum(left, 8)]
+
+    h = mixed((mixed(sizes.astype(np.uint64) * A) + part(starts, sizes)) * A)
+    at, more = 8, np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD))
+    while len(more):
+        left = sizes[more] - at
+        h[more] = mixed((h[more] + part(starts[more] + at, left)) * A)
+        at, more = at + 8, more[left > 8]
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(low[starts[i] : starts[i] + sizes[i]])
+    return h, np.diff(np.searchsorted(starts, edges))
+
+
+def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its k-word shingles (A-Z lower-cased); of all words if they are fewer than k."""
+    sets: list[np.ndarray] = []
+    held: list[bytes] = []
+    size = 0
+
+    def add() -> None:
+        ids, counts = word_hashes(held)
+        begins = np.cumsum(counts) - counts
+        h = np.full(max(0, len(ids) - k + 1), k, np.uint64)  # those across two texts are left out below
+        for i in range(k):
+            h = mixed((h + ids[i : len(h) + i]) * A)
+        for a, n in zip(begins.tolist(), counts.tolist(), strict=True):
+            if n >= k:
+                h[a : a + n - k + 1].sort()
+        new = np.concatenate((np.full(min(1, len(h)), True), h[1:] != h[:-1]))
+        new[begins[counts >= k]] = True
+        for a, n in zip(begins.tolist(), counts.tolist(), strict=True):
+            if n >= k:
+                sets.append(h[a : a + n - k + 1][new[a : a + n - k + 1]])
+                continue
+            one = np.full(min(1, n), n, np.uint64)
+            for i in range(n):
+                one = mixed((one + ids[a + i]) * A)
+            sets.append(one)
+
+    for t in texts:
+        held.append(t or b"")
+        size += len(held[-1])
+        if size >= PIECE:
+            add()
+            held, size = [], 0
+    if held:
+        add()
+    return sets
 
 
 def shingles(text: bytes | None, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles (A-Z lower-cased); of all words if they are fewer than k."""
-    words = text.lower().split() if text else ()
-    if not words:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    n = min(k, len(ids))
-    h = np.full(len(ids) - n + 1, n, np.uint64)
-    for i in range(n):
-        h = mixed((h + ids[i : len(ids) - n + 1 + i]) * A)
-    h.sort()
-    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+    """`shingle_sets` of one text."""
+    return shingle_sets([text], k)[0]
 
 
 def digest(s: np.ndarray) -> tuple[int, int]:
@@ -107,8 +163,9 @@ class Cell:
         self.group = np.arange(len(sets)) if groups is None else groups.copy()
         # Values that one member alone has add to no intersection; most go by a table of hashes, before the sort.
         every = np.concatenate(sets)
-        slots = (every >> np.uint64(40)).astype(np.int64) & ((1 << 22) - 1)
-        often = np.bincount(slots, minlength=1 << 22)[slots] > 1
+        # The table grows with the cell, as most cells hold a few sets.
+        slots = (every >> np.uint64(40)).astype(np.int64) & ((1 << min(22, (4 * len(every)).bit_length())) - 1)
+        often = np.bincount(slots)[slots] > 1
         values, ids, counts = np.unique(every[often], return_inverse=True, return_counts=True)
         often[often] = (counts > 1)[ids]
         self.ids = (np.cumsum(counts > 1) - 1)[ids[(counts > 1)[ids]]]
@@ -259,7 +316,7 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
         for batch in common.slices(batches):
             id_type = batch.schema.field(0).type
-            sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
+            sets = shingle_sets(batch.column(2).to_pylist(), words)
             digests = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), none, none], names)
@@ -270,7 +327,6 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 found, size = [], 0
         if found:
             yield report()
-        _hashes.clear()  # workers go on to other tasks
 
     scanned = common.stored(whole.mapInArrow(summary, f"doc_id {kind}, mark long, n long, set_id long, check long, shingle long, times long"), "sets")
     sets = scanned.where("n is not null").select("doc_id", "mark", "n", "set_id", "check")
@@ -284,28 +340,30 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, place = known.value
+        maybe = np.zeros(1 << 22, bool)  # most shingles aren't frequent, and go by this
+        maybe[often >> np.uint64(42)] = True
         for batch in common.slices(batches):
-            firsts, ids, sizes = [], [], []
-            for t in batch.column(0).to_pylist():
-                s = shingles(t, words)
-                if not len(s):
-                    continue
-                order = s >> np.uint64(1)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    order = np.where(often[at] == s, place[at], order)
+            sets = [s for s in shingle_sets(batch.column(0).to_pylist(), words) if len(s)]
+            if not sets:
+                continue
+            every, edges = np.concatenate(sets), np.cumsum([0, *map(len, sets)]).tolist()
+            order = every >> np.uint64(1)
+            some = np.flatnonzero(maybe[every >> np.uint64(42)])
+            if len(some):
+                at = np.minimum(np.searchsorted(often, every[some]), len(often) - 1)
+                there = often[at] == every[some]
+                order[some[there]] = place[at[there]]
+            firsts = []
+            for s, a, z in zip(sets, edges, edges[1:], strict=False):
                 k = prefix_size(len(s), num, den)
-                firsts.append((s[np.argpartition(order, k - 1)[:k]] if k < len(s) else s).view(np.int64))
-                ids.append(digest(s)[0])
-                sizes.append(len(s))
-            if ids:
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["set_id", "n", "firsts"])
-        _hashes.clear()
+                firsts.append((s[np.argpartition(order[a:z], k - 1)[:k]] if k < len(s) else s).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts)))
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s)[0] for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), lists], ["set_id", "n", "firsts"])
 
     opened = common.stored(whole.select("bytes").mapInArrow(prefixes, "set_id long, n long, firsts array<long>"), "firsts")
     each = opened.select("set_id", "n", F.explode("firsts").alias("region"))
-    several = each.groupBy("region").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("region")
+    # Rows of equal sets open no region: they are one node already.
+    several = each.groupBy("region").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("region")
     regions = common.stored(each.join(several, "region").distinct(), "regions")
     # Linked sets are of like sizes: strata one step of num / den wide, each set a native of its own and a guest of the
     # next, so that any two within a step meet where one of them at least is a native.
@@ -341,16 +399,16 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, pivots = None, []
-        for batch in batches:
+        for batch in common.slices(batches):
             rows: list[tuple] = []
             cell_of, salts, kinds, ids, held = (batch.column(i).to_pylist() for i in range(5))
-            for cell, salt, member, set_id, text in zip(cell_of, salts, kinds, ids, held, strict=True):
+            for cell, salt, member, set_id, s in zip(cell_of, salts, kinds, ids, shingle_sets(held, words), strict=True):
                 if (cell, salt) != key:
                     key, pivots = (cell, salt), []
                 if not member:
-                    pivots.append((set_id, shingles(text, words)))
+                    pivots.append((set_id, s))
                     continue
-                linked, inside = voronoi([shingles(text, words)], [p for _, p in pivots], num, den)
+                linked, inside = voronoi([s], [p for _, p in pivots], num, den)
                 rows += [(set_id, cell, p, bool(linked[0, i]), bool(inside[0, i])) for i, (p, _) in enumerate(pivots) if linked[0, i] or inside[0, i]]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], ["set_id", "cell", "pivot", "near", "inside"])
 
@@ -385,7 +443,7 @@ def join_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         def decide() -> Iterator[pa.RecordBatch]:
             if len(rows) > 1:
                 groups = np.unique([r[2] for r in rows], return_inverse=True)[1]
-                pairs = list(Cell([shingles(r[3], words) for r in rows], num, den, [r[1] for r in rows], groups).links())
+                pairs = list(Cell(shingle_sets([r[3] for r in rows], words), num, den, [r[1] for r in rows], groups).links())
                 if pairs:
                     yield pa.RecordBatch.from_arrays([pa.array([rows[x][0] for x in side], pa.int64()) for side in zip(*pairs, strict=True)], ["a", "b"])
 
