@@ -101,6 +101,34 @@ def test_search_shuffles_neither_shards_nor_queries(spark, monkeypatch):
     assert set(limits) == {bm25_search.BATCH} and spark.conf.get(name) == before
 
 
+@pytest.mark.parametrize("k", [1, 3])
+def test_rounds_return_what_all_shards_do_in_fewer_rows(spark, monkeypatch, k):
+    rows, stored = [], bm25_search.common.stored
+
+    def counted(df, name, **options):
+        table = stored(df, name, **options)
+        if name == "found":
+            rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(bm25_search.common, "stored", counted)
+    monkeypatch.setattr(bm25_search, "SHARD_DOCS", 3)
+    monkeypatch.setattr(bm25_search, "SHARDS_A_TASK", 1)
+    monkeypatch.setattr(bm25_search, "ROW_QUERIES", 4)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # each file of one shard in a task of its own
+    docs = [(i if i % 17 else None, cases.prose(i % 90, 20 + i % 30)) for i in range(180)] + [(500, None), (501, "unheard-of")]
+    asked = [(i, docs[i][1]) for i in range(0, 180, 20)] + [(None, cases.prose(3, 5)), (7, "words-in-no-text"), (500, None)]
+    df, queries_df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(asked, "query_id long, text string")
+    got = bm25_search.top_k(df, queries_df, k=k).collect()
+    exact = brute_bm25(docs, asked, k)
+    assert sorted(((r.query_id, r.rank, r.doc_id, round(r.score, 5)) for r in got), key=str) == sorted(((q, i, d, round(s, 5)) for q, i, d, s in exact), key=str)
+    assert len(rows) == 3 and len({r.query_id for r in got}) == 10
+    in_rounds = sum(rows)
+    monkeypatch.setattr(bm25_search, "FIRST_SHARDS", 1000)
+    assert bm25_search.top_k(df, queries_df, k=k).count() == len(got) and in_rounds < 0.75 * rows[3]
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_search_in_nothing(spark):
     assert bm25_search.top_k(cases.empty(spark), cases.table(spark), query_id_col="doc_id").count() == 0
     assert bm25_search.top_k(cases.table(spark), cases.empty(spark), query_id_col="doc_id").count() == 0
